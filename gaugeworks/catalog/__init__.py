@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("forecast",)
+MODULES = ("forecast", "grading")
 
 
 def load_all() -> None:

@@ -39,28 +39,36 @@ def _chunked(df: DataFrame, ts: str, max_rows: int) -> DataFrame:
             .transform(ordered).drop("_order"))
 
 
-def number_rows(df: DataFrame, by: list[str], ts: str, tie: str,
+def running_sum(df: DataFrame, by: list[str], ts: str, tie: str, value: Column, name: str,
                 max_rows: int = MAX_ROWS, longest: int | None = None) -> DataFrame:
-    """Add `pos`, the 0-based row position of a row in its series.
+    """Add the running total of `value` up to and with each row of its series.
 
     `longest` is the row count of the longest series where the caller has it.
     """
+    upto = Window.unboundedPreceding, Window.currentRow
     if (longest_series(df, by) if longest is None else longest) <= max_rows:
-        order = Window.partitionBy(*by).orderBy(ts, tie)
-        return df.withColumn("pos", F.row_number().over(order).cast("bigint") - 1)
+        order = Window.partitionBy(*by).orderBy(ts, tie).rowsBetween(*upto)
+        return df.withColumn(name, F.sum(value).over(order).cast("bigint"))
     chunked = _chunked(df, ts, max_rows)
     before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = (chunked.groupBy(*by, "_chunk").agg(F.count("*").alias("_n"))
+    offsets = (chunked.groupBy(*by, "_chunk").agg(F.sum(value).alias("_n"))
                .select(*by, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0))
                        .alias("_offset")))
-    order = Window.partitionBy(*by, "_chunk").orderBy(ts, tie)
-    return (chunked.withColumn("_local", F.row_number().over(order) - 1)
+    order = Window.partitionBy(*by, "_chunk").orderBy(ts, tie).rowsBetween(*upto)
+    return (chunked.withColumn("_local", F.sum(value).over(order))
             .join(offsets, [*by, "_chunk"])
-            .withColumn("pos", (F.col("_offset") + F.col("_local")).cast("bigint"))
+            .withColumn(name, (F.col("_offset") + F.col("_local")).cast("bigint"))
             .drop("_chunk", "_offset", "_local"))
 
 
+def number_rows(df: DataFrame, by: list[str], ts: str, tie: str,
+                max_rows: int = MAX_ROWS, longest: int | None = None) -> DataFrame:
+    """Add `pos`, the 0-based row position of a row in its series."""
+    out = running_sum(df, by, ts, tie, F.lit(1), "pos", max_rows, longest)
+    return out.withColumn("pos", F.col("pos") - 1)
+
+
 def over_positions(df: DataFrame, by: list[str], exprs: dict[str, Callable],
                    before: int = 0, after: int = 0, block: int = 65_536,
                    max_rows: int = MAX_ROWS, longest: int | None = None) -> DataFrame:

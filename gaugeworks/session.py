@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "gaugeworks", master: str | None = None,
@@ -38,3 +38,11 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back from there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
