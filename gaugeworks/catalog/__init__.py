@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("forecast", "grading")
+MODULES = ("forecast", "grading", "transcripts")
 
 
 def load_all() -> None:

@@ -345,7 +345,7 @@ def h02(t):
 
 
 view("grade_history", """
-SELECT user_id AS job, event_id AS grade_id, ts AS at, CAST(CAST(value * 100 AS BIGINT) % 100 AS DOUBLE) / 100 AS reward
+SELECT user_id AS job, event_id AS grade_id, ts AS at, CAST((CAST(FLOOR(value) AS BIGINT) * 7 + event_id) % 100 AS DOUBLE) / 100 AS reward
 FROM {events}""")
 view("grade_lines", """
 SELECT job, grade_id, 'line a' AS text, CAST(CASE WHEN grade_id % 3 = 0 THEN 5 ELSE 3 END AS INT) AS weight FROM {grade_history}

@@ -23,7 +23,9 @@ def canonical_number(raw: Column) -> Column:
         F.when(value.isNull(), text)
         .when(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), F.lower(text))
         .when(whole, value.cast("bigint").cast("string"))
-        .when(F.abs(value) >= F.lit(1e15), value.cast("string"))
+        .when(F.abs(value) >= F.lit(1e16), F.replace(F.replace(
+            value.cast("string"), F.lit(".0E"), F.lit("E")), F.lit("E"), F.lit("e+")))
+        .when(F.abs(value) >= F.lit(1e15), F.concat(value.cast("bigint").cast("string"), F.lit(".0")))
         .otherwise(small)
     )
 
