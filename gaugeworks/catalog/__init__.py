@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("forecast", "grading", "transcripts")
+MODULES = ("forecast", "grading", "transcripts", "criteria")
 
 
 def load_all() -> None:

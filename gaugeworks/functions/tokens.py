@@ -20,30 +20,35 @@ def token_band(reported: Column) -> Column:
     return out.otherwise(F.lit(fixed.BAND_TOP))
 
 
-def visual_tokens(width: Column, height: Column) -> Column:
-    """Patches an image costs at the largest size meeting both limits.
+def _cost(width: Column, height: Column, edge: Column) -> Column:
+    """Patches of an image whose long edge is scaled to `edge`."""
+    scale = edge.cast("double") / F.greatest(width, height)
+    w = F.greatest(F.lit(1), F.bround(width * scale, 0))
+    h = F.greatest(F.lit(1), F.bround(height * scale, 0))
+    patch = float(fixed.PATCH_PX)
+    return (F.ceil(w / patch) * F.ceil(h / patch)).cast("bigint")
+
 
-    The cost never grows as the long edge shrinks, so the first feasible edge is
-    found by halving the interval, eleven steps over at most 1,568 sizes.
+def largest_edge(width: Column, height: Column) -> Column:
+    """The longest edge at which an image meets both limits.
+
+    The cost never grows as the edge shrinks, so the interval is halved, eleven
+    times for the 1,568 edges there can be.
     """
-    long_edge = F.greatest(width, height)
-    patch = float(fixed.PATCH_PX)
+    top = F.least(F.greatest(width, height), F.lit(fixed.MAX_LONG_EDGE)).cast("bigint")
 
-    def cost(edge: Column) -> Column:
-        scale = edge.cast("double") / long_edge
-        w = F.greatest(F.lit(1), F.bround(width * scale, 0))
-        h = F.greatest(F.lit(1), F.bround(height * scale, 0))
-        return (F.ceil(w / patch) * F.ceil(h / patch)).cast("bigint")
-
-    top = F.least(long_edge, F.lit(fixed.MAX_LONG_EDGE)).cast("bigint")
-    search = F.aggregate(
-        F.sequence(F.lit(1), F.lit(11)),
-        F.struct(F.lit(1).cast("bigint").alias("lo"), top.alias("hi")),
-        lambda s, _: F.when(
-            cost(F.floor((s["lo"] + s["hi"] + 1) / 2)) <= fixed.MAX_VISUAL_TOKENS,
-            F.struct(F.floor((s["lo"] + s["hi"] + 1) / 2).alias("lo"), s["hi"].alias("hi")),
-        ).otherwise(F.struct(
-            s["lo"].alias("lo"),
-            F.greatest(s["lo"], F.floor((s["lo"] + s["hi"] + 1) / 2) - 1).alias("hi"))),
-        lambda s: s["lo"])
-    return F.when((width <= 0) | (height <= 0), F.lit(0).cast("bigint")).otherwise(cost(search))
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"] + 1) / 2)
+        fits = _cost(width, height, mid) <= fixed.MAX_VISUAL_TOKENS
+        return F.struct(F.when(fits, mid).otherwise(s["lo"]).alias("lo"),
+                        F.when(fits, s["hi"]).otherwise(F.greatest(s["lo"], mid - 1)).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(11)),
+                       F.struct(F.lit(1).cast("bigint").alias("lo"), top.alias("hi")),
+                       halve, lambda s: s["lo"])
+
+
+def visual_tokens(width: Column, height: Column) -> Column:
+    """Patches an image costs at the largest size meeting both limits."""
+    return F.when((width <= 0) | (height <= 0), F.lit(0).cast("bigint")).otherwise(
+        _cost(width, height, largest_edge(width, height)))
