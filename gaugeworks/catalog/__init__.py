@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("forecast", "grading", "transcripts", "criteria")
+MODULES = ("forecast", "grading", "transcripts", "criteria", "reviews")
 
 
 def load_all() -> None:

@@ -389,7 +389,7 @@ def s12(t):
 view("label_documents", """
 SELECT doc_id, '<!-- fill in -->' || chr(10) || CASE WHEN doc_id % 7 = 0 THEN 'stray' || chr(10) ELSE '' END
   || '## Is your task underspecified?' || chr(10) || chr(10) || CASE WHEN doc_id % 3 = 0 THEN ' Yes.' WHEN doc_id % 3 = 1 THEN 'no' ELSE 'perhaps' END || chr(10)
-  || '## Underspecification level:' || chr(10) || CASE WHEN doc_id % 4 = 0 THEN 'Level 5 ' || chr(8211) || ' Full' WHEN doc_id % 4 = 1 THEN 'L2 - low' ELSE 'L2 - high' END || chr(10)
+  || '## Underspecification level:' || chr(10) || CASE WHEN doc_id % 4 = 0 THEN 'Level 5 – Full' WHEN doc_id % 4 = 1 THEN 'L2 - low' ELSE 'L2 - high' END || chr(10)
   || CASE WHEN doc_id % 5 = 0 THEN '' ELSE '## Does your task require browsing' || chr(10) || 'NO' || chr(10) END
   || '## Model failure category' || chr(10) || CASE WHEN doc_id % 6 = 5 THEN 'guessing' ELSE 'Grounding, correctness / reasoning' || chr(10) || 'grounding' END || chr(10)
   || CASE WHEN doc_id % 8 = 0 THEN '## Something else' || chr(10) ELSE '' END || '## Model failure justification' || chr(10) || 'It read ' || lang || '.' || chr(10) || 'Then it stopped.' AS text FROM {documents}""")
