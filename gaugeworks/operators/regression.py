@@ -17,17 +17,18 @@ def persistence(df: DataFrame) -> DataFrame:
     return df.withColumn("predicted_price", F.col("lag_price_1"))
 
 
-def ridge(rows: int, alpha: float = 10.0) -> list:
+def ridge(rows: int, spread: float, alpha: float = 10.0) -> list:
     """Standardised inputs and an L2 penalty of `alpha` on the summed squared error.
 
-    The scaler divides by the sample deviation, one over the population one would
-    be larger by sqrt(n / (n - 1)); the penalty carries that factor.
+    Spark scales inputs by the sample deviation, where the population one is meant
+    (a factor of (n - 1) / n on the penalty), averages the squared error (1 / n),
+    and divides the penalty by the label's population deviation, `spread`.
     """
     return [
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
         LinearRegression(featuresCol="features", labelCol="price_usd_mwh",
                          predictionCol="predicted_price", elasticNetParam=0.0,
-                         regParam=alpha * (rows - 1) / rows ** 2, standardization=False,
+                         regParam=spread * alpha * (rows - 1) / rows ** 2, standardization=False,
                          solver="normal"),
     ]
 
@@ -51,7 +52,8 @@ def fit(name: str, train: DataFrame, features: list[str]) -> PipelineModel | Non
     # Every stage and iteration reads the rows again.
     train = train.select(*features, "price_usd_mwh").persist()
     try:
-        stages = {"Ridge": lambda: ridge(train.count()), "RandomForest": forest,
+        size = train.agg(F.count("*"), F.stddev_pop("price_usd_mwh")).first()
+        stages = {"Ridge": lambda: ridge(*size), "RandomForest": forest,
                   "HistGradientBoosting": boosting}[name]()
         gather = VectorAssembler(inputCols=features, outputCol="raw_features",
                                  handleInvalid="skip")

@@ -14,7 +14,7 @@ SPLIT_BASE = 26280
 
 def split_of(pos: Column, rows: Column) -> Column:
     """The split of a row position, the boundaries scaled to the series' length."""
-    out = F
+    out, rows = F, rows.cast("bigint")
     for name, _, end in SPLITS[:-1]:
         out = out.when(pos * SPLIT_BASE < rows * end, F.lit(name))
     return out.otherwise(F.lit(SPLITS[-1][0]))
