@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# Text tables and their keys, and the size one input split may have.
+TEXT_TABLES = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+ONE_SPLIT = 128 * 1024 * 1024
+
 VIEWS: dict[str, str] = {}
 BUILT: dict[str, tuple[Callable[["Inputs"], DataFrame], str]] = {}
 QUERIES: dict[str, Callable[["Inputs"], DataFrame]] = {}
@@ -37,7 +41,7 @@ class Inputs:
             raise AttributeError(name)
         if name not in self._held:
             if name in TABLES:
-                made = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                made = self._read(name)
             elif name in BUILT:
                 made = BUILT[name][0](self)
             else:
@@ -45,6 +49,21 @@ class Inputs:
             self._held[name] = made
         return self._held[name]
 
+    def _read(self, name: str) -> DataFrame:
+        """A table; a text table under one input split is spread over the cores first.
+
+        Larger tables come in many splits and are read as they lie.
+        """
+        path = f"{self.folder}/{name}.parquet"
+        df = self.spark.read.parquet(path)
+        if name in TEXT_TABLES:
+            jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+            held = jvm.org.apache.hadoop.fs.Path(path)
+            size = held.getFileSystem(conf).getContentSummary(held).getLength()
+            if size < ONE_SPLIT:
+                return df.repartition(self.spark.sparkContext.defaultParallelism, TEXT_TABLES[name])
+        return df
+
     def sql(self, text: str) -> DataFrame:
         needed = {n: getattr(self, n) for n in names_in(text)}
         return self.spark.sql(text, **needed)

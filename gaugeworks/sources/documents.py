@@ -22,22 +22,22 @@ def sections_of(text: Column, heading: str) -> Column:
     """
     marked = F.transform(tx.lines(text), lambda line: F.when(
         line.rlike(heading), F.concat(F.lit("\u0001"), line)).otherwise(line))
-    parts = F.split(F.array_join(marked, "\n"), "(?m)^(?=\u0001)")
-    parts = F.filter(parts, lambda p: p != "")
-    sizes = F.transform(parts, lambda p: F.size(F.split(F.regexp_replace(p, "\n$", ""), "\n")))
+    parts = F.filter(F.split(F.array_join(marked, "\n"), "(?m)^(?=\u0001)"), lambda p: p != "")
+    parts = F.transform(parts, lambda p: F.split(F.regexp_replace(p, "\n$", ""), "\n"))
 
-    def one(part: Column, i: Column) -> Column:
-        rows = F.split(F.regexp_replace(part, "\n$", ""), "\n")
+    def one(rows: Column, at: Column) -> Column:
         first = F.get(rows, 0)
         opens = first.startswith("\u0001")
-        title = F.regexp_extract(F.regexp_replace(first, "\u0001", ""), heading, 1)
-        before = F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda a, n: a + n)
+        title = F.regexp_extract(F.substring(first, 2, 1_000_000), heading, 1)
         return F.struct(
             F.when(opens, title).alias("heading"),
-            (before + F.when(opens, 2).otherwise(1)).alias("first_line"),
+            F.when(opens, at + 1).otherwise(at).alias("first_line"),
             F.when(opens, F.slice(rows, F.lit(2), F.size(rows))).otherwise(rows).alias("lines"))
 
-    return F.transform(parts, one)
+    start = F.struct(F.array().cast(f"array<{SECTION}>").alias("out"), F.lit(1).alias("at"))
+    return F.aggregate(parts, start, lambda acc, rows: F.struct(
+        F.concat(acc["out"], F.array(one(rows, acc["at"]))).alias("out"),
+        (acc["at"] + F.size(rows)).alias("at")), lambda acc: acc["out"])
 
 
 def _lookup(key: Column, table: dict[str, str]) -> Column:
@@ -62,12 +62,17 @@ def criteria_lines(documents: DataFrame, key: str, text: str = "text") -> tuple[
         key, (F.col("first_line") - 1).alias("line_no"), F.lit("unknown heading").alias("problem"))
     rows = (headed.select(key, "category", "first_line", F.posexplode("lines").alias("_i", "line"))
             .where(F.col("line").rlike(r"\S"))
-            .select(key, "category", (F.col("first_line") + F.col("_i")).alias("line_no"), "line",
-                    F.regexp_extract("line", fixed.BULLET, 1).alias("bullet")))
-    prefix = F.regexp_extract("bullet", "(" + fixed.TAG_RUN + ")", 1)
-    tagged = rows.select("*", F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(
-        prefix, F.lit(fixed.ONE_TAG), F.lit(1)), F.lower))).alias("tags"),
-        tx.strip(F.regexp_replace("bullet", fixed.TAG_RUN, "")).alias("criteria"))
+            .select(key, "category", (F.col("first_line") + F.col("_i")).alias("line_no"), "line"))
+    # Bullets under a known heading are few; the rest is told apart by two cheap tests.
+    is_bullet, headless = F.col("line").rlike(fixed.BULLET), F.col("category").isNull()
+    stray = rows.where(~is_bullet | headless).select(key, "line_no", F.when(
+        ~is_bullet, "not a heading or a bullet").otherwise("not under a known heading").alias("problem"))
+    bullet = F.regexp_extract("line", fixed.BULLET, 1)
+    prefix = F.regexp_extract(bullet, "(" + fixed.TAG_RUN + ")", 1)
+    tagged = rows.where(is_bullet & ~headless).select(
+        key, "category", "line_no", F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(
+            prefix, F.lit(fixed.ONE_TAG), F.lit(1)), F.lower))).alias("tags"),
+        tx.strip(F.regexp_replace(bullet, fixed.TAG_RUN, "")).alias("criteria"))
     numeric = lambda t: t.rlike(r"^[+-]?\d+$")
     values = F.transform(F.filter("tags", numeric), lambda t: t.cast("int"))
     allowed = F.filter(values, lambda v: v.isin(*fixed.WEIGHTS))
@@ -76,28 +81,24 @@ def criteria_lines(documents: DataFrame, key: str, text: str = "text") -> tuple[
     legacy = F.when(has(["must"]), 5).when(has(["should"]), 1).when(has(["negative"]), 5)
     legacy = F.when(has(["negative"]), -legacy).otherwise(legacy)
     read = tagged.select(
-        "*", F.coalesce(F.try_element_at(allowed, F.lit(-1)), legacy).alias("weight"),
+        key, "category", "line_no", "criteria",
+        F.coalesce(F.try_element_at(allowed, F.lit(-1)), legacy).alias("weight"),
         (F.size(values) > F.size(allowed)).alias("_off"),
         F.exists("tags", lambda t: ~numeric(t) & ~t.isin(*known)).alias("_unknown"),
         has(fixed.STATE_TAGS).alias("_state"), has(fixed.USER_TAGS).alias("_user"))
-    not_bullet, headless = F.col("bullet") == "", F.col("category").isNull()
-    both = F.col("_state") & F.col("_user")
-    no_weight = F.col("weight").isNull()
+    both, no_weight = F.col("_state") & F.col("_user"), F.col("weight").isNull()
     problems = F.array_compact(F.array(
-        F.when(not_bullet, "not a heading or a bullet"),
-        F.when(~not_bullet & headless, "not under a known heading"),
-        F.when(~not_bullet & ~headless & F.col("_off"), "weight not allowed"),
-        F.when(~not_bullet & ~headless & F.col("_unknown"), "unknown tag"),
-        F.when(~not_bullet & ~headless & both, "checked in two places"),
-        F.when(~not_bullet & ~headless & ~both & no_weight & ~F.col("_off"), "no weight"),
-        F.when(~not_bullet & ~headless & ~both & ~no_weight & (F.col("criteria") == ""), "no text")))
-    read = read.withColumn("problems", problems)
-    kept = read.where(~not_bullet & ~headless & ~both & ~no_weight & (F.col("criteria") != "")).select(
+        F.when(F.col("_off"), "weight not allowed"), F.when(F.col("_unknown"), "unknown tag"),
+        F.when(both, "checked in two places"),
+        F.when(~both & no_weight & ~F.col("_off"), "no weight"),
+        F.when(~both & ~no_weight & (F.col("criteria") == ""), "no text")))
+    kept = read.where(~both & ~no_weight & (F.col("criteria") != "")).select(
         key, "line_no", "category", "weight", "criteria",
         F.array(_lookup(F.col("category"), fixed.LABEL_OF_CATEGORY),
                 F.when(F.col("_state"), fixed.STATE_CHANGE).otherwise(fixed.USER_FACING)).alias("type"),
         F.md5("criteria").alias("criterion_id"))
-    rejected = read.select(key, "line_no", F.explode("problems").alias("problem")).unionByName(bad_heads)
+    rejected = read.select(key, "line_no", F.explode(problems).alias("problem")).unionByName(
+        stray).unionByName(bad_heads)
     return kept, rejected
 
 
