@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gaugeworks.catalog.base import Inputs, built, query, view
 from gaugeworks.operators import bootstrap, features, metrics, regression, selection, spikes, splits
 from gaugeworks.operators.series import longest_series
+from gaugeworks.session import cut_lineage
 
 ZONES = ["click", "error", "purchase", "signup", "view"]
 # Rows a window task is meant to hold, and rows of a halo block.
@@ -66,10 +67,17 @@ SELECT quantile_cont(price_usd_mwh, 0.95) FILTER (WHERE split = 'TRAIN') AS spik
 FROM {in_split}""")
 
 
+def featured(t: Inputs):
+    """The split feature table, written once: thresholds and labels both read it."""
+    if "_featured" not in t.__dict__:
+        t.__dict__["_featured"] = cut_lineage(t.in_split)
+    return t.__dict__["_featured"]
+
+
 def limits(t: Inputs) -> dict[str, tuple[float, float]]:
     held = t.__dict__.setdefault("_limits", {})
     if not held:
-        held.update(splits.thresholds(t.in_split, t.observations.count()))
+        held.update(splits.thresholds(featured(t), t.observations.count()))
     return held
 
 
@@ -80,7 +88,7 @@ SELECT s.*, l.spike, l.leaked,
 FROM {in_split} s, {limits_sql} l""")
 def labelled(t: Inputs):
     spike, volatile = limits(t)["FROZEN_PRE_SHIFT"]
-    return t.in_split.withColumn("regime", splits.regime(
+    return featured(t).withColumn("regime", splits.regime(
         F.col("price_usd_mwh"), F.col("roll_price_std_24"), spike, volatile))
 
 
@@ -493,7 +501,8 @@ def boot_rows(t: Inputs):
     rows = t.labelled.where((F.col("split") == "TEST_SHIFTED") & F.col("is_eligible_eval")).select(
         "series_id", "ts", "event_id", F.col("price_usd_mwh").alias("actual_price"),
         F.col("lag_price_1").alias("baseline_price"), F.col("roll_price_mean_24").alias("candidate_price"))
-    return bootstrap.error_rows(number_rows(rows, ["series_id"], "ts", "event_id", TASK_ROWS))
+    return cut_lineage(bootstrap.error_rows(number_rows(
+        rows, ["series_id"], "ts", "event_id", TASK_ROWS)))
 
 
 @query("a14_block_bootstrap", """
@@ -518,19 +527,14 @@ SELECT round(p.c, 6) AS candidate_wmape, round(p.b, 6) AS baseline_wmape, round(
 FROM g, p GROUP BY p.b, p.c""")
 def a14(t):
     rows = t.boot_rows
-    n = _eligible_shifted(t)
-    reps = bootstrap.block_replicates(rows, n, max_rows=TASK_ROWS, window_block=HALO_BLOCK)
+    reps = bootstrap.block_replicates(rows, rows.count(), max_rows=TASK_ROWS, window_block=HALO_BLOCK)
     return bootstrap.interval(reps, rows, "moving_block_bootstrap", 24, 400)
 
 
-def _eligible_shifted(t) -> int:
-    return t.in_split.where((F.col("split") == "TEST_SHIFTED") & F.col("is_eligible_eval")).count()
-
-
 @query("a15_iid_bootstrap")
 def a15(t):
     rows = t.boot_rows
-    reps = bootstrap.iid_replicates(rows, _eligible_shifted(t))
+    reps = bootstrap.iid_replicates(rows, rows.count())
     return bootstrap.interval(reps, rows, "naive_iid_resampling", 1, 400)
 
 
