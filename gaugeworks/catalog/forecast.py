@@ -430,19 +430,19 @@ def a13(t):
 # --- joins ----------------------------------------------------------------------
 
 @query("j01_regime_by_key", """
-SELECT regime, model_name, count(*) AS n, round(sum(predicted_price), 4) AS predicted_sum
+SELECT regime, model_name, count(*) AS n, round(sum(predicted_price), 6) AS predicted_sum
 FROM {predictions} WHERE split = 'TEST_SHIFTED' AND is_eligible_eval GROUP BY ALL""")
 def j01(t):
     held = t.labelled.select("series_id", "pos", "regime")
     rows = _shifted(t).drop("regime").join(held, ["series_id", "pos"])
     return rows.groupBy("regime", "model_name").agg(
-        F.count("*").alias("n"), F.round(F.sum("predicted_price"), 4).alias("predicted_sum"))
+        F.count("*").alias("n"), F.round(F.sum("predicted_price"), 6).alias("predicted_sum"))
 
 
 @query("j02_candidate_vs_baseline", """
 SELECT c.zone, count(*) AS n, count(*) FILTER (abs(c.actual_price - c.predicted_price)
     < abs(b.actual_price - b.predicted_price)) AS candidate_closer,
-  round(sum(abs(b.actual_price - b.predicted_price) - abs(c.actual_price - c.predicted_price)), 4) AS gain
+  round(sum(abs(b.actual_price - b.predicted_price) - abs(c.actual_price - c.predicted_price)), 6) AS gain
 FROM {predictions} c JOIN {predictions} b ON c.series_id = b.series_id AND c.pos = b.pos
 WHERE c.model_name = 'RollingMean' AND b.model_name = 'Persistence' AND c.split = 'TEST_SHIFTED'
   AND c.is_eligible_eval GROUP BY c.zone""")
@@ -452,7 +452,7 @@ def j02(t):
     cand = F.abs(F.col("actual_price") - F.col("candidate_price"))
     return pairs.groupBy("zone").agg(
         F.count("*").alias("n"), F.count_if(cand < base).alias("candidate_closer"),
-        F.round(F.sum(base - cand), 4).alias("gain"))
+        F.round(F.sum(base - cand), 6).alias("gain"))
 
 
 def _paired(t):
@@ -476,7 +476,7 @@ def j03(t):
 
 
 @query("u01_union_of_models", """
-SELECT model_name, split, count(*) AS n, round(sum(predicted_price), 4) AS predicted_sum
+SELECT model_name, split, count(*) AS n, round(sum(predicted_price), 6) AS predicted_sum
 FROM {predictions} GROUP BY ALL""")
 def u01(t):
     base = t.labelled.select("split", F.lit("Persistence").alias("model_name"),
@@ -484,7 +484,7 @@ def u01(t):
     cand = t.labelled.select("split", F.lit("RollingMean").alias("model_name"),
                              F.col("roll_price_mean_24").alias("predicted_price"))
     return base.unionByName(cand).groupBy("model_name", "split").agg(
-        F.count("*").alias("n"), F.round(F.sum("predicted_price"), 4).alias("predicted_sum"))
+        F.count("*").alias("n"), F.round(F.sum("predicted_price"), 6).alias("predicted_sum"))
 
 
 # --- bootstraps -----------------------------------------------------------------
