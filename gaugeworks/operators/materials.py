@@ -90,19 +90,26 @@ def accounts_differ(files: DataFrame, prose: DataFrame) -> DataFrame:
     return said.select("task_id", "path", side.alias("side")).where("side IS NOT NULL")
 
 
-def shown_outputs(files: DataFrame, budget: int = fixed.OUTPUT_CHAR_BUDGET) -> DataFrame:
+def shown_outputs(files: DataFrame, budget: int = fixed.OUTPUT_CHAR_BUDGET, salts: int = 64) -> DataFrame:
     """How much of each produced file's text fits a run's budget: new files first, then by path.
 
     `files` is (run_id, path, state, n_chars). Text beyond the budget is cut, and
-    files after it are listed without text. Only files that start within the
-    budget matter, so the longest prefix is found on sums rather than on texts.
+    files after it are listed without text. A file with text takes at least one
+    character, so of every salted share of a run only its first `budget` such
+    files can start within it; those alone are summed in order, at most `budget`
+    times `salts` rows, and every other file is listed as it is.
     """
-    order = Window.partitionBy("run_id").orderBy((F.col("state") != "new"), "path").rowsBetween(
-        Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n_chars").over(order), F.lit(0))
-    left = F.greatest(F.lit(0), budget - before)
-    return files.select("run_id", "path", "state", "n_chars", F.least(left, F.col("n_chars")).alias("shown_chars"),
-                        (F.col("n_chars") > left).alias("cut"))
+    order = (F.col("state") != "new", F.col("path"))
+    share = Window.partitionBy("run_id", F.pmod(F.hash("path"), F.lit(salts))).orderBy(*order)
+    ranked = files.where("n_chars > 0").withColumn("_rn", F.row_number().over(share))
+    running = Window.partitionBy("run_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n_chars").over(running), F.lit(0))
+    first = ranked.where(F.col("_rn") <= budget).withColumn("_left", F.greatest(F.lit(0), budget - before))
+    rest = ranked.where(F.col("_rn") > budget).withColumn("_left", F.lit(0).cast("bigint"))
+    empty = files.where("n_chars = 0").select("*", F.lit(0).alias("_rn"), F.lit(0).cast("bigint").alias("_left"))
+    return first.unionByName(rest).unionByName(empty).select(
+        "run_id", "path", "state", "n_chars", F.least("_left", "n_chars").alias("shown_chars"),
+        (F.col("n_chars") > F.col("_left")).alias("cut"))
 
 
 def paths_nobody_has(tests: DataFrame, files: DataFrame, prompts: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from gaugeworks.functions import text as tx
 from gaugeworks.functions.numbers import canonical_number, numbers_in
 from gaugeworks.functions.tokens import visual_tokens
 from gaugeworks.functions.udfs import last_rating
-from gaugeworks.operators import criteria, findings, grading, manifests, packages, provenance, runs, transcripts, whatif
+from gaugeworks.operators import criteria, findings, grading, manifests, materials, packages, provenance, runs, transcripts, whatif
 from gaugeworks.plans import grade, review, vote
 from gaugeworks.sources import documents as docs, readers, transcripts as src
 from gaugeworks.streaming import sessions as live
@@ -184,6 +184,17 @@ def test_snapshot_skips_and_goes_on(spark):
     assert got == {"a": "kept", "b": "over_total", "c": "kept", "d": "over_file_cap"}
 
 
+def test_outputs_shown_within_a_budget(spark):
+    rng = random.Random(6)
+    rows = [("r", f"p{i:03d}", rng.choice(["new", "changed"]), rng.randrange(4)) for i in range(60)]
+    left, want = 20, {}
+    for _, path, state, n in sorted(rows, key=lambda r: (r[2] != "new", r[1])):
+        want[path] = (min(left, n), n > left)
+        left -= min(left, n)
+    df = spark.createDataFrame(rows, "run_id string, path string, state string, n_chars bigint")
+    assert {r.path: (r.shown_chars, r.cut) for r in materials.shown_outputs(df, 20, 4).collect()} == want
+
+
 def test_visual_tokens_against_the_walk_down(spark):
     sizes = [(1, 1), (28, 28), (1568, 1568), (4000, 3000), (100, 9000), (1092, 1092), (0, 5)]
 
