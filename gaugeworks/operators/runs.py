@@ -17,7 +17,7 @@ def near_identical(now: DataFrame, earlier: DataFrame,
     that close have lengths within `most` words of each other and, cut in
     most + 1 equal stretches from the left or the right, share a stretch; both
     are join keys, so only prompts sharing one are compared. Equal prompts are
-    compared once.
+    settled first and compared with nothing else.
     """
     keys = ["workspace_sha256", "environment_sha256"]
 
@@ -47,12 +47,19 @@ def near_identical(now: DataFrame, earlier: DataFrame,
            .agg(F.min(F.struct("started", "run_id")).alias("_first"))
            .select(*keys, "prompt", F.col("_first.run_id").alias("run_id"),
                    F.col("_first.started").alias("started")))
-    new = now.select(*keys, "prompt").distinct()
+    asked = now.select(*keys, "prompt").distinct()
+    same = asked.join(old, [*keys, "prompt"]).select(
+        *keys, F.col("prompt").alias("_now"), F.lit(0).cast("bigint").alias("words"), "started", "run_id")
+    new = asked.join(old, [*keys, "prompt"], "left_anti")
     a = pieces(new, True).select(*keys, "_len", "i", "stretch", F.col("prompt").alias("_now"))
     b = pieces(old, False)
     pairs = a.join(b, [*keys, "_len", "i", "stretch"]).select(
         *keys, "_now", "prompt", "run_id", "started").distinct()
-    close = pairs.withColumn("words", words_changed("prompt", "_now")).where(F.col("words") <= most)
+    # Each changed word puts at most one word on either side that the other lacks.
+    x, y = (F.array_remove(F.split(c, r"\s+"), "") for c in ("prompt", "_now"))
+    pairs = pairs.where((F.size(F.array_except(x, y)) <= most) & (F.size(F.array_except(y, x)) <= most))
+    close = (pairs.withColumn("words", words_changed("prompt", "_now")).where(F.col("words") <= most)
+             .select(*keys, "_now", "words", "started", "run_id").unionByName(same))
     best = close.groupBy(*keys, "_now").agg(F.min(F.struct("words", "started", "run_id")).alias("m"))
     return now.join(best.select(*keys, F.col("_now").alias("prompt"), F.col("m.run_id").alias("like_run"),
                                 F.col("m.words").alias("words")), [*keys, "prompt"])
