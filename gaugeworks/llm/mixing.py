@@ -131,7 +131,7 @@ def mix(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) ->
     put = fresh(df, "size", "source_size", "target", "taken")
     held = fresh(df, "mix_place", "s")
     place = written(placed(df, seed), "places")
-    cut = cuts(place, weights)
+    cut = written(cuts(place, weights), "cuts")
     marked = df.withColumn(held[0], F.struct(*_place_columns(seed))).withColumn(held[1], F.col(f"{held[0]}.s"))
     cut = cut.select(F.col("s").alias(held[1]), F.struct("source_size", "target", "epochs", "rest", "cut", "part").alias("goal_of_mix"))
     both = marked.join(cut, held[1], "left")

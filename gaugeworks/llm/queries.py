@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeworks.llm import mixing, quality as quality_rules
+from gaugeworks.llm import mixing, pieces, quality as quality_rules, toxicity as toxic
+
+SENTENCEPIECE = "piece_bpe_32k.model"
 
 QUERIES = {}
 ORACLES = {}
@@ -32,3 +36,21 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(quality_rules.ORACLE)
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(_table(spark, sf_dir, "documents")).drop("failed")
+
+
+@_query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxic.toxicity(documents, _table(spark, sf_dir, "labels")).drop("text")
+
+
+@_query()
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number of pieces, a digest of their ids, and whether decoding gives the text back."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(SENTENCEPIECE)
+    both = pieces.decode(pieces.encode(documents, path), path)
+    # The format writes a blank and its own marker alike.
+    text = F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+                       (F.col("decoded") == text).alias("round_trip"))
