@@ -15,16 +15,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.store import fresh
-from gaugeworks.llm.words import row_words
+from gaugeworks.llm.words import mixed, row_words
 
 HEADS = (4, 5, 6)
 GRADES = 4
 #: Labelled rows the model is fitted on at most, by the order of a hash of their ids.
 MOST_LABELLED = 8_000
 #: Features kept, those that tell the classes apart best.
-MOST_FEATURES = 4_096
+MOST_FEATURES = 2_048
 LEAST_SEEN = 4
-L2 = 0.5
+#: Times more frequent among toxic texts than among all that a feature must be.
+LEAST_LIFT = 4
+L2 = 0.1
 STEPS = 400
 
 
@@ -74,8 +76,9 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n: int, width: int, grade: n
                 l2: float = L2, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds that maximise the penalised likelihood, by Adam on all rows.
 
-    Row i has feature j where some k has rows[k] = i and cols[k] = j. Gaps between
-    thresholds are exponentials, so thresholds cannot cross.
+    Row i has feature j where some k has rows[k] = i and cols[k] = j. Weights stay at
+    or above 0: every feature is a sign of severity. Gaps between thresholds
+    are exponentials, so thresholds cannot cross.
     """
     levels = GRADES - 1
     at_most = np.array([(grade <= k).mean() for k in range(levels)]).clip(1e-3, 1 - 1e-3)
@@ -98,23 +101,44 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n: int, width: int, grade: n
         for k, (keep, part) in enumerate(((0.9, gradient), (0.999, gradient**2))):
             state[k] = keep * state[k] + (1 - keep) * part
         move = 0.05 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.999**step)) + 1e-8)
-        w, shape = w + move[:width], shape + move[width:]
+        w, shape = np.maximum(w + move[:width], 0), shape + move[width:]
     return w, shape[0] + np.concatenate([[0.0], np.cumsum(np.exp(shape[1:]))])
 
 
-def graded(toxic: np.ndarray, marked: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """0 for a clean row; a toxic row is 1, 2 or 3 by the third its density of marked features lies in."""
+def graded(toxic: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """0 for a clean row; a toxic row is 1, 2 or 3 by the third its number of marked features lies in."""
     grade = np.zeros(len(toxic), np.int64)
-    density = marked / np.maximum(size, 1)
     mine = toxic > 0
     if mine.any():
-        cuts = np.quantile(density[mine], [1 / 3, 2 / 3])
-        grade[mine] = 1 + (density[mine][:, None] > cuts[None, :]).sum(1)
+        cuts = np.quantile(marked[mine], [1 / 3, 2 / 3])
+        grade[mine] = 1 + (marked[mine][:, None] > cuts[None, :]).sum(1)
     return grade
 
 
+def distinct(rows: np.ndarray, values: np.ndarray, n: int, bands: int = 6, width: int = 4) -> np.ndarray:
+    """True for one row of each group of near copies, so that copies do not vote many times.
+
+    Rows meet where all min-hashes of one of several bands, over their rarer features, agree.
+    """
+    names, col = np.unique(values, return_inverse=True)
+    rare = np.bincount(col, minlength=len(names))[col] <= max(2, n // 50)
+    rows, values = rows[rare], values[rare]
+    label = np.arange(n)
+    if len(rows):
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        owner = rows[first]
+        least_of = [np.minimum.reduceat(mixed(values ^ np.uint64(77 * k + 1)), first) for k in range(bands * width)]
+        keys = [np.unique(mixed(sum(mixed(x + np.uint64(i)) for i, x in enumerate(least_of[k * width:(k + 1) * width]))),
+                          return_inverse=True)[1] for k in range(bands)]
+        for key in keys * 3:
+            least = np.full(key.max() + 1, n)
+            np.minimum.at(least, key, label[owner])
+            label[owner] = least[key]
+    return label == np.arange(n)
+
+
 def fit(labelled: pa.Table) -> Severity:
-    """The model of rows (toxic, found); rows with the same features count once.
+    """The model of rows (toxic, found); of near copies one row counts.
 
     Without rows of both classes every score is 0 and the thresholds say "clean".
     """
@@ -124,11 +148,7 @@ def fit(labelled: pa.Table) -> Severity:
     ends = lists.offsets.to_numpy().astype(np.int64)
     values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[ends[0]:ends[-1]]
     rows = np.repeat(np.arange(len(toxic)), np.diff(ends))
-    sums = np.zeros(len(toxic), np.uint64)
-    np.add.at(sums, rows, values)
-    _, first = np.unique(np.stack([sums, toxic.view(np.uint64)], 1), axis=0, return_index=True)
-    once = np.zeros(len(toxic), bool)
-    once[first] = True
+    once = distinct(rows, values, len(toxic))
     values, rows = values[once[rows]], (np.cumsum(once) - 1)[rows[once[rows]]]
     toxic = toxic[once]
     n, n_pos = len(toxic), int(toxic.sum())
@@ -138,16 +158,16 @@ def fit(labelled: pa.Table) -> Severity:
     pos = np.bincount(col, toxic[rows].astype(float), len(names))
     seen = np.bincount(col, minlength=len(names)).astype(float)
     expected = seen * n_pos / n
-    gain = np.where(seen >= LEAST_SEEN, (pos - expected) ** 2 / (expected * (1 - seen / n) + 1e-9), -1.0)
+    # A word that speaks for a clean text could hide one that does not, so only signs of toxicity count.
+    gain = np.where((seen >= LEAST_SEEN) & (pos > LEAST_LIFT * expected), (pos - expected) ** 2 / (expected * (1 - seen / n) + 1e-9), -1.0)
     best = np.sort(np.lexsort((names, -gain))[:MOST_FEATURES])
     best = best[gain[best] > 0]
     place = np.full(len(names), -1)
     place[best] = np.arange(len(best))
     held = place[col] >= 0
-    size = np.bincount(rows, minlength=n)
     rows, cols = rows[held], place[col[held]]
     only = (pos[best] / seen[best]) > 0.9
-    grade = graded(toxic, np.bincount(rows, only[cols].astype(float), n), size)
+    grade = graded(toxic, np.bincount(rows, only[cols].astype(float), n))
     w, t = fit_ordinal(rows, cols, n, len(best), grade)
     return Severity(names[best], w, t)
 
