@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import mixing, pieces, quality as quality_rules, toxicity as toxic
+from gaugeworks.llm import jaccard, mixing, pieces, quality as quality_rules, toxicity as toxic
 
 SENTENCEPIECE = "piece_bpe_32k.model"
 
@@ -54,3 +54,8 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
                        (F.col("decoded") == text).alias("round_trip"))
+
+
+@_query()
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(_table(spark, sf_dir, "documents"))
