@@ -20,7 +20,7 @@ from gaugeworks.llm.words import mixed, row_words
 HEADS = (4, 5, 6)
 GRADES = 4
 #: Labelled rows the model is fitted on at most, by the order of a hash of their ids.
-MOST_LABELLED = 8_000
+MOST_LABELLED = 6_000
 #: Features kept, those that tell the classes apart best.
 MOST_FEATURES = 2_048
 LEAST_SEEN = 4
