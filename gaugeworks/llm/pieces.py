@@ -7,9 +7,11 @@ several threads.
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Texts given to the library at once, by characters.
 BATCH_CHARS = 1 << 20
+#: Distinct words a Python worker keeps the pieces of.
+MOST_WORDS = 600_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -144,21 +148,107 @@ def tokenizer(model: Model):
     return made
 
 
-_held: dict[str, object] = {}
-
-
-def loaded(path: str):
-    """The tokenizer of a model file, built once a Python worker."""
+class Codec:
+    """A model's tokenizer, with the words met so far and the bytes of each piece.
+
+    Where no piece reaches over a word's end, a text is the sequence of its words'
+    pieces; each distinct word is encoded once and kept, up to MOST_WORDS of them.
+    """
+
+    def __init__(self, model: Model):
+        from tokenizers import Tokenizer
+
+        self.whole = tokenizer(model)
+        self.by_word = self.whole.pre_tokenizer is not None and not any(
+            kind == USER_DEFINED for _, _, kind in model.pieces)
+        self.core = Tokenizer(self.whole.model)
+        self.plain = not model.charsmap and not model.squeeze
+        self.prefix = MARK if model.dummy_prefix else ""
+        self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self._forget()
+        unknown = " \u2047 ".encode()
+        parts = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else unknown if kind == UNKNOWN
+                 else p.replace(MARK, " ").encode() for p, _, kind in model.pieces]
+        self.piece_bytes = np.frombuffer(b"".join(parts), np.uint8)
+        self.piece_size = np.array([len(x) for x in parts], np.int64)
+        self.piece_start = np.cumsum(self.piece_size) - self.piece_size
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.size, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        made = self.core.encode_batch_fast(words, add_special_tokens=False)
+        got = [x.ids for x in made]
+        size = np.array([len(x) for x in got], np.int64)
+        self.known.update(zip(words, range(len(self.size), len(self.size) + len(words))))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, np.fromiter((i for x in got for i in x), np.int32, int(size.sum()))])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, pieces of each text)."""
+        if not self.by_word:
+            got = [x.ids for x in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, np.int32), *(np.array(x, np.int32) for x in got)]), np.array(
+                [len(x) for x in got], np.int64)
+        normal = ([self.prefix + x.replace(" ", MARK) if x else "" for x in texts] if self.plain
+                  else [self.whole.normalizer.normalize_str(x) for x in texts])
+        lists = [self.words.findall(x) for x in normal]
+        words = list(chain.from_iterable(lists))
+        if len(self.known) > MOST_WORDS:
+            self._forget()
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        ends = np.concatenate([[0], np.cumsum(self.size[at])])
+        cuts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+        return _gathered(self.ids, self.start[at], self.size[at]), np.diff(ends[cuts])
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of the id lists that end at `ends` (from 0)."""
+        ids = ids.astype(np.int64)
+        size = self.piece_size[ids]
+        data = _gathered(self.piece_bytes, self.piece_start[ids], size)
+        cuts = np.concatenate([[0], np.cumsum(size)])[ends]
+        if self.prefix:  # the blank before the first word was not in the text
+            first = np.zeros(len(data) + 1, bool)
+            first[cuts[:-1][np.diff(cuts) > 0]] = True
+            drop = first[:-1] & (data == 32)
+            gone = np.concatenate([[0], np.cumsum(drop)])
+            data, cuts = data[~drop], cuts - gone[cuts]
+        made = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data))
+        try:
+            made.validate(full=True)
+            return made
+        except pa.ArrowInvalid:  # bytes that are no text: each becomes a replacement character
+            whole = data.tobytes()
+            return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])], pa.large_string())
+
+
+def _gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of `flat`, one after the other."""
+    before = np.cumsum(size) - size
+    return flat[np.repeat(start - before, size) + np.arange(int(size.sum()))]
+
+
+_held: dict[str, Codec] = {}
+
+
+def loaded(path: str) -> Codec:
+    """The codec of a model file, built once a Python worker."""
     if path not in _held:
         with open(path, "rb") as file:
-            _held[path] = tokenizer(parse(file.read()))
+            _held[path] = Codec(parse(file.read()))
     return _held[path]
 
 
-def _batches(texts: list[str]) -> Iterator[list[str]]:
-    """Successive texts of about BATCH_CHARS characters; a longer text is a batch of its own."""
+def _batches(texts: pa.Array) -> Iterator[list[str]]:
+    """Successive texts of about BATCH_CHARS characters, null as empty; a longer text is a batch of its own."""
     batch, size = [], 0
     for text in texts:
+        text = text.as_py() or ""
         if batch and size + len(text) > BATCH_CHARS:
             yield batch
             batch, size = [], 0
@@ -168,20 +258,33 @@ def _batches(texts: list[str]) -> Iterator[list[str]]:
         yield batch
 
 
+def _encoded(codec: Codec, column: pa.Array) -> pa.ListArray:
+    got = [codec.encode(batch) for batch in _batches(column)]
+    ends = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *(g[1] for g in got)]))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                    pa.array(np.concatenate([np.zeros(0, np.int32), *(g[0] for g in got)])))
+
+
+def _decoded(codec: Codec, column: pa.ListArray) -> pa.Array:
+    if column.null_count:
+        column = column.fill_null([])
+    ends = column.offsets.to_numpy().astype(np.int64)
+    ids = column.values.to_numpy(zero_copy_only=False)
+    parts, lo = [], 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + BATCH_CHARS, "right")) - 1)
+        parts.append(codec.decode(ids[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo]))
+        lo = hi
+    return pa.concat_arrays([x.cast(pa.string()) for x in parts]) if parts else pa.array([], pa.string())
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """`df` with `ids`, an array of piece ids without begin or end; null and empty texts have none."""
     out, = fresh(df, ids)
 
     @F.arrow_udf("array<int>")
     def encoded(column: pa.Array) -> pa.Array:
-        codec = loaded(path)
-        parts, ends = [], [0]
-        for batch in _batches([x or "" for x in column.to_pylist()]):
-            for got in codec.encode_batch_fast(batch, add_special_tokens=False):
-                parts.append(np.array(got.ids, np.int32))
-                ends.append(ends[-1] + len(parts[-1]))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                        pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
+        return _encoded(loaded(path), column)
     return df.withColumn(out, encoded(F.col(text)))
 
 
@@ -191,14 +294,30 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
     @F.arrow_udf("string")
     def decoded(column: pa.Array) -> pa.Array:
-        codec, made, batch, size = loaded(path), [], [], 0
-        for one in column:
-            batch.append([] if not one.is_valid else one.values.to_pylist())
-            size += len(batch[-1])
-            if size > BATCH_CHARS:
-                made += codec.decode_batch(batch, skip_special_tokens=False)
-                batch, size = [], 0
-        if batch:
-            made += codec.decode_batch(batch, skip_special_tokens=False)
-        return pa.array(made, pa.string())
+        return _decoded(loaded(path), column)
     return df.withColumn(out, decoded(F.col(ids)))
+
+
+def both_ways(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """`df` with `ids` and `decoded`, each row encoded and decoded in one visit to Python."""
+    put = fresh(df, "ids", "decoded", "of_pieces")
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def coded(column: pa.Array) -> pa.Array:
+        codec = loaded(path)
+        ids = _encoded(codec, column)
+        return pa.StructArray.from_arrays([ids, _decoded(codec, ids)], ["ids", "decoded"])
+    held = df.withColumn(put[2], coded(F.col(text)))
+    return held.select(*(F.col(f"`{c}`") for c in df.columns), F.col(f"{put[2]}.ids").alias(put[0]),
+                       F.col(f"{put[2]}.decoded").alias(put[1]))
+
+
+def unlike(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """The rows of `df` whose ids are not those the model's own library gives."""
+    @F.arrow_udf("boolean")
+    def differs(texts: pa.Array, got: pa.Array) -> pa.Array:
+        from sentencepiece import SentencePieceProcessor
+
+        own = SentencePieceProcessor(model_file=path)
+        return pa.array([own.encode(a.as_py() or "") != b.as_py() for a, b in zip(texts, got)], pa.bool_())
+    return df.filter(differs(F.col(text), F.col(ids)))

@@ -49,7 +49,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number of pieces, a digest of their ids, and whether decoding gives the text back."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(SENTENCEPIECE)
-    both = pieces.decode(pieces.encode(documents, path), path)
+    both = pieces.both_ways(documents, path)
     # The format writes a blank and its own marker alike.
     text = F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
