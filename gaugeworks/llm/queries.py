@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import jaccard, mixing, pieces, quality as quality_rules, toxicity as toxic
+from gaugeworks.llm import jaccard, mixing, pieces, quality as quality_rules, tokencount, toxicity as toxic
 
 SENTENCEPIECE = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
+TOKEN_LIMIT = 512
 
 QUERIES = {}
 ORACLES = {}
@@ -59,3 +61,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(BYTE_BPE)
+    return tokencount.counted(documents, path, TOKEN_LIMIT).drop("text")
