@@ -3,8 +3,8 @@
 Copies of a set are folded first. Sets meet at shingles of their prefixes, the first
 quarter in an order that puts common shingles last, within neighbouring size bands;
 bitmap signatures bound the overlap from above, and what is left is decided by
-intersecting sorted arrays. First each set is tried against the least set at each
-shared shingle; only sets still in different components are tried against each other.
+intersecting sorted arrays. First each set is tried against one that is least at
+many of its shingles; only sets still in different components are tried against each other.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ WORDS = 5
 #: Documents link where 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
 SLOTS = 1 << 17
-BITMAP = 1024
+#: Bits of a bitmap: a power of two, at least twice the set's size within these bounds.
+LEAST_BITS, MOST_BITS = 512, 1 << 17
 #: Rows the counts of tasks are added up in before the driver adds those.
 SUMS = 32
 FILTER_BITS = 1 << 23
@@ -78,19 +79,23 @@ def _names(row: np.ndarray, found: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return size, name.view(np.int64), ends
 
 
+def _bitmap(found: np.ndarray) -> bytes:
+    bits = np.zeros(min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(found)).bit_length())), np.uint8)
+    bits[(found & np.uint64(len(bits) - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document: id, size, set name and bitmap; a last one with the task's counts by slot."""
     counts, ids = np.zeros(SLOTS, np.int64), None
     for batch in batches:
         ids = batch.column(0)
         for lo, n, row, found in _sets(batch.column(1)):
-            size, name, _ = _names(row, found, n)
+            size, name, ends = _names(row, found, n)
             counts += np.bincount((found >> np.uint64(64 - 17)).astype(np.int64), minlength=SLOTS)
-            bits = np.zeros((n, BITMAP), np.uint8)
-            bits[row, (found & np.uint64(BITMAP - 1)).astype(np.int64)] = 1
-            packed = np.packbits(bits, axis=1)
+            packed = [_bitmap(found[x:y]) for x, y in zip(ends[:-1], ends[1:])]
             yield pa.record_batch([ids.slice(lo, n), pa.array(size), pa.array(name),
-                                   pa.array([x.tobytes() for x in packed], pa.binary()),
+                                   pa.array(packed, pa.binary()),
                                    pa.nulls(n, pa.binary())], ["doc_id", "n", "name", "bits", "counts"])
     if ids is not None:
         yield pa.record_batch([pa.nulls(1, ids.type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
@@ -137,9 +142,12 @@ def _can_link(na: Column, nb: Column, overlap: Column | None = None) -> Column:
 
 @F.arrow_udf(LongType())
 def _differing(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Bits in which bitmaps differ: at most the elements the sets differ in."""
-    x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(len(v), BITMAP // 8) for v in (a, b))
-    return pa.array(np.bitwise_count(x ^ y).sum(1).astype(np.int64))
+    """Bits in which bitmaps differ, the longer one folded: at most the elements the sets differ in."""
+    out = []
+    for x, y in zip(a.to_pylist(), b.to_pylist()):
+        x, y = (np.frombuffer(v, np.uint64) for v in sorted((x, y), key=len))
+        out.append(int(np.bitwise_count(x ^ np.bitwise_or.reduce(y.reshape(-1, len(x)), axis=0)).sum()))
+    return pa.array(out, pa.int64())
 
 
 @F.arrow_udf(LongType())
@@ -235,8 +243,10 @@ def join(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         return _can_link(na, nb, F.least(ia, ib) + F.least(na - ia, nb - ib))
 
     exact = _Exact(docs, classes)
-    tried = written(shared.withColumn("pnp", F.col("pivot.np")).filter("name <> pivot.name").filter(
-        possible("np", "pnp")).select(F.col("pivot.name").alias("a"), F.col("name").alias("b")).distinct(), "tried")
+    # Of the pivots a set meets, the one met most often is tried first.
+    met = (shared.withColumn("pnp", F.col("pivot.np")).filter("name <> pivot.name").filter(possible("np", "pnp"))
+           .groupBy(F.col("pivot.name").alias("a"), F.col("name").alias("b")).count())
+    tried = written(met.groupBy("b").agg(F.max(F.struct("count", "a")).alias("x")).select("x.a", "b"), "tried")
     first = written(exact.links(tried), "links")
     part = components(first)
 
