@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import jaccard, mixing, pieces, quality as quality_rules, tokencount, toxicity as toxic
+from gaugeworks.llm import jaccard, mixing, neighbours, pieces, quality as quality_rules, tokencount, toxicity as toxic
 
 SENTENCEPIECE = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -68,3 +68,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(BYTE_BPE)
     return tokencount.counted(documents, path, TOKEN_LIMIT).drop("text")
+
+
+@_query()
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
