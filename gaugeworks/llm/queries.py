@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import jaccard, mixing, neighbours, pieces, quality as quality_rules, tokencount, toxicity as toxic
+from gaugeworks.llm import (
+    jaccard, mixing, neighbours, pages, pieces, quality as quality_rules, tokencount, toxicity as toxic)
 
 SENTENCEPIECE = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -73,3 +74,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@_query()
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extracted(_table(spark, sf_dir, "pages"))
