@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import (
-    jaccard, mixing, neighbours, pages, pieces, quality as quality_rules, tokencount, toxicity as toxic)
+    jaccard, lines, mixing, neighbours, pages, pieces, quality as quality_rules, tokencount, toxicity as toxic)
 
 SENTENCEPIECE = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -79,3 +79,8 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extracted(_table(spark, sf_dir, "pages"))
+
+
+@_query()
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.counted(_table(spark, sf_dir, "documents"))
