@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import (
-    jaccard, lines, mixing, neighbours, pages, pieces, quality as quality_rules, tokencount, toxicity as toxic)
+    jaccard, language, lines, mixing, neighbours, pages, pieces, quality as quality_rules, tokencount, toxicity as toxic)
 
 SENTENCEPIECE = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -84,3 +84,8 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.counted(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.scored(_table(spark, sf_dir, "documents"))
