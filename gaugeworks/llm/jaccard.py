@@ -3,8 +3,8 @@
 Copies of a set are folded first. Sets meet at shingles of their prefixes, the first
 quarter in an order that puts common shingles last, within neighbouring size bands;
 bitmap signatures bound the overlap from above, and what is left is decided by
-intersecting sorted arrays. First each set is tried against one that is least at
-many of its shingles; only sets still in different components are tried against each other.
+intersecting sorted arrays. Each set is tried against a likely centre and a few others
+first; every pair of sets still in different components is tried after that.
 """
 
 from __future__ import annotations
@@ -24,12 +24,15 @@ from gaugeworks.llm.words import Words, mixed, row_words
 WORDS = 5
 #: Documents link where 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
-SLOTS = 1 << 17
 #: Bits of a bitmap: a power of two, at least twice the set's size within these bounds.
 LEAST_BITS, MOST_BITS = 512, 1 << 17
-#: Rows the counts of tasks are added up in before the driver adds those.
-SUMS = 32
+#: One set in so many is looked at to learn which shingles are common; those met
+#: COMMON times there come last in the order of prefixes. Any order gives the same links.
+LOOKED_AT, COMMON = 16, 6
+ORDER_BITS = 1 << 24
 FILTER_BITS = 1 << 23
+#: Others a set is tried against in the second round.
+DRAWN = 8
 
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -55,14 +58,23 @@ def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return row, mixed(made)
 
 
-def _sets(column: pa.Array, level: np.ndarray | None = None):
+def _places(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a shingle in the filter of common ones."""
+    h = mixed(found ^ _A)
+    return (h & np.uint64(ORDER_BITS - 1)).astype(np.int64), (h >> np.uint64(40)).astype(np.int64)
+
+
+def _sets(column: pa.Array, common: np.ndarray | None = None):
     """(first row, rows, row of each shingle, shingle): sets in rising order within a row.
 
-    With `level`, shingles of common slots come after the others.
+    With `common`, a filter as packed bits, shingles in it come after the others.
     """
     for lo, hi, words in row_words(column):
         row, found = shingles(words)
-        keys = (found, row) if level is None else (found, level[found >> np.uint64(64 - 17)], row)
+        keys = (found, row)
+        if common is not None:
+            a, b = _places(found)
+            keys = (found, (common[a >> 3] >> (a & 7).astype(np.uint8)) & (common[b >> 3] >> (b & 7).astype(np.uint8)) & 1, row)
         order = np.lexsort(keys)
         row, found = row[order], found[order]
         new = np.ones(len(row), bool)
@@ -86,43 +98,50 @@ def _bitmap(found: np.ndarray) -> bytes:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document: id, size, set name and bitmap; a last one with the task's counts by slot."""
-    counts, ids = np.zeros(SLOTS, np.int64), None
+    """A row for each document: id, size, set name and bitmap."""
     for batch in batches:
-        ids = batch.column(0)
         for lo, n, row, found in _sets(batch.column(1)):
             size, name, ends = _names(row, found, n)
-            counts += np.bincount((found >> np.uint64(64 - 17)).astype(np.int64), minlength=SLOTS)
             packed = [_bitmap(found[x:y]) for x, y in zip(ends[:-1], ends[1:])]
-            yield pa.record_batch([ids.slice(lo, n), pa.array(size), pa.array(name),
-                                   pa.array(packed, pa.binary()),
-                                   pa.nulls(n, pa.binary())], ["doc_id", "n", "name", "bits", "counts"])
-    if ids is not None:
-        yield pa.record_batch([pa.nulls(1, ids.type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                               pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())],
-                              ["doc_id", "n", "name", "bits", "counts"])
-
-
-def _levels(described: DataFrame) -> np.ndarray:
-    """For each slot 0, or how far beyond twice the median its count is, in doublings."""
-    def added(batches):
-        total = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for x in batch.column(0):
-                total += np.frombuffer(x.as_py(), np.int64)
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["counts"])
-    # SUMS rows of fixed size come to the driver.
-    parts = described.filter("counts IS NOT NULL").select("counts").repartition(SUMS).mapInArrow(added, "counts binary")
-    total = sum((np.frombuffer(r[0], np.int64) for r in parts.collect()), np.zeros(SLOTS, np.int64))
-    ratio = total / max(1.0, 2 * float(np.median(total)))
-    return np.ceil(np.log2(np.maximum(ratio, 1.0))).astype(np.int8)
+            yield pa.record_batch([batch.column(0).slice(lo, n), pa.array(size), pa.array(name),
+                                   pa.array(packed, pa.binary())], ["doc_id", "n", "name", "bits"])
+
 
+def _filter(bits: DataFrame, size: int) -> np.ndarray:
+    """The packed bits of a filter of `size` bits, from the numbers `x` of those set."""
+    words = bits.groupBy(F.expr("x div 64").alias("k")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(x % 64 as int))")).alias("m")).toArrow()
+    held = np.zeros(size // 64, np.int64)
+    held[words["k"].to_numpy()] = words["m"].to_numpy()
+    return held.view(np.uint8)
 
-def _prefixes(level: np.ndarray):
+
+def _common_shingles(docs: DataFrame) -> np.ndarray:
+    """The filter of shingles that many of the sets looked at hold."""
+    def looked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        for batch in batches:
+            for _, n, row, found in _sets(batch.column(0)):
+                _, name, _ = _names(row, found, n)
+                # Copies inside a task count once.
+                mine = [k for k in np.flatnonzero(name % LOOKED_AT == 0) if name[k] not in met]
+                met.update(int(name[k]) for k in mine)
+                keep = np.isin(row, mine)
+                yield pa.record_batch([pa.array(found[keep].view(np.int64))], ["token"])
+
+    @F.arrow_udf("array<long>")
+    def places(token: pa.Array) -> pa.Array:
+        pair = np.stack(_places(token.to_numpy(zero_copy_only=False).view(np.uint64)), 1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(pair) + 1) * 2, pa.int32()), pa.array(pair.ravel()))
+    often = docs.select("text").mapInArrow(looked, "token long").groupBy("token").count().filter(F.col("count") >= COMMON)
+    return _filter(often.select(F.explode(places("token")).alias("x")), ORDER_BITS)
+
+
+def _prefixes(common: np.ndarray):
     """Makes rows (name, n, prefix) of sets with a shingle."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, n, row, found in _sets(batch.column(0), level):
+            for _, n, row, found in _sets(batch.column(0), common):
                 size, name, ends = _names(row, found, n)
                 place = np.arange(len(row)) - ends[row]
                 keep = place < size[row] - (size[row] * THRESHOLD + 99) // 100 + 1
@@ -185,12 +204,7 @@ class _Exact:
         wanted = written(names.join(self.classes.select("name", "first"), "name"), "wanted")
         # A filter of fixed size keeps most other documents from being moved.
         bit = F.pmod(F.xxhash64("name", "first"), F.lit(FILTER_BITS))
-        words = wanted.select(bit.alias("x")).select(
-            F.expr("x div 64").alias("k"), F.expr("shiftleft(1L, cast(x % 64 as int))").alias("m"))
-        held = np.zeros(FILTER_BITS // 64, np.int64)
-        got = words.groupBy("k").agg(F.bit_or("m").alias("m")).toArrow()
-        held[got["k"].to_numpy()] = got["m"].to_numpy()
-        bits = np.unpackbits(held.view(np.uint8), bitorder="little").view(bool)
+        bits = np.unpackbits(_filter(wanted.select(bit.alias("x")), FILTER_BITS), bitorder="little").view(bool)
 
         def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -223,20 +237,22 @@ def join(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """
     docs = df.select("doc_id", "text")
     kind = dict(docs.dtypes)["doc_id"]
-    described = written(docs.mapInArrow(
-        _described, f"doc_id {kind}, n long, name long, bits binary, counts binary"), "described")
-    level = _levels(described)
-    rows = described.filter("counts IS NULL").drop("counts")
+    rows = written(docs.mapInArrow(_described, f"doc_id {kind}, n long, name long, bits binary"), "described")
+    common = _common_shingles(docs)
     classes = written(rows.filter("n > 0").groupBy("name").agg(
         F.first("n").alias("n"), F.min("doc_id").alias("first"), F.first("bits").alias("bits")), "classes")
 
-    folded = docs.select("text").mapInArrow(_prefixes(level), "name long, n long, prefix array<long>").groupBy(
+    folded = docs.select("text").mapInArrow(_prefixes(common), "name long, n long, prefix array<long>").groupBy(
         "name").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     at = folded.select("name", F.posexplode("prefix").alias("place", "token"), "n").select(
         "token", "name", F.expr("shiftleft(n, 32) | place").alias("np"))
     group = Window.partitionBy("token")
-    shared = written(at.withColumn("pivot", F.min(F.struct("name", "np")).over(group))
-                     .withColumn("many", F.count("*").over(group)).filter("many > 1").drop("many"), "shared")
+    shared = written(at.withColumn("many", F.count("*").over(group)).filter("many > 1"), "shared")
+    # The pivot of a shingle is the set whose shingles are most widely shared: of
+    # copies of one text rather the text than a copy.
+    weight = shared.groupBy("name").agg((F.sum("many") / F.first(F.shiftright("np", 32))).alias("weight"))
+    shared = written(shared.join(weight, "name").select("token", "name", "np", F.max(F.struct(
+        "weight", "name", "np")).over(group).alias("pivot")), "pivoted")
 
     def possible(a: str, b: str) -> Column:
         (na, ia), (nb, ib) = ((F.shiftright(x, 32), F.expr(f"{x} & 4294967295L")) for x in (a, b))
@@ -247,19 +263,35 @@ def join(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     met = (shared.withColumn("pnp", F.col("pivot.np")).filter("name <> pivot.name").filter(possible("np", "pnp"))
            .groupBy(F.col("pivot.name").alias("a"), F.col("name").alias("b")).count())
     tried = written(met.groupBy("b").agg(F.max(F.struct("count", "a")).alias("x")).select("x.a", "b"), "tried")
-    first = written(exact.links(tried), "links")
-    part = components(first)
-
-    placed = (shared.drop("pivot").join(part.select(F.col("node").alias("name"), "component"), "name", "left")
-              .withColumn("component", F.coalesce("component", "name")))
-    split = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(
+    links = written(exact.links(tried), "links")
+
+    def placed(links: DataFrame) -> DataFrame:
+        """The shared shingles with the component each set is in so far."""
+        part = components(links).select(F.col("node").alias("name"), "component")
+        return shared.drop("pivot").join(part, "name", "left").withColumn("component", F.coalesce("component", "name"))
+
+    # Then each set is tried against a few others drawn by its shingles, which joins
+    # what is left of large groups without a pair for every two of their sets.
+    drawn = placed(links).withColumn("pivot", F.min(F.struct(
+        F.xxhash64("name", "token").alias("h"), "name", "np", "component")).over(group)).filter(
+        "component <> pivot.component").withColumn("pnp", F.col("pivot.np")).filter(possible("np", "pnp"))
+    some = drawn.select(F.col("pivot.name").alias("a"), F.col("name").alias("b")).distinct().join(
+        tried, ["a", "b"], "left_anti").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("b").orderBy(F.xxhash64("a", "b"), "a"))).filter(
+        F.col("rank") <= DRAWN).select("a", "b")
+    some = written(some, "drawn")
+    links = written(links.union(exact.links(some)), "links")
+
+    now = placed(links)
+    split = now.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(
         "x <> y").select("token")
-    open_ = written(placed.join(split, "token", "left_semi"), "open")
+    open_ = written(now.join(split, "token", "left_semi"), "open")
     one = open_.select("token", F.col("name").alias("a"), F.col("np").alias("npa"), F.col("component").alias("ca"))
     two = open_.select("token", F.col("name").alias("b"), F.col("np").alias("npb"), F.col("component").alias("cb"))
+    before = tried.union(some).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = (one.join(two, "token").filter("a < b AND ca <> cb").filter(possible("npa", "npb"))
-             .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    links = written(first.union(exact.links(written(pairs, "pairs"))), "links")
+             .select("a", "b").distinct().join(before, ["a", "b"], "left_anti"))
+    links = written(links.union(exact.links(written(pairs, "pairs"))), "links")
 
     final = components(links)
     named = classes.join(final.select(F.col("node").alias("name"), "component"), "name", "left").withColumn(
