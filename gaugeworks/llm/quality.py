@@ -76,11 +76,11 @@ def measured(df: DataFrame) -> DataFrame:
 
 #: What the rules compare, in thousandths; a document without words has none.
 MEASURES = {
-    "symbols": "1000 * n_symbols div word_chars",
-    "dup_lines": "1000 * n_dup_lines div n_lines",
-    "repeats": "1000 * n_repeat_words div n_words",
-    "long_words": "1000 * word_chars div n_words",
-    "short_words": "1000 * word_chars div n_words",
+    "symbols": "1000 * n_symbols div nullif(word_chars, 0)",
+    "dup_lines": "1000 * n_dup_lines div nullif(n_lines, 0)",
+    "repeats": "1000 * n_repeat_words div nullif(n_words, 0)",
+    "long_words": "1000 * word_chars div nullif(n_words, 0)",
+    "short_words": "1000 * word_chars div nullif(n_words, 0)",
 }
 #: These are bad where they are small.
 FROM_BELOW = ("short_words",)
