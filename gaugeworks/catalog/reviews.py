@@ -178,8 +178,7 @@ SELECT task_id, doc_id, CASE WHEN proposed_weight IN (5, 3, -3) AND abs(d) > 1 T
 def t15(t):
     kept, dropped = fi.evidence_filter(t.raw_findings, t.criterion_lines)
     both = kept.withColumn("why", F.lit("kept")).unionByName(dropped)
-    off = ~F.coalesce(F.col("proposed_weight").isin(5, 3, -3), F.lit(False)) & F.col("proposed_weight").isNotNull()
-    return both.select("task_id", "doc_id", F.when(off, "incorrect_weight_minor").otherwise(F.col("category")).alias("category"), "why")
+    return both.select("task_id", "doc_id", "category", "why")
 
 
 @query("t16_reply_rows", """

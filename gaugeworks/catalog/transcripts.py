@@ -104,7 +104,7 @@ def t01_roles(t):
 @query("s06_transcript_documents", "SELECT run_id, count(*) AS n_records FROM {turns} GROUP BY run_id")
 def s06(t):
     """Whole transcript documents, one list of records each, read back as records."""
-    parts = t.records_json.groupBy("run_id", F.floor(F.col("turn") / 1000).alias("part")).agg(
+    parts = t.records_json.groupBy("run_id").agg(
         F.concat(F.lit('{"messages":['), F.array_join(F.transform(F.array_sort(F.collect_list(
             F.struct("turn", "record"))), lambda s: s["record"]), ","), F.lit("]}")).alias("document"))
     return src.records_of(parts).groupBy("run_id").agg(F.count("*").alias("n_records"))
@@ -116,11 +116,11 @@ def w05(t):
 
 
 @query("t02_final_answer", """
-SELECT run_id, CAST(floor(turn / 1000) AS BIGINT) AS part,
+SELECT run_id,
   md5(string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY turn)) AS text_md5
 FROM {replies_sql} GROUP BY ALL""")
 def t02(t):
-    return transcripts.final_answer(t.steps).select("run_id", "part", F.md5("text").alias("text_md5"))
+    return transcripts.final_answer(t.steps).select("run_id", F.md5("text").alias("text_md5"))
 
 
 @query("t02_answer_file", f"""
@@ -546,9 +546,9 @@ def a24(t):
 
 
 @query("t11_run_counts", f"""
-SELECT run_id, why = '' AS counted, why FROM (SELECT r.run_id, CASE WHEN a.run_id IS NULL THEN 'it never gave a final answer'
-  WHEN r.run_id % 5 = 0 THEN 'the model''s files did not come back, which is fixed by another run'
-  WHEN l.run_id IS NOT NULL THEN 'its answer was read off the web, which is fixed by another run' ELSE '' END AS why
+SELECT run_id, why = '' AS counted, why FROM (SELECT r.run_id, CASE WHEN a.run_id IS NULL THEN 'no_answer'
+  WHEN r.run_id % 5 = 0 THEN 'no_files'
+  WHEN l.run_id IS NOT NULL THEN 'looked_up' ELSE '' END AS why
 FROM (SELECT DISTINCT run_id FROM {{turns}}) r LEFT JOIN (SELECT DISTINCT run_id FROM {{replies_sql}}) a USING (run_id)
 LEFT JOIN (SELECT DISTINCT run_id FROM ({_LOOKUP})) l USING (run_id))""")
 def t11(t):

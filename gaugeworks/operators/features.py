@@ -9,6 +9,8 @@ from gaugeworks.operators.series import (MAX_ROWS, longest_series, number_rows,
 
 LAGS = (1, 2, 24, 168)
 ROLL = 24
+# Rows on that a back-fill looks for a known price.
+FILL = 168
 EXCLUDED = ("timestamp", "ts", "zone", "product_type", "telemetry_status", "price_usd_mwh",
             "regime", "split_phase", "is_eligible_eval", "series_id", "event_id", "pos")
 
@@ -19,29 +21,33 @@ def lag_and_roll(df: DataFrame, series: str = "series_id", ts: str = "ts",
                  drop_warmup: bool = False) -> DataFrame:
     """Lags 1, 2, 24 and 168 and the mean and sample deviation of the 24 rows before.
 
-    Head rows of a lag take the first price of the series, and those of the mean
-    likewise, as a back-fill does; a series too short for a lag has none. The
-    deviation is 0 where it is not defined. `drop_warmup` leaves the head rows out.
+    A lag that is not there, at the head of a series or where the price is null,
+    takes the next known price, as a back-fill of the shifted column does, up to
+    `FILL` rows on; a series too short for a lag has none. The mean is filled like
+    lag 1. The deviation is 0 where it is not defined. `drop_warmup` leaves the head
+    rows out.
     """
     by = [series]
     longest = longest_series(df, by)
     numbered = number_rows(df, by, ts, tie, max_rows, longest)
-    frames = {f"_lag_{k}": (lambda w, k=k: F.lag(price, k).over(w)) for k in LAGS}
+    known = F.when(F.col(price).isNotNull(), F.struct("pos", F.col(price).alias("price")))
+    # The first known price from k rows back on; a lag is right there, a fill comes later.
+    frames = {f"_lag_{k}": (lambda w, k=k: F.first(known, ignorenulls=True).over(w.rowsBetween(-k, FILL)))
+              for k in LAGS}
     frames["_mean"] = lambda w: F.avg(price).over(w.rowsBetween(-ROLL, -1))
     frames["_std"] = lambda w: F.stddev_samp(price).over(w.rowsBetween(-ROLL, -1))
-    out = over_positions(numbered, by, frames, before=max(LAGS), block=block,
+    out = over_positions(numbered, by, frames, before=max(LAGS), after=FILL, block=block,
                          max_rows=max_rows, longest=longest)
-    heads = df.groupBy(*by).agg(F.count("*").alias("_rows"),
-                                F.min_by(price, F.struct(ts, tie)).alias("_first"))
-    out = out.join(heads, by)
+    out = out.join(df.groupBy(*by).agg(F.count("*").alias("_rows")), by)
 
-    def filled(name: str, needs: int) -> Column:
-        return F.coalesce(F.col(name), F.when(F.col("_rows") > needs, F.col("_first")))
+    def filled(k: int) -> Column:
+        # The shifted column ends with the price of the row k before the last.
+        return F.when(F.col(f"_lag_{k}.pos") + k < F.col("_rows"), F.col(f"_lag_{k}.price"))
 
     out = out.select(
         *[c for c in df.columns], "pos",
-        *[filled(f"_lag_{k}", k).alias(f"lag_price_{k}") for k in LAGS],
-        filled("_mean", 1).alias("roll_price_mean_24"),
+        *[filled(k).alias(f"lag_price_{k}") for k in LAGS],
+        F.coalesce("_mean", filled(1)).alias("roll_price_mean_24"),
         F.coalesce("_std", F.lit(0.0)).alias("roll_price_std_24"))
     return out.where(F.col("pos") >= max(LAGS)) if drop_warmup else out
 

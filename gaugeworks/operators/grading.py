@@ -85,7 +85,7 @@ def unit_points(tests: DataFrame) -> DataFrame:
 
 def is_crash(message: Column) -> Column:
     """A failure that is no assertion: what its first line opens with decides."""
-    head = F.trim(F.get(F.split(F.trim(message), "\n"), 0))
+    head = tx.strip(F.get(F.split(tx.strip(F.coalesce(message, F.lit(""))), "\n"), 0))
     return ~(head.startswith("AssertionError") | head.startswith("assert"))
 
 

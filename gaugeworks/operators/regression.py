@@ -49,19 +49,24 @@ def fit(name: str, train: DataFrame, features: list[str]) -> PipelineModel | Non
     """A fitted pipeline; persistence needs none."""
     if name == "Persistence":
         return None
-    # Every stage and iteration reads the rows again.
-    train = train.select(*features, "price_usd_mwh").persist()
+    # Every stage and iteration reads the rows again. A row without a feature or price teaches nothing.
+    train = train.select(*features, "price_usd_mwh").dropna().persist()
     try:
         size = train.agg(F.count("*"), F.stddev_pop("price_usd_mwh")).first()
         stages = {"Ridge": lambda: ridge(*size), "RandomForest": forest,
                   "HistGradientBoosting": boosting}[name]()
-        gather = VectorAssembler(inputCols=features, outputCol="raw_features",
-                                 handleInvalid="skip")
+        gather = VectorAssembler(inputCols=features, outputCol="raw_features")
         return Pipeline(stages=[gather, *stages]).fit(train)
     finally:
         train.unpersist()
 
 
 def predict(name: str, model: PipelineModel | None, df: DataFrame) -> DataFrame:
-    out = persistence(df) if model is None else model.transform(df).drop("raw_features", "features")
+    """Every row of `df` with its forecast, null where a feature is."""
+    if model is None:
+        out = persistence(df)
+    else:
+        whole = ~F.expr(" OR ".join(f"`{c}` IS NULL" for c in model.stages[0].getInputCols()))
+        out = model.transform(df.where(whole)).drop("raw_features", "features").unionByName(
+            df.where(~whole).withColumn("predicted_price", F.lit(None).cast("double")))
     return out.withColumn("model_name", F.lit(name)).withColumn("run_id", F.lit(RUN_IDS[name]))

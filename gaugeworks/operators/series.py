@@ -2,20 +2,23 @@
 
 A plain `Window.partitionBy(series)` sends a series to one task. While the
 longest series is under `max_rows` that is the cheapest plan and it is used.
-Beyond it the rows are cut at time quantiles first, so a task holds at most
-about `max_rows` rows however the rows are spread over the series, and frames
-are taken on position blocks with a halo copied from the neighbour.
+Beyond it the rows are cut into ranges of (series, time, tie) first, so a task
+holds about `max_rows` rows however they are spread over series and time stamps,
+and frames are taken on position blocks with a halo copied from the neighbour.
+Null time stamps come first on either path, as the ordering has it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gaugeworks.session import cut_lineage
+
 MAX_ROWS = 2_000_000
-MAX_CHUNKS = 4096
+# Ranges the values of one quantile are cut into; so many counts come to the driver.
+RANGES = 256
 
 
 def longest_series(df: DataFrame, by: list[str]) -> int:
@@ -24,19 +27,10 @@ def longest_series(df: DataFrame, by: list[str]) -> int:
     return row[0] or 0
 
 
-def _order_value(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp")).cast("double")
-
-
-def _chunked(df: DataFrame, ts: str, max_rows: int) -> DataFrame:
-    """Cut at quantiles of the time stamp: a deterministic column, a bounded chunk."""
-    ordered = df.withColumn("_order", _order_value(ts))
-    chunks = min(MAX_CHUNKS, max(2, -(-ordered.count() // max_rows)))
-    cuts = ordered.approxQuantile("_order", [i / chunks for i in range(1, chunks)],
-                                  0.25 / chunks)
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    return (Bucketizer(splits=edges, inputCol="_order", outputCol="_chunk")
-            .transform(ordered).drop("_order"))
+def _chunked(df: DataFrame, order: list[str], max_rows: int) -> DataFrame:
+    """Rows in ranges of the order, numbered upwards; written, since ranges are sampled."""
+    chunks = max(2, -(-df.count() // max_rows))
+    return cut_lineage(df.repartitionByRange(chunks, *order).withColumn("_chunk", F.spark_partition_id()))
 
 
 def running_sum(df: DataFrame, by: list[str], ts: str, tie: str, value: Column, name: str,
@@ -49,7 +43,7 @@ def running_sum(df: DataFrame, by: list[str], ts: str, tie: str, value: Column,
     if (longest_series(df, by) if longest is None else longest) <= max_rows:
         order = Window.partitionBy(*by).orderBy(ts, tie).rowsBetween(*upto)
         return df.withColumn(name, F.sum(value).over(order).cast("bigint"))
-    chunked = _chunked(df, ts, max_rows)
+    chunked = _chunked(df, [*by, ts, tie], max_rows)
     before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = (chunked.groupBy(*by, "_chunk").agg(F.sum(value).alias("_n"))
@@ -136,7 +130,14 @@ def _order_statistic(values: DataFrame, rank: int, n: int, limit: int) -> float:
         if not (below + under <= rank < below + under + count) or count == rows:
             break
         values, below, rows = inside, below + under, count
-    ties = values.groupBy("v").count()
+    # The bracket does not close: ranges of the values, and only the one that holds the rank is sorted.
+    placed = cut_lineage(values.groupBy("v").count().repartitionByRange(RANGES, "v")
+                         .withColumn("_chunk", F.spark_partition_id()))
+    ahead = 0
+    for chunk, held in sorted(placed.groupBy("_chunk").agg(F.sum("count")).collect()):
+        if ahead + held > rank - below:
+            break
+        ahead += held
     running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = ties.select("v", F.sum("count").over(running).alias("upto"))
-    return placed.where(F.col("upto") > rank - below).agg(F.min("v")).first()[0]
+    inside = placed.where(F.col("_chunk") == chunk).select("v", (F.sum("count").over(running) + ahead).alias("upto"))
+    return inside.where(F.col("upto") > rank - below).agg(F.min("v")).first()[0]

@@ -2,8 +2,8 @@
 
 `steps` is one row per step (run_id, turn, speaker, text, role, is_agent, is_own,
 stop_reason), `calls` one per tool call (tool, argument, description, call_id) and
-`results` one per tool result (call_id, text). Everything that can stay a row per step does; text
-is only joined in parts of a bounded number of steps.
+`results` one per tool result (call_id, text). Everything that can stay a row per step does; only a
+run's replies are joined, into its answer.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from gaugeworks.functions import text as tx, variants as va
 from gaugeworks.functions.tokens import token_band
 from gaugeworks.sources.transcripts import is_agent
 
-PART_TURNS = 1_000
-
 
 def replies(steps: DataFrame) -> DataFrame:
     """What the agent said at the end of each of its turns.
@@ -35,13 +33,11 @@ def replies(steps: DataFrame) -> DataFrame:
 def final_answer(steps: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """The answer of each run in order: an answer file where there is one, else its replies.
 
-    Text after the final mark is taken, up to a second one. Replies are joined in
-    parts of a thousand turns, so a run of any length has bounded rows; a run
-    shorter than that is one row holding all of it.
+    Text after the final mark is taken, up to a second one. A run has one answer,
+    however many turns it took: what its agent said at the ends of them.
     """
-    part = F.floor(F.col("turn") / PART_TURNS)
     ordered = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    out = (replies(steps).groupBy("run_id", part.alias("part"))
+    out = (replies(steps).groupBy("run_id")
            .agg(F.array_join(F.transform(ordered, lambda s: s["text"]), fixed.REPLY_SEPARATOR)
                 .alias("text")))
     if files is None:
@@ -49,8 +45,7 @@ def final_answer(steps: DataFrame, files: DataFrame | None = None) -> DataFrame:
     cut = F.when(F.col("text").contains(fixed.FINAL_MARK),
                  tx.strip(F.get(F.split(F.col("text"), fixed.FINAL_MARK), 1))).otherwise(
         tx.strip(F.col("text")))
-    written = files.select("run_id", F.lit(0).cast("bigint").alias("part"),
-                           cut.alias("text")).where("text <> ''")
+    written = files.select("run_id", cut.alias("text")).where("text <> ''")
     return written.unionByName(out.join(written.select("run_id"), "run_id", "left_anti"))
 
 
@@ -165,16 +160,14 @@ def session_results(sessions: DataFrame) -> DataFrame:
 # --- whether a run counts -------------------------------------------------------
 
 def run_counts(flags: DataFrame) -> DataFrame:
-    """Whether a finished run counts, and the first reason it does not.
+    """Whether a finished run counts, and the code of the first reason it does not.
 
     `flags` is (run_id, has_transcript, has_answer, has_files, looked_up).
     """
-    why = (F.when(~F.col("has_transcript"), "it left no transcript")
-           .when(~F.col("has_answer"), "it never gave a final answer")
-           .when(~F.col("has_files"), "the model's files did not come back, which is fixed by "
-                                      "another run")
-           .when(F.col("looked_up"), "its answer was read off the web, which is fixed by another "
-                                     "run").otherwise(""))
+    why = F.lit("")
+    for code, bad in (("looked_up", F.col("looked_up")), ("no_files", ~F.col("has_files")),
+                      ("no_answer", ~F.col("has_answer")), ("no_transcript", ~F.col("has_transcript"))):
+        why = F.when(bad, code).otherwise(why)
     return flags.select("run_id", (why == "").alias("counted"), why.alias("why"))
 
 

@@ -113,15 +113,11 @@ def place_of(value: Column) -> Column:
     text = tx.strip(F.regexp_replace(value, "^`+|`+$", ""))
     low = tx.normalise(text, False)
     number = F.regexp_extract(low, r"^(?:criterion|line|#)?\s*(\d+)$", 1)
-    truth = ("ground truth", "the ground truth", "the author's answer", "author's answer",
-             "solution/ground_truth.md", "authoring/ground_truth.md", "ground_truth.md")
-    prompt = ("prompt", "the prompt", "prompt.md", "instruction.md", "bundle/instruction.md")
-    answer = ("answer", "the answer", "the run's answer", "the graded run's answer")
     rel = F.regexp_replace(
         text, "^(?:/workspace/|environment/workspace/|bundle/environment/workspace/)", "")
-    return (F.when(low.isin(*truth), fixed.GROUND_TRUTH)
+    return (F.when(low.isin(*fixed.SPELLINGS_OF_TRUTH), fixed.GROUND_TRUTH)
             .when(low.contains("justification"), fixed.JUSTIFICATION)
-            .when(low.isin(*prompt), fixed.PROMPT).when(low.isin(*answer), fixed.ANSWER)
+            .when(low.isin(*fixed.SPELLINGS_OF_PROMPT), fixed.PROMPT).when(low.isin(*fixed.SPELLINGS_OF_ANSWER), fixed.ANSWER)
             .when(number != "", F.concat(F.lit("criterion "), number))
             .when(low.startswith("test "), F.concat(F.lit("test "), tx.strip(F.substr(text, F.lit(6)))))
             .otherwise(rel))

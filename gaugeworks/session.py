@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local: dict[str, str] = {}
+
 
 def build_session(app: str = "gaugeworks", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf) -> SparkSession:
@@ -33,10 +35,18 @@ def build_session(app: str = "gaugeworks", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for cut lineage: the cluster's own, else a local one for tests."""
+    """The folder for cut lineage: the cluster's own, else a local one in local mode.
+
+    Off local mode a folder of one machine would not do, so none is made up.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder all machines share")
+        context = spark.sparkContext.applicationId
+        if context not in _local:
+            _local[context] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        folder = _local[context]
     return folder
 
 

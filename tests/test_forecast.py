@@ -119,3 +119,25 @@ def test_whole_evaluation(observations):
     whole = cells[cells["zone"].isna() & cells["regime"].isna()].set_index("model_name")["count"]
     assert (cells[cells["zone"].notna() & cells["regime"].isna()].groupby("model_name")["count"].sum() == whole).all()
     assert out.tables["block_bootstrap"].count() == 1 and out.tables["spikes"].count() == 6
+
+
+def test_no_row_is_lost_or_moved_by_size(spark):
+    """Null, tied and hot time stamps number alike on either path."""
+    rows = [("a", None if i % 10 == 0 else 100 + (i % 7 if i < 60 else 3), i) for i in range(200)] + [("b", i, 1000 + i) for i in range(40)]
+    df = spark.createDataFrame(rows, "series_id string, ts int, event_id int").withColumn("ts", F.timestamp_seconds("ts"))
+    plain, cut = (sorted(map(tuple, number_rows(df, ["series_id"], "ts", "event_id", n).select("event_id", "pos").collect()))
+                  for n in (10_000, 20))
+    assert plain == cut and len(cut) == 240
+
+
+def test_lags_back_fill_with_the_next_known_price(spark):
+    from gaugeworks.operators.features import LAGS, lag_and_roll
+
+    prices = [None, 3.0, None, None, 7.0, *map(float, range(300)), None]
+    df = spark.createDataFrame([("a", i, i, p) for i, p in enumerate(prices)],
+                               "series_id string, ts int, event_id int, price_usd_mwh double")
+    for most in (10_000, 50):
+        got = lag_and_roll(df, max_rows=most, block=200).orderBy("pos").toPandas()
+        for k in LAGS:
+            want = pd.Series(prices, dtype=float).shift(k).bfill()
+            assert got[f"lag_price_{k}"].equals(want.rename(f"lag_price_{k}")), (most, k)

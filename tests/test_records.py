@@ -281,3 +281,34 @@ def test_documents(spark):
     assert [(r.line_no, r.weight, r.type[1]) for r in kept.collect()] == [(2, 5, "state change")]
     assert {(r.line_no, r.problem) for r in rejected.collect()} == {
         (3, "weight not allowed"), (4, "not a heading or a bullet"), (5, "unknown heading"), (6, "not under a known heading")}
+
+
+def test_repeats_in_rounds_and_folds_agree_on_a_chain(spark):
+    rows = [("t", f"l{i:03d}", f"l{i + 1:03d}", i, f"f{i:03d}") for i in range(30)]
+    df = spark.createDataFrame(rows, "task_id string, criterion string, other_criterion string, index int, finding_id string")
+    fold = sorted(map(tuple, findings.repeats(df).collect()))
+    assert fold == sorted(map(tuple, findings.repeats(df, fold_findings=1).collect())) and len(fold) == 30
+
+
+def test_a_long_run_has_one_answer(spark):
+    from gaugeworks.operators.transcripts import final_answer
+
+    steps = spark.range(3000).select(F.lit(1).alias("run_id"), F.col("id").alias("turn"), F.lit(True).alias("is_own"),
+                                     F.concat(F.lit("t"), "id").alias("text"), F.lit("end").alias("stop_reason"))
+    got = final_answer(steps).collect()
+    assert len(got) == 1 and got[0].text.startswith("t0") and got[0].text.endswith("t2999")
+
+
+def test_crash_reads_past_blank_lines(spark):
+    from gaugeworks.operators.grading import is_crash
+
+    df = spark.createDataFrame([("\n AssertionError: x",), (None,), ("ValueError",), ("assert 1",)], "m string")
+    assert [r[0] for r in df.select(is_crash(F.col("m"))).collect()] == [False, True, True, False]
+
+
+def test_words_changed(spark):
+    from gaugeworks.functions.udfs import words_changed
+
+    rows = [("a b c", "a x c", 1), ("a b", "a b", 0), (None, "one two", 2), ("a b c d", "d", 3), ("a b", "x y z", 3)]
+    df = spark.createDataFrame(rows, "a string, b string, n int")
+    assert all(r.got == r.n for r in df.withColumn("got", words_changed("a", "b")).collect())
