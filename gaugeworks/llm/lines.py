@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -88,7 +88,7 @@ def _key(part: np.ndarray, size: np.ndarray, i: int) -> np.ndarray:
 
 
 def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, line, probe) of (text): each line's own segments, and its probes for lengths up to its own."""
+    """(key, line, bag, probe) of (text): each line's own segments, and its probes for lengths up to its own."""
     met: set[int] = set()
     for batch in batches:
         for *_, start, size, joined in _lines(batch.column(0)):
@@ -102,12 +102,14 @@ def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 met.clear()
             met.update(name[once].tolist())
             start_, size_, name = start[long[once]], size[long[once]], name[once]
-            keys, names, probes = [], [], []
+            bag = _bags(joined, start_, size_)
+            keys, names, bags, probes = [], [], [], []
 
             def emit(at: np.ndarray, where: np.ndarray, width: np.ndarray, length: np.ndarray, i: int, probe: bool):
                 part = mixed((sums[where + width] - sums[where]) * down[where])
                 keys.append(_key(part, length, i))
                 names.append(name[at])
+                bags.append(bag[at])
                 probes.append(np.full(len(at), probe))
             for i in range(ERRORS + 1):
                 at = np.arange(len(name))
@@ -127,7 +129,27 @@ def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if keys:
                 yield pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)),
                                        pa.array(np.concatenate(names).view(np.int64)),
-                                       pa.array(np.concatenate(probes))], ["key", "line", "probe"])
+                                       pa.array(np.concatenate(bags)), pa.array(np.concatenate(probes))],
+                                      ["key", "line", "bag", "probe"])
+
+
+def _bags(joined: str, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How often each of 15 kinds of character occurs in a line, as the digits to base 16 of one number."""
+    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    kind = (codes.astype(np.uint64) * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(15)
+    one = np.uint64(1) << (np.uint64(4) * kind)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(one)])
+    return ((sums[start + size] - sums[start]) & np.uint64((1 << 60) - 1)).view(np.int64)
+
+
+def _bags_near(a: str, b: str) -> Column:
+    """Whether two bags differ by no more characters than so many edits can change.
+
+    Where they do, every digit of the difference is small, and the sum is exact;
+    elsewhere it may be too small, never too large for lines within reach.
+    """
+    shifted = f"(({a} - {b} + {0x888888888888888}L + {1 << 60}L) & {(1 << 60) - 1}L)"
+    return F.expr(" + ".join(f"abs((shiftright({shifted}, {4 * k}) & 15) - 8)" for k in range(15)) + f" <= {2 * ERRORS}")
 
 
 def within(a: str, b: str, errors: int = ERRORS) -> bool:
@@ -206,24 +228,25 @@ def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """(node, component) of the lines of `docs` (text) that are within reach of another line."""
-    rows = docs.select("text").mapInArrow(_segmented, "key long, line long, probe boolean")
-    index = rows.filter("NOT probe").groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high"))
-    met = written(rows.filter("probe").select("key", "line").join(index, "key").filter(
-        "NOT (low = high AND low = line)"), "met")
+    rows = docs.select("text").mapInArrow(_segmented, "key long, line long, bag long, probe boolean")
+    own = F.struct("line", "bag")
+    index = rows.filter("NOT probe").groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high"))
+    met = written(rows.filter("probe").select("key", "line", "bag").join(index, "key").filter(
+        "NOT (low.line = high.line AND low.line = line)"), "met")
     # Against one line of each bucket first; then only what is still apart.
-    first = written(met.select(F.when(F.col("low") == F.col("line"), F.col("high")).otherwise(F.col("low")).alias("a"),
-                               F.col("line").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                    .distinct(), "first")
+    other = F.when(F.col("low.line") == F.col("line"), F.col("high")).otherwise(F.col("low"))
+    first = written(met.withColumn("other", other).filter(_bags_near("bag", "other.bag")).select(
+        F.least("line", "other.line").alias("a"), F.greatest("line", "other.line").alias("b")).distinct(), "first")
     links = written(_linked(docs, first), "links")
     part = components(links).select(F.col("node").alias("line"), "component")
-    full = met.filter("low <> high")
+    full = met.filter("low.line <> high.line").drop("low", "high")
     keys = written(full.select("key").distinct(), "keys")
-    mine = rows.filter("NOT probe").select("key", F.col("line").alias("other")).join(keys, "key", "left_semi").distinct()
+    mine = rows.filter("NOT probe").select("key", F.col("line").alias("other"), F.col("bag").alias("other_bag")).join(keys, "key", "left_semi").distinct()
 
     def placed(df: DataFrame, name: str, to: str) -> DataFrame:
         return df.join(part.select(F.col("line").alias(name), F.col("component").alias(to)), name, "left").withColumn(
             to, F.coalesce(to, name))
-    pairs = (placed(full.select("key", "line"), "line", "x").join(placed(mine, "other", "y"), "key").filter("x <> y")
+    pairs = (placed(full, "line", "x").join(placed(mine, "other", "y"), "key").filter("x <> y").filter(_bags_near("bag", "other_bag"))
              .select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct()
              .join(first, ["a", "b"], "left_anti"))
     rest = written(pairs, "rest")
