@@ -24,8 +24,8 @@ MOST_LABELLED = 6_000
 #: Features kept, those that tell the classes apart best.
 MOST_FEATURES = 2_048
 LEAST_SEEN = 4
-#: Times more frequent among toxic texts than among all that a feature must be.
-LEAST_LIFT = 4
+#: Times the odds of toxicity, against those of all texts, that a feature must raise them to.
+LEAST_LIFT = 6
 L2 = 0.1
 STEPS = 400
 
@@ -159,7 +159,7 @@ def fit(labelled: pa.Table) -> Severity:
     seen = np.bincount(col, minlength=len(names)).astype(float)
     expected = seen * n_pos / n
     # A word that speaks for a clean text could hide one that does not, so only signs of toxicity count.
-    gain = np.where((seen >= LEAST_SEEN) & (pos > LEAST_LIFT * expected), (pos - expected) ** 2 / (expected * (1 - seen / n) + 1e-9), -1.0)
+    gain = np.where((seen >= LEAST_SEEN) & (pos * (n - n_pos) > LEAST_LIFT * (seen - pos) * n_pos), (pos - expected) ** 2 / (expected * (1 - seen / n) + 1e-9), -1.0)
     best = np.sort(np.lexsort((names, -gain))[:MOST_FEATURES])
     best = best[gain[best] > 0]
     place = np.full(len(names), -1)
