@@ -235,27 +235,3 @@ def mentions(text: Column, path: Column) -> Column:
     """Whether prose names a file by its path or its bare name, whatever the case."""
     low = F.lower(F.coalesce(text, F.lit("")))
     return low.contains(F.lower(path)) | low.contains(F.lower(base_name(path)))
-
-
-def path_windows(text: Column) -> Column:
-    """Every stretch of a text that could be a cited path.
-
-    A path is a stretch of word characters, dots, slashes and dashes ending in a
-    suffix of two to seven characters. All of them are listed, so that asking
-    whether a path occurs anywhere in a text is an equi join on the stretch.
-    """
-    tokens = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?U)[\w./-]+"), F.lit(0)))
-
-    def windows(token: Column) -> Column:
-        dots = F.filter(F.sequence(F.lit(2), F.greatest(F.length(token) - 2, F.lit(2))),
-                        lambda i: token.substr(i, F.lit(1)) == ".")
-
-        def around(dot: Column) -> Column:
-            ends = F.sequence(dot + 2, F.least(dot + 7, F.length(token)))
-            return F.flatten(F.transform(ends, lambda end: F.transform(
-                F.sequence(F.lit(1), dot - 1), lambda at: token.substr(at, end - at + 1))))
-
-        return F.flatten(F.transform(dots, around))
-
-    dotted = F.filter(tokens, lambda t: t.rlike(r"(?U)\w\.[A-Za-z][A-Za-z0-9]"))
-    return F.array_distinct(F.flatten(F.transform(dotted, windows)))

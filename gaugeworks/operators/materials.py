@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gaugeworks import fixed
 from gaugeworks.functions import text as tx
 from gaugeworks.functions.tokens import estimate_tokens
+from gaugeworks.operators.occurrence import names_present
 
 
 def file_tokens(path: Column, n_chars: Column) -> Column:
@@ -51,11 +52,9 @@ def listing(files: DataFrame) -> DataFrame:
 def prompt_shape(prompts: DataFrame, files: DataFrame) -> DataFrame:
     """Prompts that are empty or very short, read like a specification, or name files.
 
-    A file is named where its whole path is in the prompt; paths and the prompt's
-    stretches meet on equality.
+    A file is named where its whole path is in the prompt.
     """
-    seen = prompts.select("task_id", F.explode(tx.path_windows(F.col("prompt"))).alias("path")).distinct()
-    named = (files.select("task_id", "path").distinct().join(seen, ["task_id", "path"], "left_semi")
+    named = (names_present(files, prompts.select("task_id", F.col("prompt").alias("text")), "task_id")
              .groupBy("task_id").agg(F.count("*").alias("files_named")))
     size = F.length("prompt")
     return prompts.join(named, "task_id", "left").select(
@@ -125,8 +124,9 @@ def paths_nobody_has(tests: DataFrame, files: DataFrame, prompts: DataFrame) ->
     ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(
         F.slice(parts, i, F.size(parts)), "/"))
     known = files.select("task_id", F.explode(ends).alias("path")).distinct()
-    seen = prompts.select("task_id", F.explode(tx.path_windows(F.col("prompt"))).alias("path")).distinct()
-    return asked.join(known, ["task_id", "path"], "left_anti").join(seen, ["task_id", "path"], "left_anti")
+    left = asked.join(known, ["task_id", "path"], "left_anti")
+    seen = names_present(left, prompts.select("task_id", F.col("prompt").alias("text")), "task_id")
+    return left.join(seen, ["task_id", "path"], "left_anti")
 
 
 def latest_attempt(attempts: DataFrame) -> DataFrame:

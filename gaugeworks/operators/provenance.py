@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from gaugeworks import fixed
 from gaugeworks.functions import text as tx
 from gaugeworks.functions.numbers import interesting, numbers_in
+from gaugeworks.operators.occurrence import names_present
+from gaugeworks.session import cut_lineage
 
 KEYS = ["run_id", "value"]
 
@@ -64,16 +66,11 @@ def cited_paths(rows: DataFrame) -> DataFrame:
     return rows.select("run_id", F.explode(tx.paths_in(F.col("text"))).alias("path")).distinct()
 
 
-def path_stretches(rows: DataFrame) -> DataFrame:
-    """Everything in a run's text that a cited path could be equal to."""
-    return rows.select("run_id", F.explode(tx.path_windows(F.col("text"))).alias("_seen")).distinct()
-
-
-def _occurs(paths: DataFrame, seen: DataFrame, how: str) -> DataFrame:
+def _occurs(paths: DataFrame, texts: DataFrame, how: str) -> DataFrame:
     """Paths that occur in a text (or do not), whole or by their last part."""
     asked = paths.select("run_id", "path", F.explode(F.array_distinct(F.array(
         "path", tx.base_name(F.col("path"))))).alias("_seen"))
-    hit = asked.join(seen, ["run_id", "_seen"], "left_semi").select("run_id", "path").distinct()
+    hit = asked.join(names_present(asked, texts, "run_id", "_seen"), ["run_id", "_seen"], "left_semi").select("run_id", "path").distinct()
     return paths.join(hit, ["run_id", "path"], how)
 
 
@@ -97,11 +94,11 @@ def unknown_paths(answer: DataFrame, files: DataFrame, observed: DataFrame,
     unknown = (cited.join(files.select("run_id", "path").distinct(), ["run_id", "path"], "left_anti")
                .withColumn("_tail", tx.base_name(F.col("path")))
                .join(_tails(files), ["run_id", "_tail"], "left_anti").drop("_tail"))
-    unseen = _occurs(unknown, path_stretches(observed), "left_anti")
-    ran = _occurs(unseen, path_stretches(actions), "left_semi").withColumn("level", F.lit("check"))
-    never = _occurs(unseen, path_stretches(actions), "left_anti").withColumn(
-        "level", F.lit("strong"))
-    return ran.unionByName(never)
+    # A few names, each read several times.
+    unseen = cut_lineage(_occurs(cut_lineage(unknown), observed, "left_anti"))
+    ran = _occurs(unseen, actions, "left_semi").select("run_id", "path", F.lit("check").alias("_ran"))
+    return unseen.join(ran, ["run_id", "path"], "left").withColumn(
+        "level", F.coalesce("_ran", F.lit("strong"))).drop("_ran")
 
 
 def claimed_files(answer: DataFrame) -> DataFrame:
@@ -127,15 +124,14 @@ def unproduced_files(answer: DataFrame, produced: DataFrame, given: DataFrame,
         "path", tx.base_name(F.col("path"))))))
     held = asked.join(names, ["run_id", "_n"], "left_semi").select("run_id", "path").distinct()
     left = claims.join(held, ["run_id", "path"], "left_anti")
-    return _occurs(left, path_stretches(transcript), "left_anti")
+    return _occurs(left, transcript, "left_anti")
 
 
 def misleading_files_cited(distractors: DataFrame, files: DataFrame, answer: DataFrame) -> DataFrame:
     """Known files named among the distractors that the answer mentions."""
     named = cited_paths(distractors).join(
         files.select("run_id", "path").distinct(), ["run_id", "path"], "left_semi")
-    seen = path_stretches(answer).withColumnRenamed("_seen", "path")
-    return named.join(seen, ["run_id", "path"], "left_semi")
+    return named.join(names_present(named, answer, "run_id"), ["run_id", "path"], "left_semi")
 
 
 def uncovered(findings: DataFrame, criteria: DataFrame) -> DataFrame:
@@ -146,13 +142,13 @@ def uncovered(findings: DataFrame, criteria: DataFrame) -> DataFrame:
     from gaugeworks.functions.numbers import canonical_number
 
     figures = figure_rows(criteria).withColumnRenamed("value", "_token")
-    paths = path_stretches(criteria).withColumnRenamed("_seen", "_token")
     asked = findings.where("coalesce(subject, '') <> ''").withColumn("_token", F.when(
         F.col("subject_kind") == "figure", canonical_number(F.col("subject"))).otherwise(
         F.col("subject")))
     keys = ["run_id", "_token"]
+    paths = asked.where("subject_kind = 'path'")
     left = (asked.where("subject_kind = 'figure'").join(figures, keys, "left_anti")
-            .unionByName(asked.where("subject_kind = 'path'").join(paths, keys, "left_anti")))
+            .unionByName(paths.join(names_present(paths, criteria, "run_id", "_token"), keys, "left_anti")))
     return left.drop("_token")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gaugeworks import fixed
 from gaugeworks.functions import text as tx, variants as va
 from gaugeworks.functions.tokens import token_band
+from gaugeworks.operators.occurrence import names_present
 from gaugeworks.sources.transcripts import is_agent
 
 
@@ -85,10 +86,10 @@ def fragment_seen(rows: DataFrame, fragment: str) -> DataFrame:
 
 def files_opened(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Files whose path or name occurs in a run's text; only a yes is reliable."""
-    seen = rows.select("run_id", F.explode(tx.path_windows(F.col("text"))).alias("_seen")).distinct()
     asked = files.select("run_id", "path", F.explode(F.array_distinct(F.array(
         "path", tx.base_name(F.col("path"))))).alias("_seen"))
-    hits = asked.join(seen, ["run_id", "_seen"], "left_semi").select("run_id", "path").distinct()
+    hits = asked.join(names_present(asked, rows, "run_id", "_seen"), ["run_id", "_seen"], "left_semi").select(
+        "run_id", "path").distinct()
     return (files.join(hits.withColumn("opened", F.lit(True)), ["run_id", "path"], "left")
             .withColumn("opened", F.coalesce("opened", F.lit(False))))
 

@@ -312,3 +312,16 @@ def test_words_changed(spark):
     rows = [("a b c", "a x c", 1), ("a b", "a b", 0), (None, "one two", 2), ("a b c d", "d", 3), ("a b", "x y z", 3)]
     df = spark.createDataFrame(rows, "a string, b string, n int")
     assert all(r.got == r.n for r in df.withColumn("got", words_changed("a", "b")).collect())
+
+
+def test_names_present_against_every_pair(spark):
+    from gaugeworks.operators.occurrence import names_present
+
+    rng = random.Random(8)
+    texts = [(k % 3, "".join(rng.choice("ab./ M") for _ in range(rng.randint(0, 40)))) for k in range(30)]
+    texts += [(1, "opened main.r, Makefile, out.parquetfile2 and my file.csv"), (1, "x" * 200_000 + "deep/in.it"), (2, None)]
+    names = [(k % 3, "".join(rng.choice("ab./") for _ in range(rng.randint(1, 6)))) for k in range(60)]
+    names += [(1, n) for n in ("main.r", "Makefile", "out.parquetfile2", "my file.csv", "deep/in.it", "absent", "", "é")] + [(0, None)]
+    want = {(k, n) for k, n in names if n and any(t and k == j and n in t for j, t in texts)}
+    got = names_present(spark.createDataFrame(names, "k int, path string"), spark.createDataFrame(texts, "k int, text string"), "k")
+    assert {tuple(r) for r in got.collect()} == want
