@@ -25,9 +25,9 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Texts given to the library at once, by characters.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 17
 #: Distinct words a Python worker keeps the pieces of.
-MOST_WORDS = 600_000
+MOST_WORDS = 250_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -306,7 +306,9 @@ def both_ways(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     def coded(column: pa.Array) -> pa.Array:
         codec = loaded(path)
         ids = _encoded(codec, column)
-        return pa.StructArray.from_arrays([ids, _decoded(codec, ids)], ["ids", "decoded"])
+        made = pa.StructArray.from_arrays([ids, _decoded(codec, ids)], ["ids", "decoded"])
+        pa.default_memory_pool().release_unused()
+        return made
     held = df.withColumn(put[2], coded(F.col(text)))
     return held.select(*(F.col(f"`{c}`") for c in df.columns), F.col(f"{put[2]}.ids").alias(put[0]),
                        F.col(f"{put[2]}.decoded").alias(put[1]))
