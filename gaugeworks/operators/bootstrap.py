@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeworks.operators.series import MAX_ROWS, over_positions
 
@@ -19,40 +19,35 @@ def error_rows(df: DataFrame) -> DataFrame:
                      F.abs(y).alias("volume"))
 
 
-def draw(seed: int, replicate: Column, block: Column, starts: int) -> Column:
-    """A start in [0, starts) from a digest of (seed, replicate, block)."""
-    basis = F.concat_ws("|", F.lit(seed), replicate, block)
-    return F.conv(F.substring(F.md5(basis), 1, 12), 16, 10).cast("bigint") % F.lit(starts)
-
-
 def block_replicates(rows: DataFrame, n: int, block_length: int = 24, n_boot: int = 400,
                      seed: int = 42, max_rows: int = MAX_ROWS,
                      window_block: int = 65_536) -> DataFrame:
-    """Sums per replicate of the moving-block bootstrap.
+    """Sums per replicate of the moving-block bootstrap, each series drawn to its own length.
 
     The sum of a block is a forward frame computed once for every start, so a
-    replicate is n / L lookups by start rather than n rows. The last block is cut
-    to n rows in all.
+    replicate is n / L lookups by start rather than n rows. The last block of a
+    series is cut to its n rows; only its rows are looked up one by one. `n` is the
+    row count of the longest series or more.
     """
-    length = min(block_length, n)
-    blocks, starts = -(-n // length), n - length + 1
-    tail = n - (blocks - 1) * length
-    frames = {}
-    for c in SUMS:
-        frames[f"{c}_full"] = lambda w, c=c: F.sum(c).over(w.rowsBetween(0, length - 1))
-        frames[f"{c}_tail"] = lambda w, c=c: F.sum(c).over(w.rowsBetween(0, tail - 1))
-    summed = over_positions(rows, ["series_id"], frames, after=length - 1,
-                            block=window_block, max_rows=max_rows, longest=n
-                            ).where(F.col("pos") < starts)
-    spark = rows.sparkSession
-    draws = (spark.range(n_boot * blocks)
-             .select((F.floor(F.col("id") / blocks)).alias("replicate"),
-                     (F.col("id") % blocks).alias("block"))
-             .withColumn("pos", draw(seed, F.col("replicate"), F.col("block"), starts)))
-    last = F.col("block") == blocks - 1
-    return (draws.join(summed, "pos").groupBy("replicate").agg(*[
-        F.sum(F.when(last, F.col(f"{c}_tail")).otherwise(F.col(f"{c}_full"))).alias(c)
-        for c in SUMS]))
+    size = F.least(F.lit(block_length).cast("bigint"), F.col("_n"))
+    sizes = (rows.groupBy("series_id").agg(F.count("*").alias("_n"))
+             .withColumn("_size", size).withColumn("_blocks", F.ceil(F.col("_n") / F.col("_size")))
+             .withColumn("_tail", F.col("_n") - (F.col("_blocks") - 1) * F.col("_size")))
+    frames = {f"{c}_full": lambda w, c=c: F.sum(c).over(w.rowsBetween(0, block_length - 1)) for c in SUMS}
+    summed = over_positions(rows, ["series_id"], frames, after=block_length - 1,
+                            block=window_block, max_rows=max_rows, longest=n)
+    spread = (sizes.withColumn("replicate", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_boot - 1).cast("bigint"))))
+              .repartition("series_id", "replicate")
+              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))))
+    basis = F.concat_ws("|", F.lit(seed), F.col("replicate"), F.col("block"))
+    draws = spread.withColumn("pos", F.conv(F.substring(F.md5(basis), 1, 12), 16, 10).cast("bigint")
+                              % (F.col("_n") - F.col("_size") + 1))
+    last = F.col("block") == F.col("_blocks") - 1
+    whole = draws.where(~last).join(summed, ["series_id", "pos"]).select(
+        "replicate", *[F.col(f"{c}_full").alias(c) for c in SUMS])
+    ends = draws.where(last).withColumn("pos", F.explode(F.sequence("pos", F.col("pos") + F.col("_tail") - 1)))
+    tail = ends.join(rows, ["series_id", "pos"]).select("replicate", *SUMS)
+    return whole.unionByName(tail).groupBy("replicate").agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
 def iid_replicates(rows: DataFrame, n: int, n_boot: int = 400, seed: int = 42,
@@ -81,7 +76,12 @@ def iid_replicates(rows: DataFrame, n: int, n_boot: int = 400, seed: int = 42,
 
     plan = spark.range(n_boot).mapInPandas(
         split_draws, "_block bigint, replicate bigint, draws bigint")
-    placed = rows.withColumn("_block", F.floor(F.col("pos") / block))
+    # One running place over all series, so that every row can be drawn.
+    before = rows.groupBy("series_id").agg(F.count("*").alias("_n")).withColumn("_ahead", F.coalesce(F.sum("_n").over(
+        Window.orderBy("series_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = (rows.join(before.select("series_id", "_ahead"), "series_id")
+              .withColumn("pos", F.col("pos") + F.col("_ahead")).drop("_ahead")
+              .withColumn("_block", F.floor(F.col("pos") / block)))
 
     def resample(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         values = left.sort_values("pos")[list(SUMS)].to_numpy()

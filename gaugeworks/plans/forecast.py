@@ -28,8 +28,7 @@ def evaluate(observations: DataFrame, zones: list[str], candidate: str = "Ridge"
     """
     rows = longest_series(observations, ["series_id"])
     table = features.feature_matrix(observations, zones, max_rows=max_rows)
-    table = table.select("*", splits.split_of(F.col("pos"), F.lit(rows)).alias("split"),
-                         splits.eligible().alias("is_eligible_eval"))
+    table = splits.with_split(table).withColumn("is_eligible_eval", splits.eligible())
     table = cut_lineage(table)
     found = splits.thresholds(table, rows)
     spike, volatile = found["FROZEN_PRE_SHIFT"]

@@ -141,3 +141,10 @@ def test_lags_back_fill_with_the_next_known_price(spark):
         for k in LAGS:
             want = pd.Series(prices, dtype=float).shift(k).bfill()
             assert got[f"lag_price_{k}"].equals(want.rename(f"lag_price_{k}")), (most, k)
+
+
+def test_bootstrap_draws_every_series_to_its_length(spark):
+    rows = [(s, i, 1.0, 0.5, 1.0) for s, n in (("a", 480), ("b", 100), ("c", 7)) for i in range(n)]
+    df = spark.createDataFrame(rows, "series_id string, pos long, err_base double, err_cand double, volume double")
+    for got in (bootstrap.block_replicates(df, 587, n_boot=20), bootstrap.iid_replicates(df, 587, n_boot=20, block=64)):
+        assert [r.volume for r in got.collect()] == [587.0] * 20
