@@ -200,31 +200,31 @@ class _Exact:
         return both.filter(_can_link(F.col("na"), F.col("nb"), common)).select("a", "b")
 
     def _sets_of(self, names: DataFrame) -> DataFrame:
-        """(name, found): the sorted shingles of the named sets, from one document each."""
-        wanted = written(names.join(self.classes.select("name", "first"), "name"), "wanted")
-        # A filter of fixed size keeps most other documents from being moved.
-        bit = F.pmod(F.xxhash64("name", "first"), F.lit(FILTER_BITS))
-        bits = np.unpackbits(_filter(wanted.select(bit.alias("x")), FILTER_BITS), bitorder="little").view(bool)
+        """(name, found): the sorted shingles of the named sets."""
+        wanted = written(names, "wanted")
+        # A filter of fixed size keeps most other sets from being moved.
+        bits = _filter(wanted.select(F.col("name").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("x")), FILTER_BITS)
 
         def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            met: set[int] = set()
             for batch in batches:
-                for lo, n, row, found in _sets(batch.column(1)):
+                for _, n, row, found in _sets(batch.column(0)):
                     size, name, ends = _names(row, found, n)
-                    yield pa.record_batch([
-                        batch.column(0).slice(lo, n), pa.array(name),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.view(np.int64)))],
-                        ["first", "name", "found"]).filter(pa.array(size > 0))
-
-        @F.arrow_udf("boolean")
-        def maybe(place: pa.Array) -> pa.Array:
-            return pa.array(bits[place.to_numpy(zero_copy_only=False)])
-        kind = dict(self.docs.dtypes)["doc_id"]
-        all_sets = self.docs.select("doc_id", "text").mapInArrow(made, f"first {kind}, name long, found array<long>")
-        kept = all_sets.filter(maybe(bit))
-        own = kept.withColumnRenamed("first", "first_").join(
-            wanted, (kept["name"] == wanted["name"]) & F.col("first_").eqNullSafe(F.col("first")))
-        # Rows with one id and one text are equal, so any of them will do.
-        return written(own.groupBy(wanted["name"]).agg(F.first("found").alias("found")), "sets")
+                    place = name & (FILTER_BITS - 1)
+                    mine = []
+                    for k in np.flatnonzero((size > 0) & ((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0)):
+                        if name[k] not in met:  # a copy has the same set
+                            met.add(int(name[k]))
+                            mine.append(k)
+                    if mine:
+                        lists = np.concatenate([[0], np.cumsum(size[mine])])
+                        values = np.concatenate([found[ends[k]:ends[k + 1]] for k in mine])
+                        yield pa.record_batch([pa.array(name[mine]), pa.ListArray.from_arrays(
+                            pa.array(lists, pa.int32()), pa.array(values.view(np.int64)))], ["name", "found"])
+                if len(met) > 200_000:
+                    met.clear()
+        sets = self.docs.select("text").mapInArrow(made, "name long, found array<long>")
+        return written(sets.join(wanted, "name", "left_semi").groupBy("name").agg(F.first("found").alias("found")), "sets")
 
 
 def join(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -198,28 +198,30 @@ def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of line names, of `pairs`, whose lines are within reach."""
     wanted = written(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct(), "wanted")
     # A filter of fixed size keeps most other lines from being moved.
-    bit = F.pmod(F.xxhash64("line"), F.lit(FILTER_BITS))
-    words = wanted.select(bit.alias("x")).groupBy(F.expr("x div 64").alias("k")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(x % 64 as int))")).alias("m")).toArrow()
+    words = wanted.select(F.col("line").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("x")).groupBy(
+        F.expr("x div 64").alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, cast(x % 64 as int))")).alias("m")).toArrow()
     held = np.zeros(FILTER_BITS // 64, np.int64)
     held[words["k"].to_numpy()] = words["m"].to_numpy()
-    bits = np.unpackbits(held.view(np.uint8), bitorder="little").view(bool)
-
-    @F.arrow_udf("boolean")
-    def maybe(place: pa.Array) -> pa.Array:
-        return pa.array(bits[place.to_numpy(zero_copy_only=False)])
+    bits = held.view(np.uint8)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in batches:
             for *_, start, size, joined in _lines(batch.column(0)):
                 sums, down = _sums(joined)
                 long = np.flatnonzero(size >= LEAST_CHARS)
-                name = _named(sums, down, start[long], size[long])
-                _, once = np.unique(name, return_index=True)
-                cut = [(start[k], start[k] + size[k]) for k in long[once]]
-                yield pa.record_batch([pa.array(name[once].view(np.int64)), pa.array([joined[x:y] for x, y in cut], pa.string())],
-                                      ["line", "text"])
-    texts = written(docs.select("text").mapInArrow(read, "line long, text string").filter(maybe(bit))
+                name = _named(sums, down, start[long], size[long]).view(np.int64)
+                place = name & (FILTER_BITS - 1)
+                names, texts = [], []
+                for k in np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0):
+                    if name[k] not in met:  # a copy is the same line
+                        met.add(int(name[k]))
+                        names.append(int(name[k]))
+                        texts.append(joined[start[long[k]]:start[long[k]] + size[long[k]]])
+                yield pa.record_batch([pa.array(names, pa.int64()), pa.array(texts, pa.string())], ["line", "text"])
+            if len(met) > 200_000:
+                met.clear()
+    texts = written(docs.select("text").mapInArrow(read, "line long, text string")
                     .join(wanted, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text")), "texts")
     both = (pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b"))
