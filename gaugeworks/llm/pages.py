@@ -1,8 +1,10 @@
 """Main text of web pages: site templates found by counting element subtrees per host.
 
-Every element outside a marked article gets a hash of its subtree. A subtree that
-stands on many pages of a host belongs to the site's template and is deleted, with
-what names itself a menu, header, footer, sidebar, notice, advert, form or comment.
+Every element gets a hash of its subtree. A subtree that stands in many unlike pages
+of a host (inside a marked article: in many unlike articles) belongs to the site's
+template and is deleted. What is left loses what names itself a menu, header, footer,
+sidebar, notice, advert, form or comment, and what stands outside marked articles, but
+never the part with most of the text.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -18,8 +21,9 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.store import written
 
-#: A subtree is a template where it stands on so many pages of its host, and this share of them.
+#: A subtree is a template where it stands on so many pages of its host, and this share of them; copies count once.
 LEAST_PAGES, LEAST_SHARE = 5, 0.02
+FILTER_BITS = 1 << 23
 
 # Elements by what they do to the text around or inside them.
 BLOCKS = frozenset(
@@ -31,6 +35,8 @@ DROPPED = frozenset(
     "nav footer aside form button select datalist dialog menu search object canvas audio video map head label "
     "fieldset output progress meter".split())
 MAIN = frozenset(("article", "main"))
+#: Inside an article these go with their list or table, not alone: a cell or item is alike by chance.
+PARTS = frozenset("caption dd dt figcaption legend li optgroup option summary tbody td tfoot th thead tr".split())
 #: An opening tag ends these open elements.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -77,14 +83,16 @@ def _unwanted(tag: str, attributes: str, in_main: bool) -> bool:
 
 
 class Page:
-    """Blocks of text of a page, and the subtree hashes of its elements outside marked articles."""
+    """The text of a page in pieces, and the subtree hashes of its elements."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, bool, int]] = []  # text, inside an article, element
-        self.parent, self.hash = [-1], [0]
-        # Of each open element: tag, number, whether its text goes, inside an article, its subtree's parts.
-        self.open: list[tuple[str, int, bool, bool, list[str]]] = [("", 0, False, False, [])]
-        self.text: list[str] = []
+        self.pieces: list[tuple[int, int, str]] = []  # block, element, text
+        self.block = 0
+        # Of each element, the page itself first: parent, subtree hash, outermost article or main around it or 0,
+        # whether it names itself no article, whether it may be a template.
+        self.parent, self.hash, self.article, self.unwanted, self.judged = [-1], [0], [0], [False], [False]
+        # Of each open element: tag, number, its subtree's parts.
+        self.open: list[tuple[str, int, list[str]]] = [("", 0, [])]
         at = 0
         for token in _TOKEN.finditer(source):
             if token.start() > at:
@@ -101,36 +109,29 @@ class Page:
             self._add(source[at:])
         while len(self.open) > 1:
             self._close()
-        self._flush()
+        self._hash(*self.open[0])
 
     def _add(self, piece: str) -> None:
-        frame = self.open[-1]
-        if frame[2] and frame[3]:
-            return
+        _, number, parts = self.open[-1]
         if "&" in piece:
             piece = entities.unescape(piece)
-        if not frame[2]:
-            self.text.append(piece)
-        if not frame[3]:
-            frame[4].append(piece.strip())
+        self.pieces.append((self.block, number, piece))
+        parts.append(piece.strip())
 
     def _flush(self) -> None:
-        if self.text:
-            block = " ".join("".join(self.text).split())
-            self.text = []
-            if block:
-                frame = self.open[-1]
-                self.blocks.append((block, frame[3], frame[1]))
+        self.block += 1
+
+    def _hash(self, tag: str, number: int, parts: list[str]) -> None:
+        if any(parts):
+            self.hash[number] = xxhash.xxh64_intdigest(f"{tag}\1" + "\2".join(parts)) >> 1
 
     def _close(self) -> None:
-        tag, number, _, inside, parts = self.open[-1]
+        tag, number, parts = self.open.pop()
         if tag in BLOCKS:
             self._flush()
-        self.open.pop()
-        if not inside and any(parts):
-            self.hash[number] = xxhash.xxh64_intdigest(f"{tag}\1" + "\2".join(parts)) >> 1
-            if not self.open[-1][3]:
-                self.open[-1][4].append(str(self.hash[number]))
+        self._hash(tag, number, parts)
+        if self.hash[number]:
+            self.open[-1][2].append(str(self.hash[number]))
 
     def _close_to(self, tags: tuple[str, ...], scope: frozenset) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -152,12 +153,14 @@ class Page:
             if tag == "br":
                 self._add(" ")
             return
-        _, parent, gone, inside, _ = self.open[-1]
-        gone = gone or _unwanted(tag, attributes, inside)
-        number = len(self.parent)
+        parent, number = self.open[-1][1], len(self.parent)
+        inside = self.article[parent]
         self.parent.append(parent)
         self.hash.append(0)
-        self.open.append((tag, number, gone, inside or (tag in MAIN and not gone), []))
+        self.article.append(inside or (number if tag in MAIN else 0))
+        self.unwanted.append(_unwanted(tag, attributes, inside > 0))
+        self.judged.append(tag in BLOCKS and tag not in ("html", "body") and not (inside and tag in PARTS))
+        self.open.append((tag, number, []))
 
     def _end(self, tag: str) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -168,58 +171,104 @@ class Page:
         if tag in BLOCKS:
             self._flush()
 
-    def subtrees(self) -> set[int]:
-        return {h for h in self.hash if h}
+    def subtrees(self) -> set[tuple[int, int]]:
+        """(subtree, what it is counted once in: its article, outside of one the page); the page itself is subtree 0."""
+        return {(0, self.hash[0])} | {(h, self.hash[self.article[k]]) for k, h in enumerate(self.hash) if h and self.judged[k]}
 
-    def main_text(self, templates: frozenset[int] = frozenset()) -> str:
-        """The blocks inside marked articles; without any, all that no template holds."""
-        inside = [text for text, marked, _ in self.blocks if marked]
-        if inside:
-            return "\n".join(inside)
+    def deleted(self, templates: frozenset[int]) -> list[bool]:
+        """Of each piece, whether a template holds it.
+
+        An article of which templates are more than half is a copy of others; none of it goes.
+        """
         gone = [False] * len(self.parent)
         for k in range(1, len(self.parent)):  # a parent comes before its children
-            gone[k] = gone[self.parent[k]] or self.hash[k] in templates
-        return "\n".join(text for text, _, k in self.blocks if not gone[k])
+            gone[k] = gone[self.parent[k]] or self.judged[k] and self.hash[k] in templates
+        held, lost = [0] * len(gone), [0] * len(gone)
+        for _, k, text in self.pieces:
+            size = len(text.strip())
+            held[self.article[k]] += size
+            lost[self.article[k]] += size * gone[k]
+        return [gone[k] and not (self.article[k] and 2 * lost[self.article[k]] > held[self.article[k]])
+                for _, k, _ in self.pieces]
+
+    def main_text(self, templates: frozenset[int] = frozenset()) -> str:
+        """The blocks no template holds, without what names itself no article.
+
+        Of these only what is inside marked articles, where that is half of the text or
+        more. Where nothing would be left the page is a copy and keeps its templates.
+        """
+        pieces = self.pieces
+        if templates:
+            pieces = [x for x, gone in zip(pieces, self.deleted(templates)) if not gone]
+        weight = [0] * len(self.parent)
+        for _, k, text in pieces:
+            weight[k] += len(text.strip())
+        for k in range(len(weight) - 1, 0, -1):
+            weight[self.parent[k]] += weight[k]
+        gone = [False] * len(self.parent)
+        for k in range(1, len(gone)):
+            gone[k] = gone[self.parent[k]] or self.unwanted[k] and 2 * weight[k] <= weight[0]
+        pieces = [x for x in pieces if not gone[x[1]]]
+        marked = [x for x in pieces if self.article[x[1]]]
+        if 2 * sum(len(x[2].strip()) for x in marked) >= sum(len(x[2].strip()) for x in pieces):
+            pieces = marked
+        blocks: dict[int, list[str]] = {}
+        for block, _, text in pieces:
+            blocks.setdefault(block, []).append(text)
+        out = "\n".join(filter(None, (" ".join("".join(x).split()) for x in blocks.values())))
+        return out if out or not templates else self.main_text()
 
 
-#: A page whose source names an article may have a marked one; it needs no templates then.
-MARKED = r"(?i)<(article|main)[\s>]"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
 def templates(df: DataFrame) -> DataFrame:
-    """(host, row, subtree) of the template subtrees that stand on a row of `df` (row, host, html)."""
+    """(row, subtree) of the template subtrees that stand on a row of `df` (row, host, html)."""
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, host, subtree = [], [], []
+            row, host, subtree, unit = [], [], [], []
             for r, h, source in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 found = Page(source or "").subtrees()
                 row += [r] * len(found)
                 host += [h] * len(found)
-                subtree += found
-            yield pa.record_batch([pa.array(row, pa.int64()), pa.array(host, pa.string()),
-                                   pa.array(subtree, pa.int64())], ["row", "host", "subtree"])
+                subtree += [x for x, _ in found]
+                unit += [x for _, x in found]
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in (row, host, subtree, unit)],
+                                  ["row", "host", "subtree", "unit"])
     # A page without a host belongs to no site.
-    named = df.filter("host IS NOT NULL").select("row", "host", "html")
-    on_page = written(named.mapInArrow(listed, "row long, host string, subtree long"), "subtrees")
-    pages = named.groupBy("host").agg(F.count("*").alias("pages"))
-    many = (on_page.groupBy("host", "subtree").count().filter(F.col("count") >= LEAST_PAGES).join(pages, "host")
-            .filter(F.col("count") >= LEAST_SHARE * F.col("pages")).select("host", "subtree"))
-    return on_page.join(written(many, "templates"), ["host", "subtree"], "left_semi")
+    named = df.filter("host IS NOT NULL").select("row", F.xxhash64("host").alias("host"), "html")
+    on_page = written(named.mapInArrow(listed, "row long, host long, subtree long, unit long"), "subtrees")
+    counts = written(on_page.groupBy("host", "subtree").agg(F.count_distinct("unit").alias("n"))
+                     .filter((F.col("subtree") == 0) | (F.col("n") >= LEAST_PAGES)), "counts")
+    pages = counts.filter("subtree = 0").select("host", F.col("n").alias("pages"))
+    many = (counts.filter("subtree <> 0").join(pages, "host").filter(F.col("n") >= LEAST_SHARE * F.col("pages"))
+            .select("host", "subtree"))
+    return on_page.join(written(many, "templates"), ["host", "subtree"], "left_semi").select("row", "subtree")
 
 
 def extracted(df: DataFrame, html: str = "html", url: str = "url", key: str = "page_id") -> DataFrame:
     """page_id, url, text and n_chars of each row of `df`, whose rows are read alike each time, as files are.
 
-    Where a page marks an article (or main) only that is its text; elsewhere all
-    but templates and what names itself no article. A null, empty or broken page
-    has what text it has, at least the empty one. Null and odd addresses have no
-    host and no template. Ids may be null or repeated.
+    Each page loses the templates of its host, then what `Page.main_text` takes for
+    no article. A null, empty or broken page has what text it has, at least the empty
+    one. Null and odd addresses have no host and no template. Ids may be null or repeated.
     """
     placed = df.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(url).alias("address"),
                        F.lower(F.nullif(F.regexp_extract(F.col(url), HOST, 1), F.lit(""))).alias("host"),
                        F.col(html).alias("html"))
-    marked = F.coalesce(F.col("html").rlike(MARKED), F.lit(True))
+    gone = written(templates(placed).groupBy("row").agg(F.collect_set("subtree").alias("gone")), "gone")
+    # A filter of fixed size keeps most pages without a template from being moved.
+    place = F.xxhash64("row").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = gone.select(place.alias("x")).groupBy(F.expr("x div 64").alias("k")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(x % 64 as int))")).alias("m")).toArrow()
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    held[words["k"].to_numpy()] = words["m"].to_numpy()
+    bits = held.view(np.uint8)
+
+    @F.arrow_udf("boolean")
+    def met(place: pa.Array) -> pa.Array:
+        at = place.to_numpy(zero_copy_only=False)
+        return pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
 
     @F.arrow_udf("string")
     def plain(source: pa.Array) -> pa.Array:
@@ -229,11 +278,8 @@ def extracted(df: DataFrame, html: str = "html", url: str = "url", key: str = "p
     def stripped(source: pa.Array, gone: pa.Array) -> pa.Array:
         return pa.array([Page(x.as_py() or "").main_text(frozenset(g.as_py() or ())) for x, g in zip(source, gone)],
                         pa.string())
-    # Only pages without a marked article wait for the templates and are moved.
-    gone = templates(placed).join(placed.filter(~marked).select("row"), "row", "left_semi").groupBy("row").agg(
-        F.collect_set("subtree").alias("gone"))
-    one = placed.filter(marked).withColumn("text", plain("html"))
-    other = placed.filter(~marked).join(gone, "row", "left").withColumn("text", stripped("html", "gone"))
+    one = placed.filter(~met(place)).withColumn("text", plain("html"))
+    other = placed.filter(met(place)).join(gone, "row", "left").withColumn("text", stripped("html", "gone"))
     both = one.select("key", "address", "text").union(other.select("key", "address", "text"))
     return both.select(F.col("key").alias(key), F.col("address").alias(url), "text",
                        F.length("text").cast("long").alias("n_chars"))

@@ -216,3 +216,23 @@ def test_templates_go_where_no_article_is_marked(spark, tmp_path):
     got = {r.page_id: (r.text, r.n_chars) for r in pages.extracted(spark.read.parquet(path)).collect()}
     assert got[3] == ("story 3 of many", 15) and got[40][0] == "Welcome to our place\nx"
     assert got[41][0] == "no host" and got[42] == ("", 0) and got[None][0] == "copied"
+
+
+def test_templates_go_inside_marked_articles_too(spark, tmp_path):
+    rng = random.Random(8)
+    box, copied, told = "<div>Read all about our place here</div>", f"<p>{prose(rng, 30)}</p><p>{prose(rng, 30)}</p>", []
+    rows = []
+    for k in range(30):
+        told.append(prose(rng, 40))
+        rows.append((k, f"http://a.example.com/{k}", f"<nav>menu {k}</nav><article><p>{told[k]}</p>{box}<table><tr><td>0<td>{k}</table></article>"))
+    # Copies and near copies of an article keep it; so does a wrapper with a telling word that holds the page.
+    rows += [(100 + k, f"http://a.example.com/c{k}", f"<nav>menu {k}</nav><article>{copied}</article>") for k in range(9)]
+    rows += [(200 + k, f"http://a.example.com/n{k}", f"<article>{copied}<p>note {k}</p></article>") for k in range(9)]
+    rows += [(300, "http://b.example.com/", f'<nav>menu</nav><form><article class="post comment-open"><p>{told[0]}</p></article></form>')]
+    path = str(tmp_path / "pages")
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(path)
+    got = {r.page_id: r.text for r in pages.extracted(spark.read.parquet(path)).collect()}
+    whole = copied.replace("</p><p>", "\n")[3:-4]
+    assert all(got[k] == f"{told[k]}\n0\n{k}" for k in range(30))
+    assert all(got[100 + k] == whole and got[200 + k] == f"{whole}\nnote {k}" for k in range(9))
+    assert got[300] == told[0]
