@@ -22,8 +22,10 @@ from gaugeworks.llm.store import fresh, written
 from gaugeworks.llm.words import mixed, powers
 
 ERRORS = 2
-#: Shorter lines always stay: two edits would make other lines of them.
+#: Shorter lines have no near matches: two edits would make other lines of them.
 LEAST_CHARS = 24
+#: With this as `least`, exact copies of any line with a word are repeats.
+ANY = 1
 BATCH_CHARS = 1 << 19
 FILTER_BITS = 1 << 23
 
@@ -63,13 +65,21 @@ def _named(sums: np.ndarray, down: np.ndarray, start: np.ndarray, size: np.ndarr
     return mixed((sums[start + size] - sums[start]) * down[start] + size.astype(np.uint64) * _SALT)
 
 
-def _occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, position, line, size) of lines long enough, from (row, text)."""
+def _with_word(joined: str, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    sums = np.concatenate([[0], np.cumsum((codes != 32) & ((codes < 9) | (codes > 13)))])
+    return sums[start + size] > sums[start]
+
+
+def _occurring(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(row, position, line, size) of lines of `least` characters and more, with a word where shorter than LEAST_CHARS, from (row, text)."""
     for batch in batches:
         rows = batch.column(0).to_numpy(zero_copy_only=False)
         for lo, _, row, position, start, size, joined in _lines(batch.column(1)):
             sums, down = _sums(joined)
             long = size >= LEAST_CHARS
+            if least < LEAST_CHARS:
+                long |= (size >= least) & _with_word(joined, start, size)
             name = _named(sums, down, start[long], size[long])
             yield pa.record_batch([pa.array(rows[lo + row[long]]), pa.array(position[long]),
                                    pa.array(name.view(np.int64)), pa.array(size[long])],
@@ -255,10 +265,13 @@ def classes(docs: DataFrame) -> DataFrame:
     return components(links if rest.isEmpty() else links.union(_linked(docs, rest)))
 
 
-def removals(docs: DataFrame) -> DataFrame:
-    """(row, positions, chars) of the lines that go, from `docs` (row, text)."""
+def removals(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
+    """(row, positions, chars) of the lines that go, from `docs` (row, text).
+
+    Lines under LEAST_CHARS characters go as exact copies, those under `least` never.
+    """
     lines = written(docs.select("row", "text").mapInArrow(
-        _occurring, "row long, position long, line long, size long"), "lines")
+        lambda batches: _occurring(batches, least), "row long, position long, line long, size long"), "lines")
     each = lines.groupBy("line").agg(F.min(F.struct("row", "position")).alias("at"), F.count("*").alias("n"))
     near = classes(docs).select(F.col("node").alias("line"), "component")
     held = each.join(near, "line", "left").withColumn("component", F.coalesce("component", "line"))
@@ -269,16 +282,16 @@ def removals(docs: DataFrame) -> DataFrame:
                                    F.sum("size").alias("chars"))
 
 
-def deduplicated(df: DataFrame) -> DataFrame:
+def deduplicated(df: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     """`df` without the repeated lines of its texts, in its columns; a row all of whose lines went goes.
 
     The first line of each class, as the table lies, stays; so do lines under
-    LEAST_CHARS characters. Null and empty texts stay as they are. Repeated rows are
+    `least` characters. Null and empty texts stay as they are. Repeated rows are
     texts like any others. n_chars, where there is one, follows the text.
     """
     row, = fresh(df, "row_of_lines")
     placed = df.withColumn(row, F.monotonically_increasing_id())
-    gone = written(removals(placed.select(F.col(row).alias("row"), "text")), "removals").select(
+    gone = written(removals(placed.select(F.col(row).alias("row"), "text"), least), "removals").select(
         F.col("row").alias(row), F.col("positions").alias("lines_that_go"))
 
     @F.arrow_udf("string")
@@ -297,10 +310,10 @@ def deduplicated(df: DataFrame) -> DataFrame:
     return both.filter(F.col("lines_that_go").isNull()).select(*columns).union(some.select(*columns))
 
 
-def counted(df: DataFrame) -> DataFrame:
+def counted(df: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     """doc_id, n_lines, n_removed and n_chars (left, with the line feeds between lines) of each row of `df`."""
     placed = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    gone = written(removals(placed.select("row", "text")), "removals")
+    gone = written(removals(placed.select("row", "text"), least), "removals")
     sizes = placed.select("row", "doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
                           F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"))
     removed = F.coalesce(F.size("positions"), F.lit(0)).cast("long")

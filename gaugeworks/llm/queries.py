@@ -83,7 +83,7 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.counted(_table(spark, sf_dir, "documents"))
+    return lines.counted(_table(spark, sf_dir, "documents"), lines.ANY)
 
 
 @_query()

@@ -3,10 +3,11 @@
 import random
 from itertools import combinations
 
+import corpus_pipeline
 import numpy as np
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import jaccard, lines, neighbours
+from gaugeworks.llm import jaccard, lines, neighbours, queries
 from gaugeworks.llm.components import components
 
 from .conftest import words
@@ -115,6 +116,24 @@ def test_lines_against_all_pairs(spark):
         assert texts.get(k, "") == want or not want.strip()
 
 
+def test_short_lines_go_as_exact_copies(spark):
+    rows = [(0, "short\nshort\nshorn\n \n \n\n\nx"), (1, "Short\nx\nshort"), (2, "x"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_chars) for r in lines.counted(df, lines.ANY).collect()}
+    assert got == {0: (8, 1, 19), 1: (3, 2, 5), 2: (1, 1, 0), 3: (0, 0, 0), 4: (1, 0, 0)}
+    texts = {r.doc_id: r.text for r in lines.deduplicated(df, lines.ANY).collect()}
+    assert texts == {0: "short\nshorn\n \n \n\n\nx", 1: "Short", 3: None, 4: ""}
+
+
+def test_the_registered_jobs_take_short_lines(spark, tmp_path):
+    folder, stages = str(tmp_path), dict(corpus_pipeline.STAGES)
+    spark.createDataFrame([(0, "one"), (1, "two"), (2, "one")], "doc_id long, text string").coalesce(1).write.parquet(
+        f"{folder}/documents.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert sorted(r.n_removed for r in queries.QUERIES["op8_lines"](spark, folder).collect()) == [0, 0, 1]
+    assert sorted(r.text for r in stages["line_dedup"](spark, docs, folder).collect()) == ["one", "two"]
+
+
 def test_neighbours_recall_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(1)
     v = rng.standard_normal((700, 16)).astype(np.float32)
