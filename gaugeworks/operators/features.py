@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeworks.operators.series import (MAX_ROWS, longest_series, number_rows,
                                          over_positions)
 
 LAGS = (1, 2, 24, 168)
 ROLL = 24
-# Rows on that a back-fill looks for a known price.
-FILL = 168
 EXCLUDED = ("timestamp", "ts", "zone", "product_type", "telemetry_status", "price_usd_mwh",
             "regime", "split_phase", "is_eligible_eval", "series_id", "event_id", "pos")
 
 
+def _with_next(df: DataFrame, by: list[str], known: Column, block: int, max_rows: int,
+               longest: int) -> DataFrame:
+    """Add `_next`, the first known (pos, price) at a row of its series or after it."""
+    upto = Window.unboundedPreceding, Window.currentRow
+
+    def nearest(*group: str) -> Column:
+        back = Window.partitionBy(*group).orderBy(F.desc("pos")).rowsBetween(*upto)
+        return F.last(known, ignorenulls=True).over(back)
+
+    if longest <= max_rows:
+        return df.withColumn("_next", nearest(*by))
+    placed = df.withColumn("_home", F.floor(F.col("pos") / block))
+    # One row a block: the first known price of the blocks after it.
+    later = Window.partitionBy(*by).orderBy(F.desc("_home")).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (placed.groupBy(*by, "_home").agg(F.min(known).alias("_known"))
+             .select(*by, "_home", F.min("_known").over(later).alias("_ahead")))
+    return (placed.withColumn("_next", nearest(*by, "_home")).join(ahead, [*by, "_home"])
+            .withColumn("_next", F.coalesce("_next", "_ahead")).drop("_home", "_ahead"))
+
+
 def lag_and_roll(df: DataFrame, series: str = "series_id", ts: str = "ts",
                  tie: str = "event_id", price: str = "price_usd_mwh",
                  max_rows: int = MAX_ROWS, block: int = 65_536,
@@ -22,21 +40,21 @@ def lag_and_roll(df: DataFrame, series: str = "series_id", ts: str = "ts",
     """Lags 1, 2, 24 and 168 and the mean and sample deviation of the 24 rows before.
 
     A lag that is not there, at the head of a series or where the price is null,
-    takes the next known price, as a back-fill of the shifted column does, up to
-    `FILL` rows on; a series too short for a lag has none. The mean is filled like
-    lag 1. The deviation is 0 where it is not defined. `drop_warmup` leaves the head
-    rows out.
+    takes the next known price, however far on, as a back-fill of the shifted column
+    does; a series too short for a lag has none. The mean is filled like lag 1. The
+    deviation is 0 where it is not defined. `drop_warmup` leaves the head rows out.
     """
     by = [series]
     longest = longest_series(df, by)
     numbered = number_rows(df, by, ts, tie, max_rows, longest)
     known = F.when(F.col(price).isNotNull(), F.struct("pos", F.col(price).alias("price")))
+    numbered = _with_next(numbered, by, known, block, max_rows, longest)
     # The first known price from k rows back on; a lag is right there, a fill comes later.
-    frames = {f"_lag_{k}": (lambda w, k=k: F.first(known, ignorenulls=True).over(w.rowsBetween(-k, FILL)))
+    frames = {f"_lag_{k}": (lambda w, k=k: F.first("_next").over(w.rowsBetween(-k, 0)))
               for k in LAGS}
     frames["_mean"] = lambda w: F.avg(price).over(w.rowsBetween(-ROLL, -1))
     frames["_std"] = lambda w: F.stddev_samp(price).over(w.rowsBetween(-ROLL, -1))
-    out = over_positions(numbered, by, frames, before=max(LAGS), after=FILL, block=block,
+    out = over_positions(numbered, by, frames, before=max(LAGS), block=block,
                          max_rows=max_rows, longest=longest)
     out = out.join(df.groupBy(*by).agg(F.count("*").alias("_rows")), by)
 

@@ -143,6 +143,19 @@ def test_lags_back_fill_with_the_next_known_price(spark):
             assert got[f"lag_price_{k}"].equals(want.rename(f"lag_price_{k}")), (most, k)
 
 
+def test_lags_back_fill_over_a_long_outage(spark):
+    prices = [None, 2.0, *[None] * 700, 5.0, *map(float, range(40)), *[None] * 250]
+    df = spark.createDataFrame([(s, i, i, p) for s in "ab" for i, p in enumerate(prices)],
+                               "series_id string, ts int, event_id int, price_usd_mwh double")
+    want = pd.DataFrame({f"lag_price_{k}": pd.Series(prices, dtype=float).shift(k).bfill() for k in features.LAGS})
+    want["roll_price_mean_24"] = pd.Series(prices, dtype=float).shift(1).rolling(24, min_periods=1).mean().bfill()
+    for most in (10_000, 50):
+        got = features.lag_and_roll(df, max_rows=most, block=200).orderBy("series_id", "pos").toPandas()
+        for _, one in got.groupby("series_id"):
+            for c in want:
+                np.testing.assert_allclose(one[c].astype(float), want[c], err_msg=f"{most} {c}")
+
+
 def test_bootstrap_draws_every_series_to_its_length(spark):
     rows = [(s, i, 1.0, 0.5, 1.0) for s, n in (("a", 480), ("b", 100), ("c", 7)) for i in range(n)]
     df = spark.createDataFrame(rows, "series_id string, pos long, err_base double, err_cand double, volume double")
