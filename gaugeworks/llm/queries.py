@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import (
-    jaccard, language, lines, mixing, neighbours, pages, pieces, quality as quality_rules, tokencount, toxicity as toxic)
+    interaction, jaccard, language, lines, mixing, neighbours, pages, personal, pieces, quality as quality_rules, ranked,
+    tokencount, toxicity as toxic)
 
 SENTENCEPIECE = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -89,3 +90,18 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.scored(_table(spark, sf_dir, "documents"))
+
+
+@_query(interaction.ORACLE)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query()
+def op12_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal(_table(spark, sf_dir, "documents"))
+
+
+@_query(ranked.ORACLE)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
