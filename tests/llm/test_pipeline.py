@@ -36,4 +36,4 @@ def test_pipeline(spark, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", x)[1]) for x in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", x)[1]) for x in queries.QUERIES) == list(range(1, 14))
