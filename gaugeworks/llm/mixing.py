@@ -129,13 +129,13 @@ def mix(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) ->
     gets an underscore before it.
     """
     put = fresh(df, "size", "source_size", "target", "taken")
-    held = fresh(df, "mix_place", "s")
+    held = fresh(df, "mix_place", "s", "mix_goal")
     place = written(placed(df, seed), "places")
     cut = written(cuts(place, weights), "cuts")
     marked = df.withColumn(held[0], F.struct(*_place_columns(seed))).withColumn(held[1], F.col(f"{held[0]}.s"))
-    cut = cut.select(F.col("s").alias(held[1]), F.struct("source_size", "target", "epochs", "rest", "cut", "part").alias("goal_of_mix"))
+    cut = cut.select(F.col("s").alias(held[1]), F.struct("source_size", "target", "epochs", "rest", "cut", "part").alias(held[2]))
     both = marked.join(cut, held[1], "left")
-    p, g = held[0], "goal_of_mix"
+    p, g = held[0], held[2]
     mine = F.struct(*(F.col(f"{p}.{c}").alias(c) for c in ("key", "id", "size", "same")))
     extra = (F.when(F.col(f"{g}.cut").isNull(), F.lit(0).cast("long"))
              .when(mine < F.col(f"{g}.cut"), F.col(f"{p}.size"))
