@@ -241,17 +241,21 @@ def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """(node, component) of the lines of `docs` (text) that are within reach of another line."""
     rows = docs.select("text").mapInArrow(_segmented, "key long, line long, bag long, probe boolean")
-    own = F.struct("line", "bag")
-    index = rows.filter("NOT probe").groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high"))
-    met = written(rows.filter("probe").select("key", "line", "bag").join(index, "key").filter(
-        "NOT (low.line = high.line AND low.line = line)"), "met")
+    # Aggregates of numbers alone are hashed, not sorted; one row a key is a small side to hash the probes against.
+    index = rows.filter("NOT probe").groupBy("key").agg(
+        F.min("line").alias("low"), F.min_by("bag", "line").alias("low_bag"),
+        F.max("line").alias("high"), F.max_by("bag", "line").alias("high_bag"))
+    met = written(rows.filter("probe").select("key", "line", "bag").join(index.hint("shuffle_hash"), "key").filter(
+        "NOT (low = high AND low = line)"), "met")
     # Against one line of each bucket first; then only what is still apart.
-    other = F.when(F.col("low.line") == F.col("line"), F.col("high")).otherwise(F.col("low"))
-    first = written(met.withColumn("other", other).filter(_bags_near("bag", "other.bag")).select(
-        F.least("line", "other.line").alias("a"), F.greatest("line", "other.line").alias("b")).distinct(), "first")
+    low = F.col("low") == F.col("line")
+    first = written(met.withColumns({"other": F.when(low, F.col("high")).otherwise(F.col("low")),
+                                     "other_bag": F.when(low, F.col("high_bag")).otherwise(F.col("low_bag"))})
+                    .filter(_bags_near("bag", "other_bag"))
+                    .select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct(), "first")
     links = written(_linked(docs, first), "links")
     part = components(links).select(F.col("node").alias("line"), "component")
-    full = met.filter("low.line <> high.line").drop("low", "high")
+    full = met.filter("low <> high").select("key", "line", "bag")
     keys = written(full.select("key").distinct(), "keys")
     mine = rows.filter("NOT probe").select("key", F.col("line").alias("other"), F.col("bag").alias("other_bag")).join(keys, "key", "left_semi").distinct()
 
@@ -289,10 +293,10 @@ def deduplicated(df: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     `least` characters. Null and empty texts stay as they are. Repeated rows are
     texts like any others. n_chars, where there is one, follows the text.
     """
-    row, = fresh(df, "row_of_lines")
+    row, going = fresh(df, "row_of_lines", "lines_that_go")
     placed = df.withColumn(row, F.monotonically_increasing_id())
     gone = written(removals(placed.select(F.col(row).alias("row"), "text"), least), "removals").select(
-        F.col("row").alias(row), F.col("positions").alias("lines_that_go"))
+        F.col("row").alias(row), F.col("positions").alias(going))
 
     @F.arrow_udf("string")
     def rest(text: pa.Array, positions: pa.Array) -> pa.Array:
@@ -302,16 +306,21 @@ def deduplicated(df: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
             out.append("\n".join(line for k, line in enumerate(x.as_py().split("\n")) if k not in drop))
         return pa.array(out, pa.string())
     both = placed.join(gone, row, "left")
-    some = both.filter(F.col("lines_that_go").isNotNull()).withColumn("text", rest("text", "lines_that_go")).filter(
+    some = both.filter(F.col(going).isNotNull()).withColumn("text", rest("text", going)).filter(
         F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in df.columns:
         some = some.withColumn("n_chars", F.length("text").cast(dict(df.dtypes)["n_chars"]))
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return both.filter(F.col("lines_that_go").isNull()).select(*columns).union(some.select(*columns))
+    return both.filter(F.col(going).isNull()).select(*columns).union(some.select(*columns))
 
 
 def counted(df: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
-    """doc_id, n_lines, n_removed and n_chars (left, with the line feeds between lines) of each row of `df`."""
+    """doc_id, n_lines, n_removed and n_chars (left, with the line feeds between lines) of each row of `df`.
+
+    A null text has no line, an empty one has one without a word; neither loses any. Repeated rows are
+    texts like any others: the first in the table keeps its lines. An empty table gives an empty result,
+    other columns are left out.
+    """
     placed = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     gone = written(removals(placed.select("row", "text"), least), "removals")
     sizes = placed.select("row", "doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
