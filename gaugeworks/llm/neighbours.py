@@ -46,10 +46,10 @@ def usable(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> Dat
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """Half-precision vectors kept as bytes."""
+    """Single-precision vectors kept as bytes."""
     if not len(column):
         return np.zeros((0, 1), np.float32)
-    return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(len(column), -1).astype(np.float32)
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1)
 
 
 def _squares(m: np.ndarray) -> np.ndarray:
@@ -59,14 +59,13 @@ def _squares(m: np.ndarray) -> np.ndarray:
     return d
 
 
-@F.arrow_udf(BinaryType())
-def _half(v: pa.Array) -> pa.Array:
-    """The vector in half precision, as bytes; scaled where it would not fit."""
-    out = []
-    for x in v:
-        one = x.values.to_numpy(zero_copy_only=False).astype(np.float64)
-        out.append((one / max(1.0, np.abs(one).max() / 1000)).astype(np.float16).tobytes())
-    return pa.array(out, pa.binary())
+def _packed(vector: str, largest: float) -> Column:
+    """The vector in single precision, as bytes; one scale for the table brings its largest component to 1."""
+    @F.arrow_udf(BinaryType())
+    def bytes_of(v: pa.Array) -> pa.Array:
+        rows = (x.values.to_numpy(zero_copy_only=False).astype(np.float64) for x in v)
+        return pa.array([(x / largest).astype(np.float32).tobytes() for x in rows], pa.binary())
+    return bytes_of(F.col(vector))
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
@@ -75,19 +74,19 @@ def _blocks(nodes: DataFrame) -> DataFrame:
     bits = max(0, (n // BLOCK).bit_length() - 1)
 
     @F.arrow_udf("array<int>")
-    def codes(half: pa.Array) -> pa.Array:
-        m = _matrix(half)
+    def codes(packed: pa.Array) -> pa.Array:
+        m = _matrix(packed)
         planes = np.random.default_rng(SEED).standard_normal((m.shape[1], BLOCKINGS * bits)).astype(np.float32)
         side = ((m @ planes) > 0).reshape(len(m), BLOCKINGS, bits) @ (1 << np.arange(bits))
         return pa.array(side.astype(np.int32).tolist(), pa.list_(pa.int32()))
 
-    coded = written(nodes.select("node", "half", F.posexplode(codes("half")).alias("r", "code")), "coded")
+    coded = written(nodes.select("node", "packed", F.posexplode(codes("packed")).alias("r", "code")), "coded")
     # A block that holds far more than its share is dealt into several.
     sizes = coded.groupBy("r", "code").agg(F.ceil(F.count("*") / (2 * BLOCK)).cast("long").alias("parts"))
     dealt = coded.join(sizes, ["r", "code"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
 
     def near(table: pa.Table) -> pa.Table:
-        ids, m = table["node"].to_numpy(), _matrix(table["half"].combine_chunks())
+        ids, m = table["node"].to_numpy(), _matrix(table["packed"].combine_chunks())
         d = _squares(m)
         k = min(NEIGHBOURS, len(ids) - 1)
         if k <= 0:
@@ -95,7 +94,7 @@ def _blocks(nodes: DataFrame) -> DataFrame:
         best = np.argpartition(d, k - 1, axis=1)[:, :k]
         return pa.table({"u": np.repeat(ids, k), "v": ids[best.ravel()],
                          "d": np.take_along_axis(d, best, 1).ravel().astype(np.float32)})
-    return dealt.select("r", "code", "part", "node", "half").groupBy("r", "code", "part").applyInArrow(
+    return dealt.select("r", "code", "part", "node", "packed").groupBy("r", "code", "part").applyInArrow(
         near, "u long, v long, d float")
 
 
@@ -119,7 +118,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             new = members.field("fresh").to_numpy(zero_copy_only=False)[first]
             worst = members.field("worst").to_numpy(zero_copy_only=False)[first]
-            d = _squares(_matrix(members.field("half").take(pa.array(first))))
+            d = _squares(_matrix(members.field("packed").take(pa.array(first))))
             d[(~new)[:, None] & (~new)[None, :]] = np.inf
             k = min(PROPOSALS, len(ids) - 1)
             best = np.argpartition(d, k - 1, axis=1)[:, :k]
@@ -134,7 +133,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def graph(nodes: DataFrame) -> DataFrame:
-    """(u, v, d): about NEIGHBOURS nearest nodes of each node of `nodes` (node, half)."""
+    """(u, v, d): about NEIGHBOURS nearest nodes of each node of `nodes` (node, packed)."""
     started = _blocks(nodes).withColumn("old", F.lit(False))
     edges = written(_nearest(started, NEIGHBOURS), "graph")
     for _ in range(MOST_ROUNDS):
@@ -145,10 +144,10 @@ def graph(nodes: DataFrame) -> DataFrame:
         worst = edges.groupBy("u").agg(F.max("d").alias("worst"), F.count("*").alias("n"))
         # A node without all its neighbours takes any proposal.
         known = nodes.join(worst, nodes["node"] == worst["u"], "left").select(
-            F.col("node").alias("m"), "half",
+            F.col("node").alias("m"), "packed",
             F.when(F.col("n") >= NEIGHBOURS, F.col("worst")).otherwise(F.lit(float("inf"))).cast("float").alias("worst"))
         met = (members.join(known, "m").groupBy("p")
-               .agg(F.collect_list(F.struct("m", "fresh", "worst", "half")).alias("x")).select("x"))
+               .agg(F.collect_list(F.struct("m", "fresh", "worst", "packed")).alias("x")).select("x"))
         proposed = met.mapInArrow(_compared, "u long, v long, d float").withColumn("old", F.lit(False))
         edges = written(_nearest(edges.select("u", "v", "d", F.lit(True).alias("old")).union(proposed), NEIGHBOURS), "graph")
         count = edges.agg(F.count("*").alias("n"), F.count_if("fresh").alias("new")).first()
@@ -165,7 +164,7 @@ def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def walk(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(q, node, far): the nodes each query of (q, qv) came by, with their distances.
+    """(q, node, far): the POOL nearest nodes each query of (q, qv) came by, with their distances.
 
     A query starts at its own node where its vector is one, and at a few fixed nodes.
     """
@@ -178,19 +177,24 @@ def walk(queries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     def measured(pairs: DataFrame) -> DataFrame:
         return (pairs.join(plain, "node").join(queries, "q").withColumn("far", _distance("qv", "v"))
                 .select("q", "node", "far", F.lit(False).alias("done")))
-    pool = written(measured(start), "pool")
     best = Window.partitionBy("q").orderBy("far", "node")
+
+    def ranked(pool: DataFrame) -> DataFrame:
+        """The POOL nearest of each query; `now` marks the STEP nearest of these that were not expanded yet.
+
+        Ranks only get worse: what falls out of the pool once would fall out again.
+        """
+        inside = pool.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= POOL)
+        turn = F.row_number().over(Window.partitionBy("q", "done").orderBy("far", "node"))
+        return written(inside.select("q", "node", "far", "done", (~F.col("done") & (turn <= STEP)).alias("now")), "pool")
+    pool = ranked(measured(start))
     while True:
-        inside = pool.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= POOL).filter("NOT done")
-        front = written(inside.withColumn("turn", F.row_number().over(best)).filter(
-            F.col("turn") <= STEP).select("q", "node"), "front")
+        front = pool.filter("now").select("q", "node")
         if front.isEmpty():
             return pool.select("q", "node", "far")
         met = front.join(edges.select(F.col("u").alias("node"), "v"), "node").select("q", F.col("v").alias("node")).distinct()
         new = measured(met.join(pool.select("q", "node"), ["q", "node"], "left_anti"))
-        seen = pool.join(front.withColumn("now", F.lit(True)), ["q", "node"], "left").select(
-            "q", "node", "far", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        pool = written(seen.union(new), "pool")
+        pool = ranked(pool.select("q", "node", "far", F.expr("done OR now").alias("done")).union(new))
 
 
 def search(df: DataFrame, asked: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -199,14 +203,16 @@ def search(df: DataFrame, asked: Column, k: int = 10, key: str = "vec_id", vecto
     Nearness is the Euclidean distance in double precision, ties to the smaller id.
     Candidates are all rows with a usable vector and another id; a query without a
     usable vector has no result. Equal vectors are indexed once and all returned in
-    order of their ids. Fewer candidates than k give fewer rows.
+    order of their ids. Fewer candidates than k give fewer rows, an empty table none.
     """
     rows = written(usable(df, key, vector), "vectors")
     # Of equal vectors nobody asks for more than the k + 1 smallest ids.
     place = Window.partitionBy("v").orderBy("id")
     members = rows.distinct().withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k + 1)
     named = written(members.withColumn("node", F.first("id").over(place)).select("node", "id", "v"), "members")
-    nodes = written(named.filter("node = id").select(F.xxhash64("v").alias("node"), "v", _half("v").alias("half")), "nodes")
+    kept = named.filter("node = id")
+    largest = kept.select(F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double")))))).first()[0] or 1.0
+    nodes = written(kept.select(F.xxhash64("v").alias("node"), "v", _packed("v", largest).alias("packed")), "nodes")
     edges = graph(nodes)
     queries = written(rows.filter(asked).select(F.col("id").alias("q"), F.col("v").alias("qv")), "queries")
     found = walk(queries, nodes, edges)
