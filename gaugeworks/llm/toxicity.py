@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.store import fresh
-from gaugeworks.llm.words import mixed, row_words
+from gaugeworks.llm.store import fresh, written
+from gaugeworks.llm.words import row_words
 
 HEADS = (4, 5, 6)
 GRADES = 4
@@ -26,6 +26,8 @@ MOST_FEATURES = 2_048
 LEAST_SEEN = 4
 #: Times the odds of toxicity, against those of all texts, that a feature must raise them to.
 LEAST_LIFT = 6
+#: Bands of min-hashes that near copies are found by, and min-hashes of a band.
+BANDS, WIDTH = 6, 4
 L2 = 0.1
 STEPS = 400
 
@@ -115,65 +117,19 @@ def graded(toxic: np.ndarray, marked: np.ndarray) -> np.ndarray:
     return grade
 
 
-def distinct(rows: np.ndarray, values: np.ndarray, n: int, bands: int = 6, width: int = 4) -> np.ndarray:
-    """True for one row of each group of near copies, so that copies do not vote many times.
-
-    Rows meet where all min-hashes of one of several bands, over their rarer features, agree.
-    """
-    names, col = np.unique(values, return_inverse=True)
-    rare = np.bincount(col, minlength=len(names))[col] <= max(2, n // 50)
-    rows, values = rows[rare], values[rare]
-    label = np.arange(n)
-    if len(rows):
-        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-        owner = rows[first]
-        least_of = [np.minimum.reduceat(mixed(values ^ np.uint64(77 * k + 1)), first) for k in range(bands * width)]
-        keys = [np.unique(mixed(sum(mixed(x + np.uint64(i)) for i, x in enumerate(least_of[k * width:(k + 1) * width]))),
-                          return_inverse=True)[1] for k in range(bands)]
-        for key in keys * 3:
-            least = np.full(key.max() + 1, n)
-            np.minimum.at(least, key, label[owner])
-            label[owner] = least[key]
-    return label == np.arange(n)
-
-
-def fit(labelled: pa.Table) -> Severity:
-    """The model of rows (toxic, found); of near copies one row counts.
-
-    Without rows of both classes every score is 0 and the thresholds say "clean".
-    """
-    toxic = labelled["toxic"].to_numpy().astype(np.int64)
-    lists = labelled["found"].combine_chunks()
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    ends = lists.offsets.to_numpy().astype(np.int64)
-    values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[ends[0]:ends[-1]]
-    rows = np.repeat(np.arange(len(toxic)), np.diff(ends))
-    once = distinct(rows, values, len(toxic))
-    values, rows = values[once[rows]], (np.cumsum(once) - 1)[rows[once[rows]]]
-    toxic = toxic[once]
-    n, n_pos = len(toxic), int(toxic.sum())
-    if not 0 < n_pos < n:
-        return Severity(np.zeros(0, np.uint64), np.zeros(0), np.array([5.0, 6.0, 7.0]))
-    names, col = np.unique(values, return_inverse=True)
-    pos = np.bincount(col, toxic[rows].astype(float), len(names))
-    seen = np.bincount(col, minlength=len(names)).astype(float)
-    expected = seen * n_pos / n
-    # A word that speaks for a clean text could hide one that does not, so only signs of toxicity count.
-    gain = np.where((seen >= LEAST_SEEN) & (pos * (n - n_pos) > LEAST_LIFT * (seen - pos) * n_pos), (pos - expected) ** 2 / (expected * (1 - seen / n) + 1e-9), -1.0)
-    best = np.sort(np.lexsort((names, -gain))[:MOST_FEATURES])
-    best = best[gain[best] > 0]
-    place = np.full(len(names), -1)
-    place[best] = np.arange(len(best))
-    held = place[col] >= 0
-    rows, cols = rows[held], place[col[held]]
-    only = (pos[best] / seen[best]) > 0.9
-    grade = graded(toxic, np.bincount(rows, only[cols].astype(float), n))
-    w, t = fit_ordinal(rows, cols, n, len(best), grade)
-    return Severity(names[best], w, t)
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """True for one row of each group of near copies; rows meet where they agree in a column of `keys`."""
+    label = np.arange(len(keys))
+    for key in [*keys.T] * 3:
+        _, at = np.unique(key, return_inverse=True)
+        least = np.full(at.max() + 1 if len(at) else 0, len(label))
+        np.minimum.at(least, at, label)
+        label = least[at]
+    return label == np.arange(len(keys))
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(toxic, found) of at most MOST_LABELLED labelled documents.
+    """(row, toxic, found) of at most MOST_LABELLED labelled documents, row an id of its own.
 
     Labels without a verdict or an id are left out; of several for one id the worst
     counts, and of several documents with one id the one whose text hashes lowest.
@@ -184,7 +140,67 @@ def labelled_features(docs: DataFrame, labels: DataFrame) -> DataFrame:
     both = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     one = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("found"), F.col("toxic"))).alias("x")
     return (both.withColumn("found", features("text")).groupBy("doc_id").agg(one)
-            .select(F.col("x.toxic").cast("int").alias("toxic"), "x.found"))
+            .select(F.col("doc_id").alias("row"), F.col("x.toxic").cast("int").alias("toxic"), "x.found"))
+
+
+def _once(rows: DataFrame, held: DataFrame) -> list:
+    """The rows (row, toxic) that vote, of (row, toxic, found): one of each group of near copies.
+
+    Copies agree in all min-hashes of one of BANDS bands over their rarer features. `held` has a row for each feature.
+    """
+    seen = held.groupBy("feature").agg(F.count("*").alias("seen"))
+    n = rows.count()
+    rare = held.join(seen.filter(F.col("seen") <= max(2, n // 50)), "feature")
+    least = rare.groupBy("row").agg(*(F.min(F.xxhash64("feature", F.lit(k))).alias(f"m{k}") for k in range(BANDS * WIDTH)))
+    # A row without a rare feature is like no other.
+    keys = [F.xxhash64(*(f"m{k}" for k in range(b * WIDTH, (b + 1) * WIDTH))) for b in range(BANDS)]
+    bands = rows.select("row", "toxic").join(least, "row", "left").select("row", "toxic", *(
+        F.when(F.col("m0").isNull(), F.xxhash64("row", F.lit("alone"))).otherwise(k).alias(f"k{b}") for b, k in enumerate(keys)))
+    # At most MOST_LABELLED rows of a few numbers.
+    got = bands.orderBy("row").toArrow()
+    mine = distinct(np.stack([got[f"k{b}"].to_numpy() for b in range(BANDS)], 1))
+    return [(int(r), int(t)) for r, t in zip(got["row"].to_numpy()[mine], got["toxic"].to_numpy()[mine])]
+
+
+def fit(labelled: DataFrame) -> Severity:
+    """The model of rows (row, toxic, found); of near copies one row counts.
+
+    Features are counted in Spark, by rows with them and by toxic ones. The driver holds the kept features and
+    which of the at most MOST_LABELLED rows have them, no feature lists.
+    Without rows of both classes every score is 0 and the thresholds say "clean".
+    """
+    spark = labelled.sparkSession
+    rows = written(labelled, "labelled")
+    held = rows.select("row", F.explode("found").alias("feature"))
+    voters = _once(rows, held)
+    n, n_pos = len(voters), sum(t > 0 for _, t in voters)
+    if not 0 < n_pos < n:
+        return Severity(np.zeros(0, np.uint64), np.zeros(0), np.array([5.0, 6.0, 7.0]))
+    table = spark.createDataFrame([(r, int(t > 0)) for r, t in voters], "row long, toxic int")
+    # At most MOST_LABELLED rows of two numbers.
+    voting = written(held.join(F.broadcast(table), "row"), "voting")
+    seen, pos = F.col("seen"), F.col("pos")
+    counts = voting.groupBy("feature").agg(F.count("*").alias("seen"), F.sum("toxic").alias("pos"))
+    expected = seen * n_pos / n
+    # A word that speaks for a clean text could hide one that does not, so only signs of toxicity count.
+    signs = counts.filter((seen >= LEAST_SEEN) & (pos * (n - n_pos) > LEAST_LIFT * (seen - pos) * n_pos))
+    gain = (pos - expected) * (pos - expected) / (expected * (1 - seen / n) + 1e-9)
+    best = written(signs.orderBy(gain.desc(), "feature").limit(MOST_FEATURES), "features")
+    kept = best.toArrow()
+    if not len(kept):
+        return Severity(np.zeros(0, np.uint64), np.zeros(0), np.array([5.0, 6.0, 7.0]))
+    names = kept["feature"].to_numpy().view(np.uint64)
+    order = np.argsort(names)
+    names, only = names[order], (kept["pos"].to_numpy() > 0.9 * kept["seen"].to_numpy())[order]
+    # At most MOST_FEATURES features of each of MOST_LABELLED rows.
+    have = voting.join(F.broadcast(best.select("feature")), "feature").select("row", "feature").toArrow()
+    ids = np.array(sorted(r for r, _ in voters))
+    toxic = np.array([t > 0 for _, t in sorted(voters)]).astype(np.int64)
+    at = np.searchsorted(ids, have["row"].to_numpy())
+    cols = np.searchsorted(names, have["feature"].to_numpy().view(np.uint64))
+    grade = graded(toxic, np.bincount(at, only[cols].astype(float), n))
+    w, t = fit_ordinal(at, cols, n, len(names), grade)
+    return Severity(names, w, t)
 
 
 def scored(df: DataFrame, model: Severity) -> DataFrame:
@@ -224,4 +240,4 @@ def scored(df: DataFrame, model: Severity) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` (doc_id, text and others) scored by a model fitted on their labelled rows."""
-    return scored(docs, fit(labelled_features(docs, labels).toArrow()))
+    return scored(docs, fit(labelled_features(docs, labels)))
