@@ -3,8 +3,7 @@
 Every element gets a hash of its subtree. A subtree that stands in many unlike pages
 of a host (inside a marked article: in many unlike articles) belongs to the site's
 template and is deleted. What is left loses what names itself a menu, header, footer,
-sidebar, notice, advert, form or comment, and what stands outside marked articles, but
-never the part with most of the text.
+sidebar, notice, advert, form or comment, and what stands outside marked articles.
 """
 
 from __future__ import annotations
@@ -50,6 +49,16 @@ NAMED = frozenset(
     "gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs pagination pager footer comment comments disqus replies share sharing social "
     "related recommended widget toolbar masthead skip login search".split())
+#: With a named word first these still name the same part, as in comment-list or menu-item.
+FITTINGS = frozenset(
+    "area articles author bar bars block body bottom box button buttons column container content count entry footer form "
+    "group head header heading holder id inner input item items label left link links list main message meta module "
+    "outer overlay panel popup posts region reply right row section slot stories tab text thread title toggle top trail "
+    "unit view widget widgets wrap wrapper zone".split())
+#: Before a named word these say something of the layout: no-sidebar, has-menu.
+LAYOUT = frozenset("has hide is no not show with without".split())
+#: What names itself so is an article, whatever else it is called.
+STORY = frozenset("article entry hentry main post story".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -64,22 +73,42 @@ _NAMES = re.compile(r"""\b(class|id|role|aria-hidden|style|hidden)\b(?:\s*=\s*("
 _PARTS = re.compile(r"[a-z]+")
 
 
-def _unwanted(tag: str, attributes: str, in_main: bool) -> bool:
+def _names(value: str, in_main: bool) -> bool:
+    """Whether a class or id names what is no part of the article.
+
+    A named word counts at the end of a name (site-footer) or before fittings alone (comment-list); in a
+    name that goes on otherwise (notice-period, comment-open) it says something else.
+    """
+    for name in value.split():
+        parts = _PARTS.findall(name)
+        if not parts or parts[0] in LAYOUT:
+            continue
+        first, last = ({x} & NAMED or ({x} & {"header"} and not in_main) for x in (parts[0], parts[-1]))
+        if last or first and all(x in FITTINGS or x in NAMED for x in parts[1:]):
+            return True
+    return False
+
+
+def _unwanted(tag: str, attributes: str, in_main: bool) -> str:
+    """"always" for what is never part of the article, "named" where only a class, an id or a form says so."""
+    if tag == "form":
+        return "named"
     if tag in DROPPED or (tag == "header" and not in_main):
-        return True
+        return "always"
     if not attributes or tag in ("html", "body"):
-        return False
+        return ""
+    named = False
     for name, value in _NAMES.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            names = set(_PARTS.findall(value))
-            if names & NAMED or ("header" in names and not in_main):
-                return True
+            named |= _names(value, in_main)
+            if tag in MAIN and not in_main and STORY & set(_PARTS.findall(value)):
+                return ""
         elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return "always"
         elif name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return "always"
+    return "named" if named else ""
 
 
 class Page:
@@ -89,8 +118,8 @@ class Page:
         self.pieces: list[tuple[int, int, str]] = []  # block, element, text
         self.block = 0
         # Of each element, the page itself first: parent, subtree hash, outermost article or main around it or 0,
-        # whether it names itself no article, whether it may be a template.
-        self.parent, self.hash, self.article, self.unwanted, self.judged = [-1], [0], [0], [False], [False]
+        # how it names itself no article, whether it may be a template.
+        self.parent, self.hash, self.article, self.unwanted, self.judged = [-1], [0], [0], [""], [False]
         # Of each open element: tag, number, its subtree's parts.
         self.open: list[tuple[str, int, list[str]]] = [("", 0, [])]
         at = 0
@@ -192,26 +221,30 @@ class Page:
                 for _, k, _ in self.pieces]
 
     def main_text(self, templates: frozenset[int] = frozenset()) -> str:
-        """The blocks no template holds, without what names itself no article.
+        """The blocks no template holds, without what is no article; inside marked articles only, where one has text.
 
-        Of these only what is inside marked articles, where that is half of the text or
-        more. Where nothing would be left the page is a copy and keeps its templates.
+        What only a class, an id or a form calls no article stays where all marked articles lie in such parts and
+        it holds one. Sizes decide nothing: a page of a menu alone, or with an empty article, has the empty text.
+        Where all that is left is templates the page is a copy and keeps them.
         """
         pieces = self.pieces
         if templates:
             pieces = [x for x, gone in zip(pieces, self.deleted(templates)) if not gone]
-        weight = [0] * len(self.parent)
-        for _, k, text in pieces:
-            weight[k] += len(text.strip())
-        for k in range(len(weight) - 1, 0, -1):
-            weight[self.parent[k]] += weight[k]
+        inside = [False] * len(self.parent)  # of something unwanted
+        for k in range(1, len(inside)):
+            inside[k] = inside[self.parent[k]] or bool(self.unwanted[k])
+        spared = [False] * len(inside)
+        if all(inside[k] for k in range(1, len(inside)) if self.article[k] == k):
+            # From the last element up: whether a marked article that is wanted itself lies inside.
+            for k in range(len(spared) - 1, 0, -1):
+                holds = spared[k] and self.unwanted[k] != "always" or self.article[k] == k and not self.unwanted[k]
+                spared[self.parent[k]] |= holds
         gone = [False] * len(self.parent)
         for k in range(1, len(gone)):
-            gone[k] = gone[self.parent[k]] or self.unwanted[k] and 2 * weight[k] <= weight[0]
+            gone[k] = gone[self.parent[k]] or bool(self.unwanted[k]) and not (self.unwanted[k] == "named" and spared[k])
         pieces = [x for x in pieces if not gone[x[1]]]
-        marked = [x for x in pieces if self.article[x[1]]]
-        if 2 * sum(len(x[2].strip()) for x in marked) >= sum(len(x[2].strip()) for x in pieces):
-            pieces = marked
+        if any(self.article[k] == k and not gone[k] for k in range(1, len(gone))):
+            pieces = [x for x in pieces if self.article[x[1]]]
         blocks: dict[int, list[str]] = {}
         for block, _, text in pieces:
             blocks.setdefault(block, []).append(text)

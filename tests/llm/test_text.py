@@ -236,3 +236,47 @@ def test_templates_go_inside_marked_articles_too(spark, tmp_path):
     assert all(got[k] == f"{told[k]}\n0\n{k}" for k in range(30))
     assert all(got[100 + k] == whole and got[200 + k] == f"{whole}\nnote {k}" for k in range(9))
     assert got[300] == told[0]
+
+
+COMMENTS = "".join(f"<p>comment {k} said a lot of words here</p>" for k in range(20))
+MENU = "<nav><ul>" + "".join(f"<li>entry {k}</li>" for k in range(40)) + "</ul></nav>"
+
+
+def test_structure_and_not_size_decides_what_is_article():
+    for body in (
+            f"<article><p>Short.</p></article><div id='comments'>{COMMENTS}</div>",
+            f"<article><p>Short.</p><div id='comments'>{COMMENTS}</div></article>",
+            f"<article class='post'><p>Short.</p></article><div class='comments-area'><article class='comment-body'>{COMMENTS}</article></div>",
+            f"{MENU}<article><p>Short.</p></article>", "<div class='comment-open'><article><p>Short.</p></article></div>",
+            "<article class='post comment-open'><p>Short.</p></article>", "<div class='no-sidebar'><p>Short.</p></div>",
+            "<form><div><article><p>Short.</p></article></div></form>", "<article><p class='notice-period'>Short.</p></article>",
+            f"<article><p>Short.</p></article><div class='sidebar'><article>{COMMENTS}</article></div>"):
+        assert pages.Page(f"<html><body>{body}</body></html>").main_text() == "Short.", body
+    for body in (MENU, f"{MENU}<article></article>", "", "<footer>end</footer>"):
+        assert pages.Page(body).main_text() == ""
+
+
+def test_templates_are_counted_as_by_hand(spark, tmp_path):
+    rng = random.Random(3)
+    boxes = [f"<div><p>box {k} {prose(rng, 6)}</p></div>" for k in range(12)]
+    rows = []
+    for k in range(60):
+        held = rng.sample(boxes[:4] if k % 2 else boxes, 2)
+        rows.append((k, f"http://h{k % 2}.example/x", f"<body>{held[0]}<article><p>{prose(rng, 30)}</p></article>{held[1]}</body>"))
+    rows += [(100, None, boxes[0]), (101, "http://h0.example/y", None), (60, *rows[0][1:])]
+    spark.createDataFrame(rows, "row long, url string, html string").write.parquet(str(tmp_path / "pages"))
+    df = spark.read.parquet(str(tmp_path / "pages")).withColumn("host", F.regexp_extract("url", pages.HOST, 1))
+    got = {(r.row, r.subtree) for r in pages.templates(df.select("row", "host", "html")).collect()}
+    units, held = {}, {}
+    for row, url, html in rows:
+        if url:
+            for h, unit in pages.Page(html or "").subtrees():
+                units.setdefault((url.split("/")[2], h), set()).add(unit)
+                held.setdefault(row, set()).add((url.split("/")[2], h))
+    many = {x for x, u in units.items() if x[1] and len(u) >= max(pages.LEAST_PAGES, pages.LEAST_SHARE * len(units[x[0], 0]))}
+    assert got == {(row, x[1]) for row, hs in held.items() for x in hs & many} and got
+
+
+def test_pages_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "page_id long, url string, html string, text string, host string")
+    assert pages.extracted(empty).count() == 0
