@@ -1,10 +1,11 @@
 """Similarity join on word shingles: every pair of documents with Jaccard of 0.75 or more.
 
 Copies of a set are folded first. Sets meet at shingles of their prefixes, the first
-quarter in an order that puts common shingles last, within neighbouring size bands;
-bitmap signatures bound the overlap from above, and what is left is decided by
-intersecting sorted arrays. Each set is tried against a likely centre and a few others
-first; every pair of sets still in different components is tried after that.
+quarter in an order that puts common shingles last. Each set is tried against a likely
+centre and a few others first; every pair of sets still in different components is
+tried after that: where few sets share a shingle one by one, where many do tile against
+tile, tiles holding sets of one size band. Hashed bitmaps bound the overlap from above,
+and what is left is decided by intersecting sorted arrays.
 """
 
 from __future__ import annotations
@@ -33,6 +34,10 @@ ORDER_BITS = 1 << 24
 FILTER_BITS = 1 << 23
 #: Others a set is tried against in the second round.
 DRAWN = 8
+#: Sets of a shingle that are paired one by one in the last round; those of commoner shingles are compared in tiles.
+FEW = 12
+#: Sets and shingles a tile is meant to hold, and bits of a tile's bitmaps for each shingle of its largest set.
+TILE_SETS, TILE_SHINGLES, TILE_BITS = 1024, 1 << 18, 16
 
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -193,13 +198,13 @@ class _Exact:
         known = pairs.join(sides[0], "a").join(sides[1], "b")
         bound = (F.col("na") + F.col("nb") - _differing("bitsa", "bitsb")) / 2
         near = written(known.filter(_can_link(F.col("na"), F.col("nb"), bound)).select("a", "b", "na", "nb"), "near")
-        sets = self._sets_of(near.select(F.col("a").alias("name")).union(near.select("b")).distinct())
+        sets = self.sets_of(near.select(F.col("a").alias("name")).union(near.select("b")).distinct())
         both = (near.join(sets.select(F.col("name").alias("a"), F.col("found").alias("x")), "a")
                 .join(sets.select(F.col("name").alias("b"), F.col("found").alias("y")), "b"))
         common = _common("x", "y")
         return both.filter(_can_link(F.col("na"), F.col("nb"), common)).select("a", "b")
 
-    def _sets_of(self, names: DataFrame) -> DataFrame:
+    def sets_of(self, names: DataFrame) -> DataFrame:
         """(name, found): the sorted shingles of the named sets."""
         wanted = written(names, "wanted")
         # A filter of fixed size keeps most other sets from being moved.
@@ -227,6 +232,105 @@ class _Exact:
         return written(sets.join(wanted, "name", "left_semi").groupBy("name").agg(F.first("found").alias("found")), "sets")
 
 
+def _bit_rows(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A bitmap of so many bits for each set, as rows of 64-bit numbers."""
+    on = np.zeros((len(sets), bits), bool)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    on[row, (np.concatenate(sets) & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(on, axis=1, bitorder="little").view(np.uint64)
+
+
+def _tile_links(one: np.ndarray, other: np.ndarray, sets: list[np.ndarray], np_: np.ndarray, component: np.ndarray) -> list[tuple[int, int]]:
+    """Places (i, j) of sets that link, i of `one` and j of `other`: enough to join what links of both tiles.
+
+    Bit counts bound the overlap from above for all pairs of the tiles at once; only what
+    is left, and still apart, is decided by the arrays. Components joined here count as joined.
+    """
+    size, place = np_ >> 32, np_ & 0xFFFFFFFF
+    bits = _bit_rows(sets, 1 << int(min(MOST_BITS, TILE_BITS * size.max()) - 1).bit_length())
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while (up := root.get(c, c)) != c:
+            c = up
+        return c
+    links = []
+    for i in one.tolist():
+        small, large = np.minimum(size[i], size[other]), np.maximum(size[i], size[other])
+        both = size[i] + size[other]
+        before = np.minimum(place[i], place[other]) + np.minimum(size[i] - place[i], size[other] - place[other])
+        maybe = (component[other] != component[i]) & (100 * small >= THRESHOLD * large) & (
+            (100 + THRESHOLD) * before >= THRESHOLD * both)
+        near = other[maybe]
+        if not len(near):
+            continue
+        overlap = (both[maybe] - np.bitwise_count(bits[near] ^ bits[i]).sum(1, dtype=np.int64)) / 2
+        for j in near[(100 + THRESHOLD) * overlap >= THRESHOLD * both[maybe]].tolist():
+            a, b = find(int(component[i])), find(int(component[j]))
+            if a == b:
+                continue
+            x, y = sets[i], sets[j]
+            at = np.searchsorted(x, y)
+            common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+            if (100 + THRESHOLD) * common >= THRESHOLD * int(size[i] + size[j]):
+                root[max(a, b)] = min(a, b)
+                links.append((i, j))
+    return links
+
+
+def _tiled(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) among the sets of each shingle of `open_` (token, name, np, component), tile against tile.
+
+    A shingle's sets fall into bands of size, so that linking sets are in one band or in neighbours, and a
+    band's into tiles of bounded size. A set goes to each pair of tiles it is in; only links come out.
+    """
+    step = float(np.log(100 / THRESHOLD))
+    banded = open_.withColumn("band", F.floor(F.log(F.shiftright("np", 32).cast("double")) / step + 1e-9).cast("int"))
+    room = F.greatest(F.lit(16), F.least(F.lit(TILE_SETS), F.expr(f"{TILE_SHINGLES} div max(shiftright(np, 32))")))
+    sizes = written(banded.groupBy("token", "band").agg(
+        F.ceil(F.count("*") / room).cast("int").alias("tiles"), F.min("component").alias("low"),
+        F.max("component").alias("high")), "bands")
+    above = sizes.select("token", (F.col("band") - 1).alias("band"), F.col("tiles").alias("up"),
+                         F.col("low").alias("low_up"), F.col("high").alias("high_up"))
+    below = sizes.select("token", (F.col("band") + 1).alias("band"), F.col("tiles").alias("down"),
+                         F.col("low").alias("low_down"), F.col("high").alias("high_down"))
+    around = sizes.join(above, ["token", "band"], "left").join(below, ["token", "band"], "left")
+
+    def apart(side: str) -> Column:
+        return (F.least("low", f"low_{side}") != F.greatest("high", f"high_{side}")) & F.col(side).isNotNull()
+
+    tile = F.pmod(F.xxhash64("name"), F.col("tiles")).cast("int")
+
+    def against(n: str, low_band: str, i: str, j: str) -> Column:
+        """The keys of the pairs of tiles a set is in, with all tiles of a band."""
+        return F.expr(f"transform(sequence(0, {n} - 1), t -> named_struct('band', {low_band}, 'i', {i}, 'j', {j}))")
+    none = F.expr("cast(array() as array<struct<band:int,i:int,j:int>>)")
+    # j counts the tiles of the next band from 1,000,000 on.
+    keys = F.concat(F.when(F.col("low") != F.col("high"), against("tiles", "band", "least(t, tile)", "greatest(t, tile)")).otherwise(none),
+                    F.when(apart("up"), against("up", "band", "tile", "1000000 + t")).otherwise(none),
+                    F.when(apart("down"), against("down", "band - 1", "t", "1000000 + tile")).otherwise(none))
+    dealt = (banded.join(around, ["token", "band"]).withColumn("tile", tile)
+             .select("token", "name", "np", "component", "band", "tile", F.explode(keys).alias("k"))
+             .select("token", F.col("k.band").alias("low"), "k.i", "k.j", "name", "np", "component",
+                     (F.col("band") > F.col("k.band")).cast("int").alias("upper"), "tile").join(sets, "name"))
+
+    def compared(table: pa.Table) -> pa.Table:
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        names, np_, component = (table[c].to_numpy() for c in ("name", "np", "component"))
+        tile, upper = table["tile"].to_numpy(), table["upper"].to_numpy()
+        lists = [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in table["found"]]
+        if i == j:  # a tile with itself, each pair once
+            every, links = np.arange(len(names)), []
+            for half in range(0, len(names), 64):
+                links += _tile_links(every[half:half + 64], every[half:], lists, np_, component)
+        else:
+            first = (upper == 0) & (tile == i)
+            links = _tile_links(np.flatnonzero(first), np.flatnonzero(~first), lists, np_, component)
+        return pa.table({"a": pa.array([int(names[x]) for x, _ in links], pa.int64()),
+                         "b": pa.array([int(names[y]) for _, y in links], pa.int64())})
+    return dealt.groupBy("token", "low", "i", "j").applyInArrow(compared, "a long, b long")
+
+
 def join(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, classes, links) of the similarity join of `df` (doc_id, text).
 
@@ -286,12 +390,18 @@ def join(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     split = now.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(
         "x <> y").select("token")
     open_ = written(now.join(split, "token", "left_semi"), "open")
-    one = open_.select("token", F.col("name").alias("a"), F.col("np").alias("npa"), F.col("component").alias("ca"))
-    two = open_.select("token", F.col("name").alias("b"), F.col("np").alias("npb"), F.col("component").alias("cb"))
+    counts = open_.groupBy("token").agg(F.count("*").alias("n"))
+    few = open_.join(counts.filter(F.col("n") <= FEW).select("token"), "token")
+    one = few.select("token", F.col("name").alias("a"), F.col("np").alias("npa"), F.col("component").alias("ca"))
+    two = few.select("token", F.col("name").alias("b"), F.col("np").alias("npb"), F.col("component").alias("cb"))
     before = tried.union(some).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = (one.join(two, "token").filter("a < b AND ca <> cb").filter(possible("npa", "npb"))
              .select("a", "b").distinct().join(before, ["a", "b"], "left_anti"))
-    links = written(links.union(exact.links(written(pairs, "pairs"))), "links")
+    links = links.union(exact.links(written(pairs, "pairs")))
+    crowd = written(open_.join(counts.filter(F.col("n") > FEW).select("token"), "token"), "crowd")
+    if not crowd.isEmpty():
+        links = links.union(_tiled(crowd, exact.sets_of(crowd.select("name").distinct())))
+    links = written(links, "links")
 
     final = components(links)
     named = classes.join(final.select(F.col("node").alias("name"), "component"), "name", "left").withColumn(

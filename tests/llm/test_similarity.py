@@ -65,6 +65,38 @@ def test_join_of_a_group_without_a_centre(spark):
     assert got == {0}
 
 
+def test_tiles_find_all_that_pairs_find(spark, monkeypatch):
+    """One large group, most of it just too far apart, with chains of links and sets of many sizes."""
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(90)]
+    rows = []
+    for k in range(160):
+        w = list(base) + [f"x{k}.{i}" for i in range(rng.choice([0, 0, 8, 25, 60]))]
+        for _ in range(rng.choice([1, 2, 3, 4, 5, 6])):
+            w[rng.randrange(90)] = f"n{rng.randrange(400)}"
+        rows.append((k, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) for w in (words(t) for _, t in rows)]
+    links = [(a, b) for a, b in combinations(range(len(sets)), 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    want = grouped(len(sets), links)
+    for few, tile in ((0, 16), (12, 1024), (10**9, 1024)):
+        monkeypatch.setattr(jaccard, "FEW", few)
+        monkeypatch.setattr(jaccard, "TILE_SETS", tile)
+        assert [r.component_id for r in jaccard.linked(df).orderBy("doc_id").collect()] == want
+
+
+def test_tile_links_join_what_links():
+    rng = np.random.default_rng(3)
+    pool = np.sort(rng.integers(0, 1 << 60, 300).astype(np.uint64))
+    sets = [np.sort(rng.choice(pool, rng.integers(225, 270), replace=False)) for _ in range(40)]
+    size = np.array([len(x) for x in sets])
+    every = np.arange(40)
+    got = jaccard._tile_links(every, every, sets, size << 32, every.copy())
+    links = [(a, b) for a, b in combinations(range(40), 2)
+             if 175 * len(np.intersect1d(sets[a], sets[b])) >= 75 * (size[a] + size[b])]
+    assert links and grouped(40, got) == grouped(40, links)
+
+
 def test_empty_tables(nothing):
     assert jaccard.linked(nothing).count() == 0
     assert lines.counted(nothing).count() == 0 and lines.deduplicated(nothing).count() == 0
