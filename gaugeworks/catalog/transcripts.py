@@ -591,14 +591,25 @@ SELECT conv_id * 100 + turn AS run_id, conv_id AS task_id, turn AS started, turn
 FROM {conversations}""")
 
 
+# The later prompts of a conversation are earlier ones with one, two or three words changed, or none.
+view("later_prompts", """
+SELECT run_id, workspace_sha256, environment_sha256, started, prompt AS base, CASE run_id % 4 WHEN 0 THEN prompt WHEN 1 THEN replace(prompt, 'totals', 'sums')
+  WHEN 2 THEN replace(prompt, 'Work out', 'Please do work out') ELSE replace(prompt, 'Work out the totals of the', 'Find') || ' please' END AS prompt
+FROM {prompt_runs} WHERE started >= 4""")
+
+
 @query("j25_near_identical_run", """
-SELECT n.run_id, o.run_id AS like_run, CAST(0 AS BIGINT) AS words FROM {prompt_runs} n JOIN {prompt_runs} o ON o.prompt = n.prompt
-WHERE n.started >= 4 AND o.started < 4 AND o.counted""")
+WITH p AS (SELECT n.run_id, o.run_id AS like_run, o.started, CAST(CASE n.run_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END
+    + CASE WHEN o.prompt = n.base THEN 0 ELSE 1 END AS BIGINT) AS words
+  FROM {later_prompts} n JOIN {prompt_runs} o ON o.workspace_sha256 = n.workspace_sha256 AND o.environment_sha256 = n.environment_sha256
+  WHERE n.run_id % 4 <> 3 AND o.started < 4 AND o.counted AND (o.prompt = n.base
+    OR regexp_replace(o.prompt, 'site [0-9]+', 'site') = regexp_replace(n.base, 'site [0-9]+', 'site')
+    OR regexp_replace(o.prompt, 'yearly|monthly|old', 'x') = regexp_replace(n.base, 'yearly|monthly|old', 'x'))),
+r AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY words, started, like_run) AS rn FROM p WHERE words <= 2)
+SELECT run_id, like_run, words FROM r WHERE rn = 1""")
 def j25(t):
-    now = t.prompt_runs.where("started >= 4").select(
-        "run_id", "workspace_sha256", "environment_sha256", "prompt")
-    return runs.near_identical(now, t.prompt_runs.where("started < 4")).select(
-        "run_id", "like_run", "words")
+    now = t.later_prompts.select("run_id", "workspace_sha256", "environment_sha256", "prompt")
+    return runs.near_identical(now, t.prompt_runs.where("started < 4")).select("run_id", "like_run", "words")
 
 
 @query("w06_answer_changed", """
@@ -608,11 +619,17 @@ def w06(t):
     return runs.answer_changed_between(t.prompt_runs, max_rows=4_000)
 
 
-@query("x18_words_changed", "SELECT doc_id, CAST(2 AS BIGINT) AS words FROM {documents}")
+# Two to five words no text has are put in, and as many words before them as there are, up to three, replaced.
+@query("x18_words_changed", r"""
+SELECT doc_id, CAST(2 + doc_id % 4 + least(doc_id % 3, len(list_filter(string_split_regex(text, '[ \t\n\v\f\r]+'), lambda w: w <> ''))) AS BIGINT) AS words
+FROM {documents}""")
 def x18(t):
-    from gaugeworks.functions.udfs import words_changed
-    return t.documents.select("doc_id", words_changed(
-        F.col("text"), F.concat(F.lit("new words "), F.col("text"))).alias("words"))
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    swap = F.least(F.col("doc_id") % 3, F.size(words)).cast("int")
+    half = F.greatest(swap, F.floor(F.size(words) / 2).cast("int"))
+    new = F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 4 + 2 + swap).cast("int")), lambda i: F.concat(F.lit("~new~"), i.cast("string")))
+    after = F.concat(F.slice(words, 1, half - swap), new, F.slice(words, half + 1, F.size(words)))
+    return t.documents.select("doc_id", tx.words_changed(F.col("text"), F.array_join(after, " ")).alias("words"))
 
 
 @query("x20_prose_of_content", f"SELECT run_id, turn, md5({duck.strip('text')}) AS text_md5 FROM {{turns}}")

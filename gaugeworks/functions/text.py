@@ -26,7 +26,8 @@ def normalise(text: Column, compatibility: bool = True) -> Column:
     function for) where the text is known to be ASCII.
     """
     base = F.coalesce(text, F.lit(""))
-    base = _nfkd(base) if compatibility else base
+    if compatibility:  # only texts with anything beyond ASCII leave the JVM
+        base = F.coalesce(_nfkd(F.when(base.rlike(r"[^\x00-\x7F]"), base)), base)
     base = F.translate(base, DASHES, "-" * len(DASHES))
     base = F.translate(base, QUOTES, "'" * len(QUOTES))
     return F.lower(F.trim(F.regexp_replace(base, r"(?U)\s+", " ")))
@@ -184,6 +185,48 @@ def content_words(text: Column) -> Column:
         .otherwise(w)))
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once a row, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def words_changed(before: Column, after: Column, most: int | None = None) -> Column:
+    """The least number of words to add, drop or replace to make one text of the other.
+
+    Words both begin or end with are left out first. What is between becomes one sign
+    a word, the distance of signs is the JVM's own; with `most` it stops beyond that
+    and the result is null.
+    """
+    def split(text: Column) -> Column:
+        return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
+
+    def shared(x: Column, y: Column) -> Column:
+        """How many words both arrays begin with."""
+        n = F.least(F.size(x), F.size(y))
+        same = F.zip_with(F.slice(x, 1, n), F.slice(y, 1, n), lambda v, w: v == w)
+        return F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, n).cast("int")
+
+    def without(x: Column, n: Column) -> Column:
+        """The array from its end to behind its first n words."""
+        return F.reverse(F.slice(x, n + 1, F.greatest(F.size(x) - n, F.lit(0))))
+
+    def trimmed(p: Column) -> Column:
+        return _let(shared(p.x, p.y), lambda n: F.struct(without(p.x, n).alias("x"), without(p.y, n).alias("y")))
+
+    def signs(words: Column, known: Column) -> Column:
+        return F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(
+            F.hex(F.array_position(known, w) + 0xFFFF), 8, "0")), "UTF-32")), "")
+
+    def distance(p: Column) -> Column:
+        sides = _let(F.array_union(p.x, p.y), lambda known: F.struct(signs(p.x, known).alias("x"), signs(p.y, known).alias("y")))
+        if most is None:
+            return _let(sides, lambda q: F.levenshtein(q.x, q.y))
+        near = F.abs(F.size(p.x) - F.size(p.y)) <= most
+        return F.when(near, F.nullif(_let(sides, lambda q: F.levenshtein(q.x, q.y, most)), F.lit(-1)))
+    both = F.struct(split(before).alias("x"), split(after).alias("y"))
+    return _let(both, lambda p: _let(trimmed(p), lambda q: _let(trimmed(q), distance))).cast("bigint")
+
+
 def lint_words(body: Column) -> Column:
     """Content words of a criterion with its exact values taken out."""
     plain = F.regexp_replace(F.lower(body), fixed.EXACT_VALUE, " ")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks import fixed
-from gaugeworks.functions.udfs import words_changed
+from gaugeworks.functions.text import words_changed
 from gaugeworks.operators.series import MAX_ROWS, longest_series, number_rows, over_positions
 
 
@@ -55,10 +55,7 @@ def near_identical(now: DataFrame, earlier: DataFrame,
     b = pieces(old, False)
     pairs = a.join(b, [*keys, "_len", "i", "stretch"]).select(
         *keys, "_now", "prompt", "run_id", "started").distinct()
-    # Each changed word puts at most one word on either side that the other lacks.
-    x, y = (F.array_remove(F.split(c, r"\s+"), "") for c in ("prompt", "_now"))
-    pairs = pairs.where((F.size(F.array_except(x, y)) <= most) & (F.size(F.array_except(y, x)) <= most))
-    close = (pairs.withColumn("words", words_changed("prompt", "_now")).where(F.col("words") <= most)
+    close = (pairs.withColumn("words", words_changed(F.col("prompt"), F.col("_now"), most)).where("words IS NOT NULL")
              .select(*keys, "_now", "words", "started", "run_id").unionByName(same))
     best = close.groupBy(*keys, "_now").agg(F.min(F.struct("words", "started", "run_id")).alias("m"))
     return now.join(best.select(*keys, F.col("_now").alias("prompt"), F.col("m.run_id").alias("like_run"),
@@ -77,5 +74,5 @@ def answer_changed_between(runs: DataFrame, most: int = fixed.MINOR_PROMPT_WORDS
         f"_{c}": (lambda w, c=c: F.lag(c).over(w)) for c in names}, before=1,
         max_rows=max_rows, longest=longest)
     moved = pairs.where("_sealed_sha256 <> sealed_sha256 AND _workspace_sha256 = workspace_sha256")
-    return (moved.withColumn("words", words_changed("_prompt", "prompt")).where(F.col("words") <= most)
+    return (moved.withColumn("words", words_changed(F.col("_prompt"), F.col("prompt"), most)).where("words IS NOT NULL")
             .select("task_id", F.col("_run_id").alias("from_run"), F.col("run_id").alias("to_run"), "words"))

@@ -1,4 +1,3 @@
-import difflib
 import json
 import random
 
@@ -97,6 +96,16 @@ def test_repeats_against_the_greedy_walk(spark):
     assert {tuple(r) for r in findings.repeats(df).collect()} == want
 
 
+def edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, v in enumerate(x, 1):
+        new = [i]
+        for j, w in enumerate(y, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (v != w)))
+        row = new
+    return row[-1]
+
+
 def test_near_identical_against_every_pair(spark):
     rng = random.Random(4)
     vocab = "alpha beta gamma delta".split()
@@ -106,8 +115,7 @@ def test_near_identical_against_every_pair(spark):
     now = spark.createDataFrame(new, "run_id string, workspace_sha256 string, environment_sha256 string, prompt string")
 
     def words(a, b):
-        ops = difflib.SequenceMatcher(a=a.split(), b=b.split(), autojunk=False).get_opcodes()
-        return sum(max(i2 - i1, j2 - j1) for t, i1, i2, j1, j2 in ops if t != "equal")
+        return edits(a.split(), b.split())
 
     want = {}
     for n, _, _, p in new:
@@ -307,11 +315,18 @@ def test_crash_reads_past_blank_lines(spark):
 
 
 def test_words_changed(spark):
-    from gaugeworks.functions.udfs import words_changed
+    from gaugeworks.functions.text import words_changed
 
-    rows = [("a b c", "a x c", 1), ("a b", "a b", 0), (None, "one two", 2), ("a b c d", "d", 3), ("a b", "x y z", 3)]
-    df = spark.createDataFrame(rows, "a string, b string, n int")
-    assert all(r.got == r.n for r in df.withColumn("got", words_changed("a", "b")).collect())
+    rng = random.Random(9)
+    rows = [("a b c", "a x c"), ("a b", "a b"), (None, "one two"), ("a b c d", "d"), ("a b", "x y z"), ("", None), (" a ", "a\nb"),
+            ("x " * 30_000 + "y z", "x " * 30_000 + "w z"), ("é 😀 a", "é a")]
+    rows += [tuple(" ".join(rng.choice("abcd") for _ in range(rng.randrange(12))) for _ in "ab") for _ in range(200)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select("a", "b", words_changed(F.col("a"), F.col("b")).alias("n"), words_changed(F.col("a"), F.col("b"), 2).alias("m")).collect()
+    for r in got:
+        x, y = (r.a or "").split(), (r.b or "").split()
+        n = 1 if len(x) > 1000 else edits(x, y)
+        assert r.n == n and r.m == (n if n <= 2 else None), (r, n)
 
 
 def test_names_present_against_every_pair(spark):
