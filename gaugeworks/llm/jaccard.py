@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import BinaryType, LongType
 
 from gaugeworks.llm.components import components
 from gaugeworks.llm.store import fresh, written
@@ -35,9 +35,9 @@ FILTER_BITS = 1 << 23
 #: Others a set is tried against in the second round.
 DRAWN = 8
 #: Sets of a shingle that are paired one by one in the last round; those of commoner shingles are compared in tiles.
-FEW = 12
-#: Sets and shingles a tile is meant to hold, and bits of a tile's bitmaps for each shingle of its largest set.
-TILE_SETS, TILE_SHINGLES, TILE_BITS = 1024, 1 << 18, 16
+FEW = 40
+#: Sets and shingles a tile is meant to hold, and bits of a tile's bitmaps for each shingle at least.
+TILE_SETS, TILE_SHINGLES, TILE_BITS = 1024, 1 << 18, 8
 
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -96,8 +96,8 @@ def _names(row: np.ndarray, found: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return size, name.view(np.int64), ends
 
 
-def _bitmap(found: np.ndarray) -> bytes:
-    bits = np.zeros(min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(found)).bit_length())), np.uint8)
+def _bitmap(found: np.ndarray, each: int = 2) -> bytes:
+    bits = np.zeros(min(MOST_BITS, max(LEAST_BITS, 1 << (each * len(found)).bit_length())), np.uint8)
     bits[(found & np.uint64(len(bits) - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -232,57 +232,45 @@ class _Exact:
         return written(sets.join(wanted, "name", "left_semi").groupBy("name").agg(F.first("found").alias("found")), "sets")
 
 
-def _bit_rows(sets: list[np.ndarray], bits: int) -> np.ndarray:
-    """A bitmap of so many bits for each set, as rows of 64-bit numbers."""
-    on = np.zeros((len(sets), bits), bool)
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    on[row, (np.concatenate(sets) & np.uint64(bits - 1)).astype(np.int64)] = True
-    return np.packbits(on, axis=1, bitorder="little").view(np.uint64)
+@F.arrow_udf(BinaryType())
+def _signature(found: pa.Array) -> pa.Array:
+    """A bitmap of a set with TILE_BITS to twice as many bits for each of its shingles."""
+    return pa.array([_bitmap(x.values.to_numpy(zero_copy_only=False).view(np.uint64), TILE_BITS) for x in found], pa.binary())
 
 
-def _tile_links(one: np.ndarray, other: np.ndarray, sets: list[np.ndarray], np_: np.ndarray, component: np.ndarray) -> list[tuple[int, int]]:
-    """Places (i, j) of sets that link, i of `one` and j of `other`: enough to join what links of both tiles.
+def _folded(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit numbers, longer ones folded to the shortest."""
+    rows = [np.frombuffer(x, np.uint64) for x in maps]
+    width = min(map(len, rows))
+    return np.stack([np.bitwise_or.reduce(x.reshape(-1, width), axis=0) for x in rows])
 
-    Bit counts bound the overlap from above for all pairs of the tiles at once; only what
-    is left, and still apart, is decided by the arrays. Components joined here count as joined.
+
+def _tile_pairs(one: np.ndarray, other: np.ndarray, bits: np.ndarray, np_: np.ndarray, component: np.ndarray):
+    """Places (i, j) of sets, i of `one` and j of `other`, that may link and are still apart.
+
+    Bits in which two bitmaps differ are at most the shingles the sets differ in, so bit counts
+    bound the overlap from above, for a set and a whole tile at once.
     """
     size, place = np_ >> 32, np_ & 0xFFFFFFFF
-    bits = _bit_rows(sets, 1 << int(min(MOST_BITS, TILE_BITS * size.max()) - 1).bit_length())
-    root: dict[int, int] = {}
-
-    def find(c: int) -> int:
-        while (up := root.get(c, c)) != c:
-            c = up
-        return c
-    links = []
     for i in one.tolist():
         small, large = np.minimum(size[i], size[other]), np.maximum(size[i], size[other])
         both = size[i] + size[other]
         before = np.minimum(place[i], place[other]) + np.minimum(size[i] - place[i], size[other] - place[other])
-        maybe = (component[other] != component[i]) & (100 * small >= THRESHOLD * large) & (
+        near = (component[other] != component[i]) & (100 * small >= THRESHOLD * large) & (
             (100 + THRESHOLD) * before >= THRESHOLD * both)
-        near = other[maybe]
-        if not len(near):
-            continue
-        overlap = (both[maybe] - np.bitwise_count(bits[near] ^ bits[i]).sum(1, dtype=np.int64)) / 2
-        for j in near[(100 + THRESHOLD) * overlap >= THRESHOLD * both[maybe]].tolist():
-            a, b = find(int(component[i])), find(int(component[j]))
-            if a == b:
-                continue
-            x, y = sets[i], sets[j]
-            at = np.searchsorted(x, y)
-            common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-            if (100 + THRESHOLD) * common >= THRESHOLD * int(size[i] + size[j]):
-                root[max(a, b)] = min(a, b)
-                links.append((i, j))
-    return links
-
-
-def _tiled(open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) among the sets of each shingle of `open_` (token, name, np, component), tile against tile.
+        mine = other[near]
+        if len(mine):
+            overlap = (both[near] - np.bitwise_count(bits[mine] ^ bits[i]).sum(1, dtype=np.int64)) / 2
+            for j in mine[(100 + THRESHOLD) * overlap >= THRESHOLD * both[near]].tolist():
+                yield i, j
+
+
+def _tiled(open_: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs (a, b) that may link of the sets of each shingle of `open_` (token, name, np, component), tile against tile.
 
     A shingle's sets fall into bands of size, so that linking sets are in one band or in neighbours, and a
-    band's into tiles of bounded size. A set goes to each pair of tiles it is in; only links come out.
+    band's into tiles of bounded size. A set goes with its bitmap, of (name, bits), to each pair of tiles it
+    is in; what the bit counts leave of a pair of tiles comes out.
     """
     step = float(np.log(100 / THRESHOLD))
     banded = open_.withColumn("band", F.floor(F.log(F.shiftright("np", 32).cast("double")) / step + 1e-9).cast("int"))
@@ -312,22 +300,23 @@ def _tiled(open_: DataFrame, sets: DataFrame) -> DataFrame:
     dealt = (banded.join(around, ["token", "band"]).withColumn("tile", tile)
              .select("token", "name", "np", "component", "band", "tile", F.explode(keys).alias("k"))
              .select("token", F.col("k.band").alias("low"), "k.i", "k.j", "name", "np", "component",
-                     (F.col("band") > F.col("k.band")).cast("int").alias("upper"), "tile").join(sets, "name"))
+                     (F.col("band") > F.col("k.band")).cast("int").alias("upper"), "tile").join(signatures, "name"))
 
     def compared(table: pa.Table) -> pa.Table:
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         names, np_, component = (table[c].to_numpy() for c in ("name", "np", "component"))
         tile, upper = table["tile"].to_numpy(), table["upper"].to_numpy()
-        lists = [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in table["found"]]
+        bits = _folded(table["bits"].to_pylist())
         if i == j:  # a tile with itself, each pair once
-            every, links = np.arange(len(names)), []
+            every, pairs = np.arange(len(names)), []
             for half in range(0, len(names), 64):
-                links += _tile_links(every[half:half + 64], every[half:], lists, np_, component)
+                pairs += _tile_pairs(every[half:half + 64], every[half:], bits, np_, component)
         else:
             first = (upper == 0) & (tile == i)
-            links = _tile_links(np.flatnonzero(first), np.flatnonzero(~first), lists, np_, component)
-        return pa.table({"a": pa.array([int(names[x]) for x, _ in links], pa.int64()),
-                         "b": pa.array([int(names[y]) for _, y in links], pa.int64())})
+            pairs = list(_tile_pairs(np.flatnonzero(first), np.flatnonzero(~first), bits, np_, component))
+        ends = np.array(pairs, np.int64).reshape(-1, 2)
+        ends = np.sort(names[ends], axis=1)
+        return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
     return dealt.groupBy("token", "low", "i", "j").applyInArrow(compared, "a long, b long")
 
 
@@ -397,11 +386,12 @@ def join(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     before = tried.union(some).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = (one.join(two, "token").filter("a < b AND ca <> cb").filter(possible("npa", "npb"))
              .select("a", "b").distinct().join(before, ["a", "b"], "left_anti"))
-    links = links.union(exact.links(written(pairs, "pairs")))
     crowd = written(open_.join(counts.filter(F.col("n") > FEW).select("token"), "token"), "crowd")
     if not crowd.isEmpty():
-        links = links.union(_tiled(crowd, exact.sets_of(crowd.select("name").distinct())))
-    links = written(links, "links")
+        sharp = exact.sets_of(crowd.select("name").distinct()).select("name", _signature("found").alias("bits"))
+        tiled = _tiled(crowd, written(sharp, "signatures")).distinct().join(before, ["a", "b"], "left_anti")
+        pairs = pairs.union(tiled).distinct()
+    links = written(links.union(exact.links(written(pairs, "pairs"))), "links")
 
     final = components(links)
     named = classes.join(final.select(F.col("node").alias("name"), "component"), "name", "left").withColumn(
