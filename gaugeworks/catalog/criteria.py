@@ -304,10 +304,12 @@ def j12(t):
     return criteria.uncovered_figures(t.criteria_heads, t.prompts).withColumn("pinned", F.array_join("pinned", " "))
 
 
-view("numbered", "SELECT task_id, CAST(row_number() OVER (PARTITION BY task_id ORDER BY line_no) AS INT) AS n, head AS criteria FROM {lines}")
+view("numbered", """
+SELECT task_id, CAST(row_number() OVER (PARTITION BY task_id ORDER BY line_no) AS INT) AS n, CASE WHEN head = 'Too short' THEN head ELSE head || '. ' || text END AS criteria
+FROM {lines}""")
 view("references_made", """
-SELECT task_id, line_no AS ref_id, CASE line_no % 5 WHEN 0 THEN 'Criterion ' || CAST(line_no % 17 AS STRING) WHEN 1 THEN head
-  WHEN 2 THEN substr(head, 10, 24) WHEN 3 THEN 'as it says: ' || head || ' (end)' ELSE 'nothing like it' END AS reference FROM {lines}""")
+SELECT task_id, line_no AS ref_id, CASE line_no % 5 WHEN 0 THEN 'Criterion ' || CAST(line_no % 17 AS STRING) WHEN 1 THEN head || '. ' || text
+  WHEN 2 THEN substr(text, 10, 60) WHEN 3 THEN 'as it says: ' || head || '. ' || text || ' (end)' ELSE 'nothing like it' END AS reference FROM {lines}""")
 
 
 @query("j30_resolve_references", r"""

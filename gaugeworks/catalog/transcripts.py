@@ -417,10 +417,9 @@ def x08b(t):
 
 @query("t10_files_opened", f"""
 SELECT run_id, path, EXISTS (SELECT 1 FROM {{seen_text}} s WHERE s.run_id = f.run_id AND
-  (contains(s.text, path) OR contains(s.text, {duck.base_name('path')}))) AS opened FROM {{run_files}} f WHERE path NOT LIKE '% %'""")
+  (contains(s.text, path) OR contains(s.text, {duck.base_name('path')}))) AS opened FROM {{run_files}} f""")
 def t10(t):
-    files = t.run_files.where(~F.col("path").contains(" "))
-    return transcripts.files_opened(transcripts.observed_rows(t.steps, t.results), files)
+    return transcripts.files_opened(transcripts.observed_rows(t.steps, t.results), t.run_files)
 
 
 @query("t10_command_contains", "SELECT run_id, bool_or(contains(command, 'apt-get install')) AS seen FROM {turns} WHERE agent GROUP BY run_id")
