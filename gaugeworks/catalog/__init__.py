@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("forecast", "grading", "transcripts", "criteria", "reviews")
+MODULES = ("forecast", "grading", "transcripts", "criteria", "reviews", "evidence")
 
 
 def load_all() -> None:
