@@ -108,39 +108,40 @@ def weights_only_drops(grades: DataFrame, lines: DataFrame, proposed: DataFrame,
     fits when its lines are the same set and one was weighted differently; a move
     to a proposed weight is none. The latest that fits is given, one row a moved line.
 
-    Grades at or over the bar are numbered within their job and line set, so the
-    one before a grade is an equi join on a number. Grades whose candidate had no
-    moved line go on to the eight numbers before; each pass is linear in what is left.
+    Grades at or over the bar are ranked within their job and line set. A line's
+    weights over those ranks fall into runs, so the last rank that weighs it
+    otherwise than a grade does is the grade's own rank, or the one before the run
+    that rank is in: one equi join, whatever lies between. The latest over a
+    grade's lines is a maximum.
     """
     keyed = grades.join(line_digest(lines), ["job", "grade_id"])
     keys = ["job", "line_set"]
     high = F.col("reward") >= bar
-    ranked = running_sum(keyed, keys, "at", "grade_id", F.when(high, 1).otherwise(0), "_rank",
-                         max_rows)
+    ranked = cut_lineage(running_sum(keyed, keys, "at", "grade_id", F.when(high, 1).otherwise(0), "_rank", max_rows)
+                         .select(*keys, "grade_id", "reward", "_rank"))
     highs = ranked.where(high).select(*keys, "_rank", F.col("grade_id").alias("earlier_id"))
-    after = lines.select("job", "grade_id", "text", F.col("weight").alias("after"))
-    before = lines.select("job", F.col("grade_id").alias("earlier_id"), "text",
-                          F.col("weight").alias("before"))
-    left = cut_lineage(ranked.where((F.col("reward") < bar) & (F.col("_rank") > 0))
-                       .select(*keys, "grade_id", "_rank"))
-    found, reach = None, 1
-    while not left.isEmpty():
-        tried = left.withColumn("_rank", F.explode(F.sequence(
-            F.col("_rank"), F.greatest(F.lit(1), F.col("_rank") - (reach - 1)), F.lit(-1))))
-        moved = (tried.join(highs, [*keys, "_rank"])
-                 .join(after, ["job", "grade_id"]).join(before, ["job", "earlier_id", "text"])
-                 .where("before <> after").join(proposed, ["job", "text"], "left")
-                 .where(~F.coalesce(F.array_contains("weights", F.col("after")), F.lit(False)))
-                 .select("job", "grade_id", "_rank", "earlier_id", "text", "before", "after"))
-        latest = moved.groupBy("job", "grade_id").agg(F.max("_rank").alias("_rank"))
-        moved = cut_lineage(moved.join(latest, ["job", "grade_id", "_rank"], "left_semi")
-                            .drop("_rank"))
-        found = moved if found is None else found.unionByName(moved)
-        left = cut_lineage(
-            left.join(moved.select("job", "grade_id").distinct(), ["job", "grade_id"], "left_anti")
-            .withColumn("_rank", F.col("_rank") - reach).where("_rank > 0"))
-        reach = 8
-    if found is None:
-        found = grades.sparkSession.createDataFrame(
-            [], "job bigint, grade_id bigint, earlier_id bigint, text string, before int, after int")
-    return found
+    # A text may stand in a grade more than once; its weights count together.
+    weighed = lines.groupBy("job", "grade_id", "text").agg(F.array_sort(F.collect_set("weight")).alias("w"))
+    placed = (highs.withColumnRenamed("earlier_id", "grade_id").join(weighed, ["job", "grade_id"])
+              .select(*keys, "text", (F.col("_rank") - 1).alias("pos"), "w"))
+    placed = cut_lineage(placed)
+    line = [*keys, "text"]
+    longest = longest_series(placed, line)
+    turns = over_positions(placed, line, {"_was": lambda w: F.lag("w").over(w)}, before=1, max_rows=max_rows, longest=longest)
+    runs = cut_lineage(running_sum(turns, line, "pos", "pos", F.when(F.col("_was") == F.col("w"), 0).otherwise(1), "_run",
+                                   max_rows, longest).select(*line, "pos", "w", "_run"))
+    starts = runs.groupBy(*line, "_run").agg(F.min("pos").alias("_start"))
+    at_rank = runs.join(starts, [*line, "_run"]).select(
+        *line, (F.col("pos") + 1).alias("_rank"), F.col("w").alias("_before"), F.col("_start"))
+    unproposed = (lines.select("job", "grade_id", "text", F.col("weight").alias("after")).join(proposed, ["job", "text"], "left")
+                  .where(~F.coalesce(F.array_contains("weights", F.col("after")), F.lit(False)))
+                  .select("job", "grade_id", "text", "after"))
+    asked = ranked.where((F.col("reward") < bar) & (F.col("_rank") > 0)).select(*keys, "grade_id", "_rank").join(
+        unproposed, ["job", "grade_id"])
+    same = F.col("_before") == F.array("after")
+    last = asked.join(at_rank, [*line, "_rank"]).select(
+        *keys, "grade_id", F.when(same, F.col("_start")).otherwise(F.col("_rank")).alias("_rank"))
+    latest = cut_lineage(last.where("_rank > 0").groupBy(*keys, "grade_id").agg(F.max("_rank").alias("_rank")).join(highs, [*keys, "_rank"]))
+    before = lines.select("job", F.col("grade_id").alias("earlier_id"), "text", F.col("weight").alias("before"))
+    return (latest.join(unproposed, ["job", "grade_id"]).join(before, ["job", "earlier_id", "text"]).where("before <> after")
+            .select("job", "grade_id", "earlier_id", "text", "before", "after"))

@@ -340,3 +340,34 @@ def test_names_present_against_every_pair(spark):
     want = {(k, n) for k, n in names if n and any(t and k == j and n in t for j, t in texts)}
     got = names_present(spark.createDataFrame(names, "k int, path string"), spark.createDataFrame(texts, "k int, text string"), "k")
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_snapshot_in_chunks_is_the_row_loop(spark):
+    from gaugeworks.operators.manifests import snapshot
+
+    rng = random.Random(21)
+    rows = [(run, f"p{i:06d}", rng.choice([1, 2, 3, 50, 90, 100, 500])) for run, n in (("a", 3000), ("b", 40), ("c", 700), ("d", 1)) for i in range(n)]
+    rows += [("e", f"{'é' if i % 2 else 'z'}{i:04d}", 98 - i % 40 if i % 2 else 1) for i in range(600)]
+    want = {}
+    for run in "abcde":
+        total = 0
+        for _, path, size in sorted((r for r in rows if r[0] == run), key=lambda r: r[1].encode()):
+            state = "over_file_cap" if size > 100 else "over_total" if total + size > 2000 else "kept"
+            total += size * (state == "kept")
+            want[run, path] = (size, state)
+    df = spark.createDataFrame(rows, "run_id string, path string, bytes int")
+    for fold in (100_000, 64):
+        got = {(r.run_id, r.path): (r.bytes, r.state) for r in snapshot(df, 100, 2000, fold).collect()}
+        assert got == want
+    assert snapshot(df.limit(0), 100, 2000).count() == 0
+
+
+def test_weights_only_drop_far_back(spark):
+    n = 2000
+    grades = [(1, i, float(i), 0.9 if i < n else 0.1) for i in range(n + 1)]
+    lines = [(1, i, t, 5 if t == "a" and i == 0 else 3) for i in range(n + 1) for t in ("a", "b")]
+    g = spark.createDataFrame(grades, "job bigint, grade_id bigint, at double, reward double").withColumn("at", F.timestamp_seconds("at"))
+    ls = spark.createDataFrame(lines, "job bigint, grade_id bigint, text string, weight int")
+    p = spark.createDataFrame([], "job bigint, text string, weights array<int>")
+    for limit in (10_000, 300):
+        assert [tuple(r) for r in whatif.weights_only_drops(g, ls, p, max_rows=limit).collect()] == [(1, n, 0, "a", 5, 3)]
