@@ -31,6 +31,8 @@ LEAST_BITS, MOST_BITS = 512, 1 << 17
 #: COMMON times there come last in the order of prefixes. Any order gives the same links.
 LOOKED_AT, COMMON = 16, 6
 ORDER_BITS = 1 << 24
+#: Bytes of text whose shingles are made at once; a shingle takes some hundred bytes on the way.
+CHUNK = 1 << 18
 FILTER_BITS = 1 << 23
 #: Others a set is tried against in the second round.
 DRAWN = 8
@@ -74,7 +76,7 @@ def _sets(column: pa.Array, common: np.ndarray | None = None):
 
     With `common`, a filter as packed bits, shingles in it come after the others.
     """
-    for lo, hi, words in row_words(column):
+    for lo, hi, words in row_words(column, chunk=CHUNK):
         row, found = shingles(words)
         keys = (found, row)
         if common is not None:

@@ -80,11 +80,11 @@ def _hashed(data: np.ndarray, offsets: np.ndarray, lower: bool, heads: tuple[int
     return hashes, starts + base, cut
 
 
-def _long_row(data: np.ndarray, lo: int, hi: int, lower: bool, heads: tuple[int, ...]):
+def _long_row(data: np.ndarray, lo: int, hi: int, lower: bool, heads: tuple[int, ...], chunk: int):
     """A row longer than a chunk, cut after separators; a longer word stays whole."""
     got, at = [], lo
     while at < hi:
-        end = min(at + CHUNK, hi)
+        end = min(at + chunk, hi)
         if end < hi:
             gaps = np.flatnonzero(_SEPARATOR[data[at:end]])
             if len(gaps):
@@ -97,8 +97,9 @@ def _long_row(data: np.ndarray, lo: int, hi: int, lower: bool, heads: tuple[int,
     return np.concatenate([g[0] for g in got]), [np.concatenate(x) for x in zip(*(g[2] for g in got))]
 
 
-def row_words(column: pa.Array, lower: bool = True, heads: tuple[int, ...] = ()) -> Iterator[tuple[int, int, Words]]:
-    """(first row, end row, Words) for successive rows. Null and empty texts have no words."""
+def row_words(column: pa.Array, lower: bool = True, heads: tuple[int, ...] = (),
+              chunk: int = CHUNK) -> Iterator[tuple[int, int, Words]]:
+    """(first row, end row, Words) for successive rows, about `chunk` bytes at once. Null and empty texts have no words."""
     text = column.cast(pa.large_string())
     if text.null_count:
         text = text.fill_null("")
@@ -110,9 +111,9 @@ def row_words(column: pa.Array, lower: bool = True, heads: tuple[int, ...] = ())
     data = np.frombuffer(held, np.uint8) if held is not None and held.size else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK, "right")) - 1))
-        if offsets[hi] - offsets[lo] > CHUNK:
-            hashes, cut = _long_row(data, int(offsets[lo]), int(offsets[hi]), lower, heads)
+        hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + chunk, "right")) - 1))
+        if offsets[hi] - offsets[lo] > chunk:
+            hashes, cut = _long_row(data, int(offsets[lo]), int(offsets[hi]), lower, heads, chunk)
             yield lo, hi, Words(hashes, np.array([0, len(hashes)]), cut)
         else:
             hashes, starts, cut = _hashed(data, offsets[lo:hi + 1], lower, heads)
