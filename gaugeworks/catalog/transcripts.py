@@ -310,11 +310,7 @@ SELECT run_id, value FROM {{truth_figs}} t WHERE {duck.interesting('value')}
 
 
 def _lookups(t):
-    requests = _requests(t)
-    pages = requests.where("result IS NOT NULL").select("run_id", F.col("result").alias("text"))
-    offline = t.results.join(
-        requests.select("run_id", "call_id").distinct(), ["run_id", "call_id"], "left_anti")
-    return web.looked_up_figures(t.truths, t.answers, pages, offline)
+    return provenance.looked_up_figures(t.truths, t.answers, t.results, web.web_requests(t.calls))
 
 
 @query("t07_answer_looked_up", _LOOKUP)
@@ -324,16 +320,7 @@ def t07(t):
 
 @query("u02_lookup_set_operations", _LOOKUP.replace("SELECT run_id, value FROM {truth_figs}", "SELECT run_id, count(*) AS n FROM {truth_figs}", 1) + " GROUP BY run_id")
 def u02(t):
-    from gaugeworks.functions.numbers import interesting
-    requests = _requests(t)
-    stated = provenance.figure_rows(t.truths).where(interesting(F.col("value")))
-    pages = provenance.figure_rows(requests.where("result IS NOT NULL").select(
-        "run_id", F.col("result").alias("text")))
-    offline = provenance.figure_rows(t.results.join(
-        requests.select("run_id", "call_id").distinct(), ["run_id", "call_id"], "left_anti"))
-    only = (stated.intersect(provenance.figure_rows(t.answers)).intersect(pages)
-            .exceptAll(offline.intersect(stated)))
-    return only.groupBy("run_id").agg(F.count("*").alias("n"))
+    return _lookups(t).groupBy("run_id").agg(F.count("*").alias("n"))
 
 
 # --- files ----------------------------------------------------------------------

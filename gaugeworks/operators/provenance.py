@@ -23,6 +23,31 @@ def figure_rows(rows: DataFrame) -> DataFrame:
     return rows.select("run_id", F.explode(numbers_in(F.col("text"))).alias("value")).distinct()
 
 
+def figures_by_source(*sources: DataFrame) -> DataFrame:
+    """(run_id, value, sources): each figure of a run once, bit k of `sources` set where source k has it.
+
+    A source is (run_id, text). Each text is parsed once, and what was one semi or anti join a source is
+    one aggregation combined on the map side and a test of bits.
+    """
+    tagged = None
+    for k, rows in enumerate(sources):
+        one = rows.select("run_id", "text", F.lit(1 << k).alias("bit"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    return tagged_figures(tagged)
+
+
+def tagged_figures(rows: DataFrame) -> DataFrame:
+    """(run_id, value, sources) of (run_id, text, bit)."""
+    return (rows.select("run_id", "bit", F.explode(numbers_in(F.col("text"))).alias("value"))
+            .groupBy("run_id", "value").agg(F.bit_or("bit").alias("sources")))
+
+
+def _in_all_but(figures: DataFrame, within: int, outside: int) -> DataFrame:
+    """The figures worth a check that every source of `within` has and none of `outside`, both bits."""
+    return figures.where(F.col("sources").bitwiseAND(F.lit(within | outside)) == within).where(
+        interesting(F.col("value"))).select(*KEYS)
+
+
 def union_of_figures(*corpora: DataFrame) -> DataFrame:
     out = corpora[0].select("run_id", "text")
     for c in corpora[1:]:
@@ -44,21 +69,30 @@ def first_per_run(findings: DataFrame, *order, k: int = fixed.FINDINGS_PER_CHECK
 
 def unsourced_figures(answer: DataFrame, *sources: DataFrame) -> DataFrame:
     """Figures of the answer that no source has."""
-    said = figure_rows(answer).where(interesting(F.col("value")))
-    return said.join(union_of_figures(*sources), KEYS, "left_anti")
+    return _in_all_but(figures_by_source(answer, *sources), 1, (2 << len(sources)) - 2)
 
 
 def missing_from_answer(truth: DataFrame, answer: DataFrame) -> DataFrame:
     """Figures of the true answer that were never stated."""
-    return (figure_rows(truth).where(interesting(F.col("value")))
-            .join(figure_rows(answer), KEYS, "left_anti"))
+    return _in_all_but(figures_by_source(truth, answer), 1, 2)
 
 
 def planted_figures(distractors: DataFrame, answer: DataFrame, truth: DataFrame) -> DataFrame:
     """Planted wrong figures that were stated, those also right left out."""
-    return (figure_rows(distractors).where(interesting(F.col("value")))
-            .join(figure_rows(answer), KEYS, "left_semi")
-            .join(figure_rows(truth), KEYS, "left_anti"))
+    return _in_all_but(figures_by_source(distractors, answer, truth), 3, 4)
+
+
+def looked_up_figures(truth: DataFrame, answer: DataFrame, results: DataFrame, requests: DataFrame) -> DataFrame:
+    """Figures of the true answer, stated by the run, that only a web page gave it.
+
+    `results` is (run_id, call_id, text), `requests` names the calls (run_id, call_id) that went to the web.
+    """
+    web = requests.select("run_id", "call_id", F.lit(4).alias("bit")).distinct()
+    came = results.select("run_id", "call_id", "text").join(web, ["run_id", "call_id"], "left").select(
+        "run_id", "text", F.coalesce("bit", F.lit(8)).alias("bit"))
+    rows = truth.select("run_id", "text", F.lit(1).alias("bit")).unionByName(
+        answer.select("run_id", "text", F.lit(2).alias("bit"))).unionByName(came)
+    return _in_all_but(tagged_figures(rows), 7, 8)
 
 
 def cited_paths(rows: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Web requests of runs, blocked hosts, and figures read off a page."""
+"""Web requests of runs and blocked hosts."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks import fixed
 from gaugeworks.functions import text as tx
-from gaugeworks.functions.numbers import interesting
-from gaugeworks.operators.provenance import figure_rows
 
 
 def web_requests(calls: DataFrame) -> DataFrame:
@@ -58,17 +56,3 @@ def browsing_label(labels: DataFrame, counts: DataFrame, measured: DataFrame) ->
     return joined.select("run_id", "browsing_required",
                          F.coalesce("requests", F.lit(0).cast("bigint")).alias("requests"),
                          note.alias("note"))
-
-
-def looked_up_figures(truth: DataFrame, answer: DataFrame, page_rows: DataFrame,
-                      offline_rows: DataFrame) -> DataFrame:
-    """Figures of the true answer, stated by the run, that only a web page gave it.
-
-    Each input is (run_id, text). Figures are deduplicated before every join, and
-    joined on run and figure together.
-    """
-    stated = figure_rows(truth).where(interesting(F.col("value")))
-    keys = ["run_id", "value"]
-    return (stated.join(figure_rows(answer), keys, "left_semi")
-            .join(figure_rows(page_rows), keys, "left_semi")
-            .join(figure_rows(offline_rows), keys, "left_anti"))

@@ -28,9 +28,9 @@ def review(records: DataFrame, truth: DataFrame, distractors: DataFrame, files:
     answer = transcripts.replies(steps).select("run_id", "text")
     observed = transcripts.observed_rows(steps, results)
     requests = web.web_requests(transcripts.calls_with_results(calls, results))
-    pages = requests.where("result IS NOT NULL").select("run_id", F.col("result").alias("text"))
-    offline = (results.join(requests.select("run_id", "call_id").distinct(), ["run_id", "call_id"], "left_anti")
-               .select("run_id", "text").unionByName(workspace))
+    # What lies in the workspace came from no call.
+    came = results.select("run_id", "call_id", "text").unionByName(workspace.select(
+        "run_id", F.lit(None).cast("string").alias("call_id"), "text"))
     reached = web.blocked_hosts_reached(web.hosts_reached(requests), blocked).withColumn(
         "level", F.when(F.col("answered"), "strong").otherwise("check"))
     parts = [
@@ -40,7 +40,7 @@ def review(records: DataFrame, truth: DataFrame, distractors: DataFrame, files:
         _as_findings(provenance.unknown_paths(answer, files.unionByName(produced), observed,
                                               transcripts.action_rows(calls)), "unknown file", "", "path", ""),
         _as_findings(provenance.unsourced_figures(answer, observed, workspace, truth), "unsourced figure", "check", "value", "figure"),
-        _as_findings(web.looked_up_figures(truth, answer, pages, offline), "answer looked up", "strong", "value", ""),
+        _as_findings(provenance.looked_up_figures(truth, answer, came, requests), "answer looked up", "strong", "value", ""),
         _as_findings(reached, "blocked host reached", "", "host", ""),
         _as_findings(provenance.unproduced_files(answer, produced, files, observed, produced), "file not written", "check", "path", "path"),
         _as_findings(provenance.unmatched_claims(answer, observed.unionByName(transcripts.action_rows(calls))),
