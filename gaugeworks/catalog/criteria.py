@@ -96,7 +96,7 @@ SELECT task_id, count(*) AS criteria, count(*) FILTER (category = 'non_hallucina
   count(*) FILTER (category = 'non_hallucination' AND weight < 0) BETWEEN 1 AND 4 AS under_negative_floor,
   count(*) FILTER (weight < 0) = 0 AS no_negatives, count(*) < 20 AS under_check_floor FROM {lines} GROUP BY task_id""")
 def f18_sets(t):
-    return criteria.set_flags(t.criteria_heads)
+    return criteria.set_flags(t.criteria_whole)
 
 
 # --- token sets -----------------------------------------------------------------
@@ -184,9 +184,9 @@ def _r(sql: str) -> str:
     return sql.replace("{{{{", "{{").replace("}}}}", "}}")
 
 
-@query("x11_wording", _r(f"SELECT task_id, line_no, {_list(_wording('criteria'))} AS words FROM {{criteria_heads}}"))
+@query("x11_wording", _r(f"SELECT task_id, line_no, {_list(_wording('folded'))} AS words FROM (SELECT *, {duck.decomposed('criteria')} AS folded FROM {{criteria_whole}})"))
 def x11(t):
-    return t.criteria_heads.select("task_id", "line_no", _joined(tx.wording(tx.normalise(F.col("criteria")))).alias("words"))
+    return t.criteria_whole.select("task_id", "line_no", _joined(tx.wording(tx.normalise(F.col("criteria")))).alias("words"))
 
 
 @query("x12_marks", _r(f"SELECT task_id, line_no, {_list(_marks('criteria'))} AS marks FROM {{criteria_whole}}"))
@@ -202,11 +202,11 @@ def _named_words(x: str) -> str:
 @query("x13_named_in", _r(f"""
 SELECT line_no, contains(lower(text), lower(part)) OR (len(s) > 0 AND len(s) * 3 >= len(w)) AS named FROM (
   SELECT *, {_named_words('part')} AS w, list_intersect({_named_words('part')}, regexp_extract_all(lower(text), '[a-z0-9][a-z0-9_.-]{{{{2,}}}}')) AS s
-  FROM (SELECT a.line_no, a.criteria AS text, coalesce(b.criteria, 'nothing') AS part FROM {{criteria_heads}} a
-    LEFT JOIN {{criteria_heads}} b ON b.line_no = a.line_no + 20))"""))
+  FROM (SELECT a.line_no, a.criteria AS text, coalesce(b.criteria, 'nothing') AS part FROM {{criteria_whole}} a
+    LEFT JOIN {{criteria_whole}} b ON b.line_no = a.line_no + 20))"""))
 def x13(t):
-    nxt = t.criteria_heads.select((F.col("line_no") - 20).alias("line_no"), F.col("criteria").alias("part"))
-    both = t.criteria_heads.join(nxt, "line_no", "left").fillna({"part": "nothing"})
+    nxt = t.criteria_whole.select((F.col("line_no") - 20).alias("line_no"), F.col("criteria").alias("part"))
+    both = t.criteria_whole.join(nxt, "line_no", "left").fillna({"part": "nothing"})
     return both.select("line_no", tx.named_in(F.lower("part"), F.lower("criteria")).alias("named"))
 
 
@@ -251,16 +251,22 @@ _FILE = r"(place = 'state change' OR regexp_matches(criteria, '^\s*[A-Za-z0-9_./
 
 
 @query("j09_carryovers", _r(f"""
-WITH f AS (SELECT *, {_figures('criteria')} AS figs, {_FILE} AS on_file FROM {{criteria_heads}})
+WITH f AS (SELECT *, {_figures('criteria')} AS figs, {_FILE} AS on_file FROM {{criteria_whole}})
 SELECT a.task_id, a.line_no, min(b.line_no) AS source_line FROM f a JOIN f b ON a.task_id = b.task_id
 WHERE a.weight = 1 AND a.on_file AND len(a.figs) > 0 AND b.weight = 5 AND NOT b.on_file AND list_has_all(b.figs, a.figs) GROUP BY ALL"""))
 def j09(t):
-    return criteria.carryovers(t.criteria_heads)
+    return criteria.carryovers(t.criteria_whole)
 
 
+# Of lines of one head, weight and place every third says what the one before it says, and its own text as well.
+view("criteria_nested", """
+SELECT task_id, line_no, weight, category, place, CASE WHEN rn % 3 = 0 THEN before || ' besides. ' || criteria ELSE criteria END AS criteria FROM (
+  SELECT c.*, row_number() OVER (PARTITION BY c.task_id, substr(l.head, 1, 9), c.weight, c.place ORDER BY c.line_no) AS rn,
+    lag(c.criteria) OVER (PARTITION BY c.task_id, substr(l.head, 1, 9), c.weight, c.place ORDER BY c.line_no) AS before
+  FROM {criteria_whole} c JOIN {lines} l ON l.line_no = c.line_no AND l.task_id = c.task_id)""")
 _ABOUT = r"regexp_matches(criteria, '(?i)^\s*(?:trajectory|the agent|agent)\b')"
 _PAIRS = _r(f"""
-WITH f AS (SELECT *, {_marks('criteria')} AS marks, {_wording('criteria')} AS words, {_FILE} AS on_file, {_ABOUT} AS about FROM {{criteria_heads}})
+WITH f AS (SELECT *, {_marks('criteria')} AS marks, {_wording('folded')} AS words, {_FILE} AS on_file, {_ABOUT} AS about FROM (SELECT *, {duck.decomposed('criteria')} AS folded FROM {{criteria_nested}}))
 SELECT * FROM (SELECT a.task_id, a.line_no AS first, b.line_no AS second, len(a.marks)::INT AS n_marks,
   row_number() OVER (PARTITION BY a.task_id ORDER BY len(a.marks) DESC, a.line_no, b.line_no) AS rn
 FROM f a JOIN f b ON a.task_id = b.task_id AND a.line_no <> b.line_no AND (a.weight > 0) = (b.weight > 0) AND a.on_file = b.on_file
@@ -270,12 +276,12 @@ FROM f a JOIN f b ON a.task_id = b.task_id AND a.line_no <> b.line_no AND (a.wei
 
 @query("j10_containment_pairs", f"SELECT task_id, first, second, n_marks FROM ({_PAIRS}) WHERE rn <= 12")
 def j10(t):
-    return criteria.containment_pairs(t.criteria_heads)
+    return criteria.containment_pairs(t.criteria_nested)
 
 
 @query("k03_twelve_most_specific", f"SELECT task_id, count(*) AS pairs, max(n_marks) AS most_marks FROM ({_PAIRS}) WHERE rn <= 12 GROUP BY task_id")
 def k03(t):
-    return criteria.containment_pairs(t.criteria_heads).groupBy("task_id").agg(
+    return criteria.containment_pairs(t.criteria_nested).groupBy("task_id").agg(
         F.count("*").alias("pairs"), F.max("n_marks").alias("most_marks"))
 
 

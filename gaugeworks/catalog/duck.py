@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 W = r"[\p{{L}}\p{{N}}_]"
 NOT_W = r"[^\p{{L}}\p{{N}}_]"
 NUMBER = r"(?:\B-|\b)(?:\d{{1,3}}(?:,\d{{3}})+|\d+)(?:\.\d+)?(?:[eE][-+]?\d+)?\b"
@@ -46,3 +48,12 @@ def sentences(x: str) -> str:
     split = (rf"string_split(regexp_replace({strip('l')}, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))")
     return (f"list_filter(list_transform(flatten(list_transform({lines}, lambda l: {split})), "
             f"lambda s: {strip('s')}), lambda s: s <> '')")
+
+
+def decomposed(x: str) -> str:
+    """Letters of the Latin-1 block with their accents apart, as the compatibility fold leaves them."""
+    for code in range(0xC0, 0x100):
+        apart = unicodedata.normalize("NFKD", chr(code))
+        if apart != chr(code):
+            x = f"replace({x}, '{chr(code)}', '{apart}')"
+    return x

@@ -20,24 +20,22 @@ def sections_of(text: Column, heading: str) -> Column:
 
     A line is a heading where `heading` matches it; its first group is the title.
     """
-    marked = F.transform(tx.lines(text), lambda line: F.when(
-        line.rlike(heading), F.concat(F.lit("\u0001"), line)).otherwise(line))
+    # A heading carries the number of the line below it.
+    marked = F.transform(tx.lines(text), lambda line, i: F.when(
+        line.rlike(heading), F.concat(F.lit("\u0001"), (i + 2).cast("string"), F.lit("\u0001"), line)).otherwise(line))
     parts = F.filter(F.split(F.array_join(marked, "\n"), "(?m)^(?=\u0001)"), lambda p: p != "")
     parts = F.transform(parts, lambda p: F.split(F.regexp_replace(p, "\n$", ""), "\n"))
 
-    def one(rows: Column, at: Column) -> Column:
+    def one(rows: Column) -> Column:
         first = F.get(rows, 0)
         opens = first.startswith("\u0001")
-        title = F.regexp_extract(F.substring(first, 2, 1_000_000), heading, 1)
+        named = F.split(first, "\u0001", 3)
         return F.struct(
-            F.when(opens, title).alias("heading"),
-            F.when(opens, at + 1).otherwise(at).alias("first_line"),
+            F.when(opens, F.regexp_extract(F.get(named, 2), heading, 1)).alias("heading"),
+            F.when(opens, F.get(named, 1).try_cast("int")).otherwise(F.lit(1)).alias("first_line"),
             F.when(opens, F.slice(rows, F.lit(2), F.size(rows))).otherwise(rows).alias("lines"))
 
-    start = F.struct(F.array().cast(f"array<{SECTION}>").alias("out"), F.lit(1).alias("at"))
-    return F.aggregate(parts, start, lambda acc, rows: F.struct(
-        F.concat(acc["out"], F.array(one(rows, acc["at"]))).alias("out"),
-        (acc["at"] + F.size(rows)).alias("at")), lambda acc: acc["out"])
+    return F.transform(parts, one)
 
 
 def _lookup(key: Column, table: dict[str, str]) -> Column:

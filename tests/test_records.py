@@ -371,3 +371,16 @@ def test_weights_only_drop_far_back(spark):
     p = spark.createDataFrame([], "job bigint, text string, weights array<int>")
     for limit in (10_000, 300):
         assert [tuple(r) for r in whatif.weights_only_drops(g, ls, p, max_rows=limit).collect()] == [(1, n, 0, "a", 5, 3)]
+
+
+def test_containment_where_many_lines_share_one_mark(spark):
+    from gaugeworks.operators.criteria import containment_pairs
+
+    rng = random.Random(17)
+    vocab = ["".join(rng.choice("bcdfghklm") for _ in range(5)) for _ in range(400)]
+    lines = [(1, i, "S1 total " + " ".join(rng.sample(vocab, 30)), 3, "completion", "user facing") for i in range(300)]
+    for i in range(8):
+        lines.append((1, 1000 + i, lines[i * 3][2] + f" and S{i + 2} " + " ".join(rng.sample(vocab, 5)), 3, "completion", "user facing"))
+    df = spark.createDataFrame(lines, "task_id int, line_no int, criteria string, weight int, category string, place string")
+    got = {(r.first, r.second) for r in containment_pairs(df).collect()}
+    assert got == {(i * 3, 1000 + i) for i in range(8)}
