@@ -371,21 +371,6 @@ def j31(t):
     return named.select("doc_id", votes.place_of(F.col("file")).alias("place"))
 
 
-@query("t18_read_statements", """
-SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'no reading' WHEN doc_id % 5 = 0 THEN 'not somewhere in this task'
-  WHEN doc_id % 3 = 0 THEN 'words not there' ELSE 'kept' END AS why FROM {documents}""")
-def t18(t):
-    raw = t.documents.select(
-        F.col("doc_id").cast("string").alias("task_id"), "doc_id",
-        F.when(F.col("doc_id") % 7 == 0, "unsure").otherwise(" Inaccurate ").alias("reading"),
-        F.when(F.col("doc_id") % 5 == 0, "nowhere.csv").otherwise("ground truth").alias("file"),
-        F.when(F.col("doc_id") % 3 == 0, F.lit("zzz of zzz")).otherwise(F.concat(F.lit('"'), F.col("text"), F.lit('"'))).alias("quote"))
-    texts = t.documents.select(F.col("doc_id").cast("string").alias("task_id"), F.lit("ground truth").alias("place"),
-                               tx.normalise(F.col("text")).alias("text_norm"))
-    kept, dropped = votes.read_statements(raw, texts, texts.select("task_id", "place"))
-    return kept.select("doc_id", F.lit("kept").alias("why")).unionByName(dropped.select("doc_id", "why"))
-
-
 # --- manifests ------------------------------------------------------------------
 
 view("given_files", """

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks import fixed
 from gaugeworks.functions import text as tx
+from gaugeworks.operators.evidence import quotes_found
+from gaugeworks.operators.occurrence import found_in
+from gaugeworks.session import cut_lineage
 
 
 def statement_id(file_norm: Column, quote_norm: Column) -> Column:
@@ -123,21 +126,92 @@ def place_of(value: Column) -> Column:
             .otherwise(rel))
 
 
-def read_statements(raw: DataFrame, texts: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped) of statements: a known reading, a real place, the quote in its text.
+def _lines_meant(references: DataFrame, lines: DataFrame) -> DataFrame:
+    """(task_id, value, place): the criterion each reference (task_id, value) gives by number or by words.
 
-    `texts` is (task_id, place, text_norm), `places` the (task_id, place) that exist.
+    Fifteen characters or more that stand in a line, or in which a line stands; of more than six words the first
+    six are looked for. The first line that fits counts.
     """
-    reading = tx.normalise(F.col("reading"))
+    asked = references.select("task_id", "value", tx.normalise(F.col("value")).alias("ref"), F.regexp_extract(
+        tx.strip(F.col("value")), r"(?i)^(?:criterion|line|#)?\s*(\d+)$", 1).try_cast("int").alias("n"))
+    numbered = asked.where("n IS NOT NULL").join(lines.select("task_id", "n"), ["task_id", "n"]).select("task_id", "value", "n")
+    worded = asked.where((F.col("n").isNull()) & (F.length("ref") >= fixed.RESOLVE_MIN_CHARS)).drop("n")
+    folded = lines.select("task_id", "n", tx.normalise(F.col("criteria")).alias("line")).where("line <> ''")
+
+    def opening(text: Column) -> Column:
+        return F.array_join(F.slice(F.split(text, " "), 1, 6), " ")
+    inside = found_in(worded.select("task_id", opening(F.col("ref")).alias("part")), folded.withColumnRenamed("line", "text"), "task_id", "part", "n")
+    inside = worded.withColumn("part", opening(F.col("ref"))).join(inside, ["task_id", "part"]).select("task_id", "value", "n")
+    heads = folded.select("task_id", "n", opening(F.col("line")).alias("part"))
+    around = found_in(heads, worded.select("task_id", "value", F.col("ref").alias("text")), "task_id", "part", "value")
+    around = heads.join(around, ["task_id", "part"]).select("task_id", "value", "n")
+    return (numbered.unionByName(inside).unionByName(around).groupBy("task_id", "value").agg(F.min("n").alias("n"))
+            .select("task_id", "value", F.concat(F.lit("criterion "), F.col("n").cast("string")).alias("place")))
+
+
+def places_meant(values: DataFrame, lines: DataFrame, tests: DataFrame, files: DataFrame, graded: bool = False) -> DataFrame:
+    """(task_id, value, place) of the distinct values (task_id, value) that name something of their task.
+
+    `lines` is (task_id, n, criteria), `tests` (task_id, name), `files` (task_id, path). With `graded` a value
+    names what something rests on: the justification, the answer, a test, or a criterion in its own words; the
+    prompt, the truth and files are nothing graded. Otherwise it is where a statement stands, and only what
+    begins like a criterion's number is one.
+    """
+    asked = cut_lineage(values.select("task_id", "value").where("trim(value) <> ''").distinct()
+                        .withColumn("spelt", place_of(F.col("value"))).withColumn("bare", tx.strip(F.regexp_replace("value", "^`+|`+$", ""))))
+    low = tx.normalise(F.col("bare"), False)
+    kept = (fixed.JUSTIFICATION, fixed.ANSWER) if graded else (fixed.GROUND_TRUTH, fixed.JUSTIFICATION, fixed.PROMPT, fixed.ANSWER)
+    spelt = F.when(low.startswith("the run's answer"), fixed.ANSWER).otherwise(F.col("spelt")) if graded else F.col("spelt")
+    plain = asked.withColumn("spelt", spelt).where(F.col("spelt").isin(*kept)).select("task_id", "value", F.col("spelt").alias("place"))
+    rest = asked.join(plain, ["task_id", "value"], "left_anti")
+    named = tests.select("task_id", F.concat(F.lit("test "), "name").alias("place")).distinct()
+    by_test = rest.withColumn("place", F.when(F.col("spelt").startswith("test "), F.col("spelt")).otherwise(
+        F.concat(F.lit("test "), "bare"))).join(named, ["task_id", "place"], "left_semi").select("task_id", "value", "place")
+    rest = rest.join(by_test, ["task_id", "value"], "left_anti").where(~low.startswith("test "))
+    numbered = low.rlike("^(?:criterion|line|#|[0-9]+$)")
+    by_line = _lines_meant(rest if graded else rest.where(numbered), lines)
+    out = plain.unionByName(by_test).unionByName(by_line)
+    if graded:
+        return out
+    by_file = rest.where(~numbered).join(files.select("task_id", F.col("path").alias("spelt")).distinct(), ["task_id", "spelt"], "left_semi")
+    return out.unionByName(by_file.select("task_id", "value", F.col("spelt").alias("place")))
+
+
+def read_statements(raw: DataFrame, texts: DataFrame, lines: DataFrame, tests: DataFrame,
+                    files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept, dropped, unmet) of statements: a known reading, a real place, the quote in its text.
+
+    `raw` is (task_id, statement_no, file, quote, reading, kind, bears_on, ...), `texts` (task_id, place, text)
+    with the texts of the truth, justification, prompt and answer, of "tests" and "workspace", and of files by
+    path. A kept statement has its place, a kind (an inaccurate one without a known kind is a "statement") and
+    the places its bears_on name; `unmet` (task_id, statement_no, value) are those that name nothing graded.
+    Each quotation is searched once; no text is joined to a statement.
+    """
+    ids = ["task_id", "statement_no"]
     quote = F.regexp_replace(tx.strip(F.col("quote")), '^["“”]+|["“”]+$', "")
-    shaped = raw.withColumn("place", place_of(F.col("file"))).withColumn("_reading", reading).withColumn(
-        "_quote", tx.normalise(quote))
-    joined = (shaped.join(places.select("task_id", "place").distinct().withColumn("_there", F.lit(True)),
-                          ["task_id", "place"], "left")
-              .join(texts, ["task_id", "place"], "left"))
-    want = F.regexp_replace("_quote", "^[\"']+|[\"']+$", "")
-    why = (F.when(~F.coalesce(F.col("_reading").isin(*fixed.READINGS), F.lit(False)), "no reading")
-           .when(F.col("_there").isNull() | (F.col("_quote") == ""), "not somewhere in this task")
-           .when(~tx.quoted_in(want, F.coalesce("text_norm", F.lit(""))), "words not there"))
-    out = joined.withColumn("why", why).drop("text_norm", "_there", "_reading", "_quote")
-    return out.where("why IS NULL").drop("why"), out.where("why IS NOT NULL")
+    shaped = cut_lineage(raw.withColumn("reading", tx.normalise(F.col("reading"))).withColumn("_quote", tx.normalise(quote)))
+    meant = places_meant(shaped.select("task_id", F.col("file").alias("value")), lines, tests, files)
+    placed = cut_lineage(shaped.join(meant.withColumnRenamed("value", "file"), ["task_id", "file"], "left"))
+    line = F.col("place").startswith("criterion ")
+    known = F.col("place").isin(fixed.GROUND_TRUTH, fixed.JUSTIFICATION, fixed.PROMPT, fixed.ANSWER)
+    read_at = F.when(line | known, F.array("place")).when(F.col("place").startswith("test "), F.array(F.lit("tests"))).otherwise(
+        F.array(F.lit("workspace"), F.col("place")))
+    asked = cut_lineage(placed.where("place IS NOT NULL").select(*ids, F.explode(read_at).alias("place"), F.col("_quote").alias("quote")))
+    every = texts.select("task_id", "place", tx.normalise(F.col("text")).alias("text")).unionByName(lines.select(
+        "task_id", F.concat(F.lit("criterion "), F.col("n").cast("string")).alias("place"), tx.normalise(F.col("criteria")).alias("text")))
+    there = asked.join(quotes_found(asked, every), ["task_id", "place", "quote"], "left_semi").select(*ids).distinct().withColumn("_there", F.lit(True))
+    why = (F.when(~F.coalesce(F.col("reading").isin(*fixed.READINGS), F.lit(False)), "no reading")
+           .when(F.col("place").isNull() | (F.col("_quote") == ""), "not somewhere in this task")
+           .when(F.col("_there").isNull(), "words not there"))
+    judged = cut_lineage(placed.join(there, ids, "left").withColumn("why", why).drop("_there", "_quote"))
+    kind = tx.normalise(F.col("kind"), False)
+    kind = F.when(kind.isin(*fixed.STATEMENT_KINDS), kind).when(F.col("reading") == "inaccurate", "statement").otherwise("")
+    bears = judged.where("why IS NULL").select(*ids, F.posexplode("bears_on").alias("_at", "value"))
+    refs = places_meant(bears, lines, tests, files, graded=True)
+    met = cut_lineage(bears.join(refs, ["task_id", "value"], "left"))
+    # At most the entries of one statement; the first of equal places counts.
+    rests = (met.where("place IS NOT NULL").groupBy(*ids, "place").agg(F.min("_at").alias("_at")).groupBy(*ids)
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "place"))), lambda x: x.place).alias("bears_on")))
+    kept = (judged.where("why IS NULL").drop("why", "bears_on").withColumn("kind", kind).join(rests, ids, "left")
+            .withColumn("bears_on", F.coalesce("bears_on", F.array().cast("array<string>"))))
+    return kept, judged.where("why IS NOT NULL"), met.where("place IS NULL AND trim(value) <> ''").select(*ids, "value")
