@@ -135,17 +135,23 @@ def j32(t):
     return fi.without_separated(t.reproduced.where("category = 'overlapping'"), apart).select("task_id", "finding_id")
 
 
-@query("w11_repeats")
+view("overlap_findings", """
+SELECT run_id AS task_id, CASE WHEN j % 2 = 0 THEN 'Line  ' ELSE 'line ' END || CAST(n_chars % 12 AS STRING) AS criterion, 'line ' || CAST((n_chars * 5 + j) % 12 AS STRING) AS other_criterion,
+  CASE WHEN j % 6 = 5 THEN NULL ELSE CAST(j % 6 AS INT) END AS index, 'f' || CAST(doc_id AS STRING) AS finding_id,
+  CASE WHEN n_chars % 13 = 0 THEN 'proven' ELSE '' END AS exempt, CASE WHEN n_chars % 11 = 0 THEN 1 ELSE 3 END AS samples FROM {lines_base}""")
+
+
+@query("w11_repeats", r"""
+WITH RECURSIVE f AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY index IS NULL, coalesce(index, 0), finding_id) AS rn FROM (
+    SELECT task_id, criterion, lower(regexp_replace(criterion, '\s+', ' ', 'g')) AS line, other_criterion AS other, index, finding_id FROM {overlap_findings}
+    WHERE exempt = '' AND samples >= 3) WHERE line <> other),
+g AS (SELECT DISTINCT task_id, 0 AS i, CAST([] AS VARCHAR[]) AS gone, CAST([] AS VARCHAR[]) AS named FROM f
+  UNION ALL SELECT g.task_id, i + 1, CASE WHEN list_contains(gone, line) OR list_contains(gone, other) THEN gone ELSE list_append(gone, line) END,
+    CASE WHEN list_contains(gone, line) OR list_contains(gone, other) THEN named ELSE list_append(named, criterion) END
+  FROM g JOIN f ON f.task_id = g.task_id AND f.rn = i + 1)
+SELECT task_id, unnest(named) AS criterion FROM g QUALIFY i = max(i) OVER (PARTITION BY task_id)""")
 def w11(t):
-    return fi.repeats(_overlaps(t))
-
-
-def _overlaps(t):
-    rows = t.lines_base.select(
-        F.col("run_id").alias("task_id"), F.concat(F.lit("line "), (F.col("n_chars") % 12).cast("string")).alias("criterion"),
-        F.concat(F.lit("line "), ((F.col("n_chars") * 5 + F.col("j")) % 12).cast("string")).alias("other_criterion"),
-        (F.col("j") % 6).cast("int").alias("index"), F.concat(F.lit("f"), "doc_id").alias("finding_id"))
-    return rows
+    return fi.repeats(t.overlap_findings)
 
 
 @query("a35_distinct_checks", """

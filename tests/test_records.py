@@ -96,6 +96,19 @@ def test_repeats_against_the_greedy_walk(spark):
     assert {tuple(r) for r in findings.repeats(df).collect()} == want
 
 
+def test_repeats_of_a_large_task_in_small_parts(spark):
+    rows = [("t", f"Line  {i}", f"line {i + 1 if i % 4 < 3 else i - 3}", i % 3, f"f{i:05d}", "", 3) for i in range(400)]
+    rows += [("t", "line 5", "line 9999", 0, "e", "proven", 3), ("t", "line 6", "line 9998", 0, "s", "", 1), ("t", None, "x", 0, "n", "", 3)]
+    df = spark.createDataFrame(rows, "task_id string, criterion string, other_criterion string, index int, finding_id string, exempt string, samples int")
+    want, gone = set(), set()
+    for _, a, b, *_ in sorted((r for r in rows[:400]), key=lambda r: (r[3], r[4])):
+        x, y = " ".join(a.lower().split()), b
+        if x not in gone and y not in gone:
+            gone.add(x)
+            want.add(("t", a))
+    assert {tuple(r) for r in findings.repeats(df, 50).collect()} == want
+
+
 def edits(x, y):
     row = list(range(len(y) + 1))
     for i, v in enumerate(x, 1):
