@@ -15,8 +15,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from gaugeworks.llm.store import fresh
 
@@ -27,7 +29,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Texts given to the library at once, by characters.
 BATCH_CHARS = 1 << 17
 #: Distinct words a Python worker keeps the pieces of.
-MOST_WORDS = 250_000
+MOST_WORDS = 80_000
+#: Bytes of text whose rows go back at once.
+SENT_BYTES = 1 << 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -299,19 +303,28 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
 
 def both_ways(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """`df` with `ids` and `decoded`, each row encoded and decoded in one visit to Python."""
-    put = fresh(df, "ids", "decoded", "of_pieces")
+    """`df` with `ids` and `decoded`, each row encoded and decoded in one visit to Python.
 
-    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
-    def coded(column: pa.Array) -> pa.Array:
+    Rows go back some at a time, as many as SENT_BYTES of text, so a task holds no more than one batch it was given.
+    """
+    put = fresh(df, "ids", "decoded")
+    at = df.columns.index(text)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = loaded(path)
-        ids = _encoded(codec, column)
-        made = pa.StructArray.from_arrays([ids, _decoded(codec, ids)], ["ids", "decoded"])
-        pa.default_memory_pool().release_unused()
-        return made
-    held = df.withColumn(put[2], coded(F.col(text)))
-    return held.select(*(F.col(f"`{c}`") for c in df.columns), F.col(f"{put[2]}.ids").alias(put[0]),
-                       F.col(f"{put[2]}.decoded").alias(put[1]))
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            lo = 0
+            while lo < len(batch):
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + SENT_BYTES, "right")) - 1)
+                part = batch.slice(lo, hi - lo)
+                ids = _encoded(codec, part.column(at))
+                yield pa.RecordBatch.from_arrays([*part.columns, ids, _decoded(codec, ids)], [*batch.schema.names, *put])
+                lo = hi
+            pa.default_memory_pool().release_unused()
+    schema = StructType([*df.schema.fields, StructField(put[0], ArrayType(IntegerType())), StructField(put[1], StringType())])
+    return df.mapInArrow(coded, schema)
 
 
 def unlike(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
