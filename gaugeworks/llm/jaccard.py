@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType
 
 from gaugeworks.llm.components import components
-from gaugeworks.llm.store import fresh, written
+from gaugeworks.llm.store import fresh, given_back, written
 from gaugeworks.llm.words import Words, mixed, row_words
 
 WORDS = 5
@@ -87,6 +87,7 @@ def _sets(column: pa.Array, common: np.ndarray | None = None):
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
         yield lo, hi - lo, row[new], found[new]
+    given_back()
 
 
 def _names(row: np.ndarray, found: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from gaugeworks.llm.components import components
-from gaugeworks.llm.store import fresh, written
+from gaugeworks.llm.store import fresh, given_back, written
 from gaugeworks.llm.words import mixed, powers
 
 ERRORS = 2
@@ -51,6 +51,7 @@ def _lines(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         position = np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
         yield lo, hi - lo, row, position, starts, ends - starts, joined
         lo = hi
+    given_back()
 
 
 def _sums(joined: str) -> tuple[np.ndarray, np.ndarray]:

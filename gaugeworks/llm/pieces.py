@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from gaugeworks.llm.store import fresh
+from gaugeworks.llm.store import fresh, given_back
 
 MARK = "▁"
 # Fixed values of the file format: kinds of model and of piece.
@@ -311,7 +311,9 @@ def both_ways(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     at = df.columns.index(text)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given_back()
         codec = loaded(path)
+        given_back()
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(size)])
@@ -322,7 +324,7 @@ def both_ways(df: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ids = _encoded(codec, part.column(at))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, _decoded(codec, ids)], [*batch.schema.names, *put])
                 lo = hi
-            pa.default_memory_pool().release_unused()
+            given_back()
     schema = StructType([*df.schema.fields, StructField(put[0], ArrayType(IntegerType())), StructField(put[1], StringType())])
     return df.mapInArrow(coded, schema)
 

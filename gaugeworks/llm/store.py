@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gaugeworks.session import shared_folder
@@ -30,3 +33,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def given_back() -> None:
+    """Gives memory a Python worker no longer uses back to the machine; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
