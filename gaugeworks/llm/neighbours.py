@@ -20,15 +20,15 @@ from pyspark.sql.types import BinaryType, DoubleType
 from gaugeworks.llm.store import written
 
 #: Neighbours of a node in the graph, and reverse neighbours compared in a round.
-NEIGHBOURS = 20
-REVERSE = 16
+NEIGHBOURS = 32
+REVERSE = 24
 BLOCK, BLOCKINGS = 192, 2
 #: Proposals one node gets from one meeting place in a round.
-PROPOSALS = 6
+PROPOSALS = 10
 #: Rounds end when fewer than this share of the edges is new, or after MOST_ROUNDS.
-SETTLED, MOST_ROUNDS = 0.02, 8
+SETTLED, MOST_ROUNDS = 0.02, 12
 #: Nodes of a query's pool that are expanded, those expanded at once, and entry nodes.
-POOL, STEP, ENTRIES = 160, 40, 16
+POOL, STEP, ENTRIES = 240, 60, 16
 SEED = 7
 
 
