@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.store import fresh, written
+from gaugeworks.llm.store import fresh, given_back, written
 from gaugeworks.llm.words import row_words
 
 HEADS = (4, 5, 6)
+#: Bytes of text whose features are made at once.
+CHUNK = 1 << 18
 GRADES = 4
 #: Labelled rows the model is fitted on at most, by the order of a hash of their ids.
 MOST_LABELLED = 6_000
@@ -43,9 +45,10 @@ class Severity:
 
 def _found(column: pa.Array):
     """(first row, rows, row of each feature, feature hash) for successive rows."""
-    for lo, hi, words in row_words(column, heads=HEADS):
+    for lo, hi, words in row_words(column, heads=HEADS, chunk=CHUNK):
         row = words.rows()
         yield lo, hi - lo, np.tile(row, 1 + len(HEADS)), np.concatenate([words.hashes, *words.heads])
+    given_back()
 
 
 def features(text: str) -> Column:
