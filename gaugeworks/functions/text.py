@@ -50,8 +50,8 @@ def lines(text: Column) -> Column:
 def sentences(text: Column) -> Column:
     """Sentences: per line first, then after a full stop, a bang or a question mark."""
     pieces = F.flatten(F.transform(
-        lines(text), lambda line: F.split(F.trim(line), r"(?<=[.!?])\s+")))
-    return F.filter(F.transform(pieces, F.trim), lambda s: s != "")
+        lines(text), lambda line: F.split(strip(line), r"(?<=[.!?])\s+")))
+    return F.filter(F.transform(pieces, lambda s: strip(s)), lambda s: s != "")
 
 
 def quote_for(text: Column, needle: Column) -> Column:
