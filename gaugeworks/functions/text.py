@@ -65,7 +65,8 @@ def quote_for(text: Column, needle: Column) -> Column:
 def prose(text: Column) -> Column:
     """Comments out, the lines of a paragraph joined, paragraphs one blank line apart."""
     body = F.regexp_replace(F.coalesce(text, F.lit("")), fixed.COMMENT, "")
-    marked = F.array_join(F.transform(lines(body), F.trim), "\n")
+    # A named F.trim would get the line's place as the characters to trim.
+    marked = F.array_join(F.transform(lines(body), lambda line: F.trim(line)), "\n")
     paragraphs = F.split(marked, "\n\n+")
     joined = F.transform(paragraphs, lambda p: F.trim(F.replace(p, F.lit("\n"), F.lit(" "))))
     return F.array_join(F.filter(joined, lambda p: p != ""), "\n\n")

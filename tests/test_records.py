@@ -397,3 +397,16 @@ def test_containment_where_many_lines_share_one_mark(spark):
     df = spark.createDataFrame(lines, "task_id int, line_no int, criteria string, weight int, category string, place string")
     got = {(r.first, r.second) for r in containment_pairs(df).collect()}
     assert got == {(i * 3, 1000 + i) for i in range(8)}
+
+
+def test_sentences_and_prose_keep_digits_at_their_ends(spark):
+    text = "It was so. 19.37.233.111 \n2 is even, 3 is not! 2012 came at 12\t\n"
+    df = one(spark, t=text, p="first 0\n1 second 1\n2 third 2")
+    got = df.select(tx.sentences(F.col("t")).alias("s"), tx.quote_for(F.col("t"), F.lit("37.23")).alias("q"), tx.prose(F.col("p")).alias("p")).first()
+    assert got.s == ["It was so.", "19.37.233.111", "2 is even, 3 is not!", "2012 came at 12"]
+    assert got.q == "19.37.233.111" and got.p == "first 0 1 second 1 2 third 2"
+
+
+def test_sentence_count_keeps_a_line_of_digits(spark):
+    # Trimmed of the line's place, "1 is one." lost the figure that opens a sentence.
+    assert one(spark, t="It is so.\n1 is one.\n2 is two.").select(tx.sentence_count(F.col("t"))).first()[0] == 3
