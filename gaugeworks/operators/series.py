@@ -19,6 +19,8 @@ from gaugeworks.session import cut_lineage
 MAX_ROWS = 2_000_000
 # Ranges the values of one quantile are cut into; so many counts come to the driver.
 RANGES = 256
+# Ranges rows are cut into before they hold more than `max_rows`: the driver keeps samples and sizes of each.
+MAX_CHUNKS = 128
 
 
 def longest_series(df: DataFrame, by: list[str]) -> int:
@@ -27,9 +29,14 @@ def longest_series(df: DataFrame, by: list[str]) -> int:
     return row[0] or 0
 
 
+def _chunks(rows: int, max_rows: int) -> int:
+    """Ranges of about `max_rows` rows; of more, up to MAX_ROWS, where there would be over MAX_CHUNKS."""
+    return max(2, min(-(-rows // max_rows), max(MAX_CHUNKS, -(-rows // MAX_ROWS))))
+
+
 def _chunked(df: DataFrame, order: list[str], max_rows: int) -> DataFrame:
     """Rows in ranges of the order, numbered upwards; written, since ranges are sampled."""
-    chunks = max(2, -(-df.count() // max_rows))
+    chunks = _chunks(df.count(), max_rows)
     return cut_lineage(df.repartitionByRange(chunks, *order).withColumn("_chunk", F.spark_partition_id()))
 
 

@@ -161,3 +161,13 @@ def test_bootstrap_draws_every_series_to_its_length(spark):
     df = spark.createDataFrame(rows, "series_id string, pos long, err_base double, err_cand double, volume double")
     for got in (bootstrap.block_replicates(df, 587, n_boot=20), bootstrap.iid_replicates(df, 587, n_boot=20, block=64)):
         assert [r.volume for r in got.collect()] == [587.0] * 20
+
+
+def test_ranges_of_a_long_series_are_bounded(spark):
+    from gaugeworks.operators import series
+
+    df = spark.range(5000).select(F.lit("s").alias("s"), F.col("id").alias("ts"), F.lit(0).alias("tie"))
+    cut = series._chunked(df, ["s", "ts", "tie"], 10)
+    assert cut.agg(F.countDistinct("_chunk")).first()[0] <= series.MAX_CHUNKS < 500
+    got = series.number_rows(df, ["s"], "ts", "tie", 10)
+    assert got.where("pos = ts").count() == 5000
