@@ -410,3 +410,18 @@ def test_sentences_and_prose_keep_digits_at_their_ends(spark):
 def test_sentence_count_keeps_a_line_of_digits(spark):
     # Trimmed of the line's place, "1 is one." lost the figure that opens a sentence.
     assert one(spark, t="It is so.\n1 is one.\n2 is two.").select(tx.sentence_count(F.col("t"))).first()[0] == 3
+
+
+def test_near_identical_where_all_prompts_are_alike(spark):
+    schema = "run_id int, started int, workspace_sha256 string, environment_sha256 string, counted boolean, prompt string"
+    long = " ".join(f"w{i}" for i in range(60))
+    earlier = spark.createDataFrame([(i, i % 3, "w", "e", True, f"find the totals of the old tables for site {i} {'and sum up ' * 2}") for i in range(1500)]
+                                    + [(9000, 1, "w", "e", True, long)], schema)
+    now = spark.createDataFrame([(i + 2000, 9, "w", "e", True, f"find the sums of the old tables for site {i} {'and sum up ' * 2}") for i in range(0, 3000, 2)]
+                                + [(9001, 9, "w", "e", True, long.replace("w30 ", ""))], schema)
+    plan = runs.near_identical(now, earlier)
+    got = {r.run_id: (r.words, r.like_run) for r in plan.collect()}
+    # The site itself where it was asked before, else the first of all sites.
+    assert got == {**{i + 2000: (1, i) if i < 1500 else (2, 0) for i in range(0, 3000, 2)}, 9001: (1, 9000)}
+    forms = runs._met_by_forms(now.where("run_id < 9000").select("workspace_sha256", "environment_sha256", "prompt"), earlier)
+    assert forms.count() == 1500
