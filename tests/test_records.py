@@ -425,3 +425,14 @@ def test_near_identical_where_all_prompts_are_alike(spark):
     assert got == {**{i + 2000: (1, i) if i < 1500 else (2, 0) for i in range(0, 3000, 2)}, 9001: (1, 9000)}
     forms = runs._met_by_forms(now.where("run_id < 9000").select("workspace_sha256", "environment_sha256", "prompt"), earlier)
     assert forms.count() == 1500
+
+
+def test_a_text_table_of_one_row_group_is_many_tasks(spark, tmp_path, monkeypatch):
+    from gaugeworks.catalog import base
+
+    spark.range(2000).select(F.col("id").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("text")).coalesce(1).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(base, "ONE_SPLIT", 4_000)
+    docs_read = base.Inputs(spark, str(tmp_path)).documents
+    parts = docs_read.select(F.spark_partition_id().alias("p"), "doc_id")
+    assert parts.count() == 2000 and parts.agg(F.countDistinct("p")).first()[0] > 2 * spark.sparkContext.defaultParallelism
