@@ -436,3 +436,17 @@ def test_a_text_table_of_one_row_group_is_many_tasks(spark, tmp_path, monkeypatc
     docs_read = base.Inputs(spark, str(tmp_path)).documents
     parts = docs_read.select(F.spark_partition_id().alias("p"), "doc_id")
     assert parts.count() == 2000 and parts.agg(F.countDistinct("p")).first()[0] > 2 * spark.sparkContext.defaultParallelism
+
+
+def test_long_names_meet_few_texts(spark):
+    from gaugeworks.operators import occurrence
+
+    # Any four letters of these stand in every text; sixteen stand in the name's own text only.
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abc") for _ in range(1500)) for _ in range(40)]
+    names = [t[700:760] for t in texts] + ["abca", texts[3][20:36], texts[4][20:35], "c" * 16]
+    asked = spark.createDataFrame([("k", n) for n in names], "k string, path string")
+    held = spark.createDataFrame([("k", i, t) for i, t in enumerate(texts)], "k string, text_id int, text string")
+    got = {(r.path, r.text_id) for r in occurrence.found_in(asked, held, "k").collect()}
+    assert got == {(n, i) for n in names for i, t in enumerate(texts) if n in t}
+    assert occurrence.LONG_GRAM in occurrence.WIDTHS and occurrence.LONG_GRAM <= occurrence.ENDS
