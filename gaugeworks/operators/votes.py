@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks import fixed
 from gaugeworks.functions import text as tx
+from gaugeworks.operators.criteria import folded_lines
 from gaugeworks.operators.evidence import quotes_found
 from gaugeworks.operators.occurrence import found_in
 from gaugeworks.session import cut_lineage
@@ -135,14 +136,14 @@ def _lines_meant(references: DataFrame, lines: DataFrame) -> DataFrame:
     asked = references.select("task_id", "value", tx.normalise(F.col("value")).alias("ref"), F.regexp_extract(
         tx.strip(F.col("value")), r"(?i)^(?:criterion|line|#)?\s*(\d+)$", 1).try_cast("int").alias("n"))
     numbered = asked.where("n IS NOT NULL").join(lines.select("task_id", "n"), ["task_id", "n"]).select("task_id", "value", "n")
-    worded = asked.where((F.col("n").isNull()) & (F.length("ref") >= fixed.RESOLVE_MIN_CHARS)).drop("n")
-    folded = lines.select("task_id", "n", tx.normalise(F.col("criteria")).alias("line")).where("line <> ''")
+    worded = cut_lineage(asked.where((F.col("n").isNull()) & (F.length("ref") >= fixed.RESOLVE_MIN_CHARS)).drop("n"))
+    folded = folded_lines(lines).select("task_id", "n", "line").where("line <> ''")
 
     def opening(text: Column) -> Column:
         return F.array_join(F.slice(F.split(text, " "), 1, 6), " ")
     inside = found_in(worded.select("task_id", opening(F.col("ref")).alias("part")), folded.withColumnRenamed("line", "text"), "task_id", "part", "n")
     inside = worded.withColumn("part", opening(F.col("ref"))).join(inside, ["task_id", "part"]).select("task_id", "value", "n")
-    heads = folded.select("task_id", "n", opening(F.col("line")).alias("part"))
+    heads = cut_lineage(folded.groupBy("task_id", opening(F.col("line")).alias("part")).agg(F.min("n").alias("n")))
     around = found_in(heads, worded.select("task_id", "value", F.col("ref").alias("text")), "task_id", "part", "value")
     around = heads.join(around, ["task_id", "part"]).select("task_id", "value", "n")
     return (numbered.unionByName(inside).unionByName(around).groupBy("task_id", "value").agg(F.min("n").alias("n"))
@@ -189,6 +190,7 @@ def read_statements(raw: DataFrame, texts: DataFrame, lines: DataFrame, tests: D
     """
     ids = ["task_id", "statement_no"]
     quote = F.regexp_replace(tx.strip(F.col("quote")), '^["“”]+|["“”]+$', "")
+    lines = cut_lineage(folded_lines(lines).select("task_id", "n", "line"))
     shaped = cut_lineage(raw.withColumn("reading", tx.normalise(F.col("reading"))).withColumn("_quote", tx.normalise(quote)))
     meant = places_meant(shaped.select("task_id", F.col("file").alias("value")), lines, tests, files)
     placed = cut_lineage(shaped.join(meant.withColumnRenamed("value", "file"), ["task_id", "file"], "left"))
@@ -197,8 +199,8 @@ def read_statements(raw: DataFrame, texts: DataFrame, lines: DataFrame, tests: D
     read_at = F.when(line | known, F.array("place")).when(F.col("place").startswith("test "), F.array(F.lit("tests"))).otherwise(
         F.array(F.lit("workspace"), F.col("place")))
     asked = cut_lineage(placed.where("place IS NOT NULL").select(*ids, F.explode(read_at).alias("place"), F.col("_quote").alias("quote")))
-    every = texts.select("task_id", "place", tx.normalise(F.col("text")).alias("text")).unionByName(lines.select(
-        "task_id", F.concat(F.lit("criterion "), F.col("n").cast("string")).alias("place"), tx.normalise(F.col("criteria")).alias("text")))
+    every = cut_lineage(texts.select("task_id", "place", tx.normalise(F.col("text")).alias("text"))).unionByName(lines.select(
+        "task_id", F.concat(F.lit("criterion "), F.col("n").cast("string")).alias("place"), F.col("line").alias("text")))
     there = asked.join(quotes_found(asked, every), ["task_id", "place", "quote"], "left_semi").select(*ids).distinct().withColumn("_there", F.lit(True))
     why = (F.when(~F.coalesce(F.col("reading").isin(*fixed.READINGS), F.lit(False)), "no reading")
            .when(F.col("place").isNull() | (F.col("_quote") == ""), "not somewhere in this task")

@@ -450,3 +450,19 @@ def test_long_names_meet_few_texts(spark):
     got = {(r.path, r.text_id) for r in occurrence.found_in(asked, held, "k").collect()}
     assert got == {(n, i) for n in names for i, t in enumerate(texts) if n in t}
     assert occurrence.LONG_GRAM in occurrence.WIDTHS and occurrence.LONG_GRAM <= occurrence.ENDS
+
+
+def test_names_meet_texts_without_a_string_for_each_stretch(spark):
+    from gaugeworks.operators import occurrence
+
+    draw = random.Random(8)
+    letters = "abé \U0001F600"
+    texts = [(k, i, "".join(draw.choice(letters) for _ in range(draw.choice((0, 3, 40, 300))))) for k in (1, 2) for i in range(12)]
+    cut = [(k, t[a:a + draw.choice((1, 2, 3, 4, 15, 16, 17, 33, 80))]) for k, _, t in texts for a in (0, 7, 90)]
+    names = cut + [(3 - k, n) for k, n in cut] + [(1, None), (2, "absent from all of these")]
+    asked = spark.createDataFrame(names, "k int, path string")
+    found = occurrence.found_in(asked, spark.createDataFrame(texts, "k int, text_id int, text string"), "k")
+    got = [(r.k, r.path, r.text_id) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == {
+        (k, n, i) for k, n in names if n for kk, i, t in texts if k == kk and n in t}
+    assert "regexp_extract_all(text" not in found._jdf.queryExecution().optimizedPlan().toString()
