@@ -56,19 +56,22 @@ def criteria_lines(documents: DataFrame, key: str, text: str = "text") -> tuple[
     secs = documents.select(key, F.explode(sections_of(body, fixed.PLAIN_HEADING)).alias("s"))
     category = _lookup(F.lower(F.trim("s.heading")), fixed.SECTION_CATEGORY)
     headed = secs.select(key, "s.*", category.alias("category"))
-    bad_heads = headed.where("heading IS NOT NULL AND category IS NULL").select(
-        key, (F.col("first_line") - 1).alias("line_no"), F.lit("unknown heading").alias("problem"))
-    rows = (headed.select(key, "category", "first_line", F.posexplode("lines").alias("_i", "line"))
-            .where(F.col("line").rlike(r"\S"))
-            .select(key, "category", (F.col("first_line") + F.col("_i")).alias("line_no"), "line"))
+    # Everything is told of a line in one pass, its section's heading among them.
+    unknown = F.col("heading").isNotNull() & F.col("category").isNull()
+    below = F.filter(F.transform("lines", lambda line, i: F.struct(
+        (F.col("first_line") + i).alias("line_no"), line.alias("line"))), lambda x: x["line"].rlike(r"\S"))
+    above = F.filter(F.array(F.struct((F.col("first_line") - 1).alias("line_no"), F.lit(None).cast("string").alias("line"))), lambda x: unknown)
+    rows = headed.select(key, "category", F.explode(F.concat(above, below)).alias("r")).select(
+        key, "category", "r.*")
     # Bullets under a known heading are few; the rest is told apart by two cheap tests.
     is_bullet, headless = F.col("line").rlike(fixed.BULLET), F.col("category").isNull()
-    stray = rows.where(~is_bullet | headless).select(key, "line_no", F.when(
-        ~is_bullet, "not a heading or a bullet").otherwise("not under a known heading").alias("problem"))
-    bullet = F.regexp_extract("line", fixed.BULLET, 1)
+    stray = F.when(F.col("line").isNull(), "unknown heading").when(~is_bullet, "not a heading or a bullet").when(
+        headless, "not under a known heading")
+    rows = rows.withColumn("stray", stray)
+    bullet = F.when(F.col("stray").isNull(), F.regexp_extract("line", fixed.BULLET, 1))
     prefix = F.regexp_extract(bullet, "(" + fixed.TAG_RUN + ")", 1)
-    tagged = rows.where(is_bullet & ~headless).select(
-        key, "category", "line_no", F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(
+    tagged = rows.select(
+        key, "category", "line_no", "stray", F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(
             prefix, F.lit(fixed.ONE_TAG), F.lit(1)), F.lower))).alias("tags"),
         tx.strip(F.regexp_replace(bullet, fixed.TAG_RUN, "")).alias("criteria"))
     numeric = lambda t: t.rlike(r"^[+-]?\d+$")
@@ -79,7 +82,7 @@ def criteria_lines(documents: DataFrame, key: str, text: str = "text") -> tuple[
     legacy = F.when(has(["must"]), 5).when(has(["should"]), 1).when(has(["negative"]), 5)
     legacy = F.when(has(["negative"]), -legacy).otherwise(legacy)
     read = tagged.select(
-        key, "category", "line_no", "criteria",
+        key, "category", "line_no", "stray", "criteria",
         F.coalesce(F.try_element_at(allowed, F.lit(-1)), legacy).alias("weight"),
         (F.size(values) > F.size(allowed)).alias("_off"),
         F.exists("tags", lambda t: ~numeric(t) & ~t.isin(*known)).alias("_unknown"),
@@ -90,13 +93,13 @@ def criteria_lines(documents: DataFrame, key: str, text: str = "text") -> tuple[
         F.when(both, "checked in two places"),
         F.when(~both & no_weight & ~F.col("_off"), "no weight"),
         F.when(~both & ~no_weight & (F.col("criteria") == ""), "no text")))
-    kept = read.where(~both & ~no_weight & (F.col("criteria") != "")).select(
+    kept = read.where(F.col("stray").isNull() & ~both & ~no_weight & (F.col("criteria") != "")).select(
         key, "line_no", "category", "weight", "criteria",
         F.array(_lookup(F.col("category"), fixed.LABEL_OF_CATEGORY),
                 F.when(F.col("_state"), fixed.STATE_CHANGE).otherwise(fixed.USER_FACING)).alias("type"),
         F.md5("criteria").alias("criterion_id"))
-    rejected = read.select(key, "line_no", F.explode(problems).alias("problem")).unionByName(
-        stray).unionByName(bad_heads)
+    rejected = read.select(key, "line_no", F.explode(F.when(F.col("stray").isNotNull(), F.array("stray")).otherwise(
+        problems)).alias("problem"))
     return kept, rejected
 
 

@@ -466,3 +466,13 @@ def test_names_meet_texts_without_a_string_for_each_stretch(spark):
     assert len(got) == len(set(got)) and set(got) == {
         (k, n, i) for k, n in names if n for kk, i, t in texts if k == kk and n in t}
     assert "regexp_extract_all(text" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rejected_lines_are_told_in_one_pass(spark):
+    text = "- [5] above\n## Odd\nprose\n- [5] under it\n\n## Completion\nprose\n- [2] off\n- [3] fine\n"
+    kept, rejected = docs.criteria_lines(spark.createDataFrame([(1, text), (2, None)], "doc_id int, text string"), "doc_id")
+    assert sorted((r.line_no, r.problem) for r in rejected.collect()) == [
+        (1, "not under a known heading"), (2, "unknown heading"), (3, "not a heading or a bullet"),
+        (4, "not under a known heading"), (7, "not a heading or a bullet"), (8, "weight not allowed")]
+    assert [(r.line_no, r.weight, r.criteria) for r in kept.collect()] == [(9, 3, "fine")]
+    assert "Union" not in rejected._jdf.queryExecution().optimizedPlan().toString()
