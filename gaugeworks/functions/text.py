@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
@@ -14,9 +14,17 @@ DASHES = "‐‑‒–—―−"
 QUOTES = "‘’“”"
 
 
-@F.pandas_udf(StringType())
-def _nfkd(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s))
+# Rows of a batch that are Python strings at one time.
+SLICE_ROWS = 64
+
+
+@F.arrow_udf(StringType())
+def _nfkd(text: pa.Array) -> pa.Array:
+    parts = [pa.array([], pa.string())]
+    for lo in range(0, len(text), SLICE_ROWS):
+        parts.append(pa.array([None if s is None else unicodedata.normalize("NFKD", s)
+                               for s in text.slice(lo, SLICE_ROWS).to_pylist()], pa.string()))
+    return pa.concat_arrays(parts)
 
 
 def normalise(text: Column, compatibility: bool = True) -> Column:
@@ -27,7 +35,7 @@ def normalise(text: Column, compatibility: bool = True) -> Column:
     """
     base = F.coalesce(text, F.lit(""))
     if compatibility:  # only texts with anything beyond ASCII leave the JVM
-        base = F.coalesce(_nfkd(F.when(base.rlike(r"[^\x00-\x7F]"), base)), base)
+        base = F.coalesce(_nfkd(F.when(F.octet_length(base) != F.length(base), base)), base)
     base = F.translate(base, DASHES, "-" * len(DASHES))
     base = F.translate(base, QUOTES, "'" * len(QUOTES))
     return F.lower(F.trim(F.regexp_replace(base, r"(?U)\s+", " ")))

@@ -476,3 +476,20 @@ def test_rejected_lines_are_told_in_one_pass(spark):
         (4, "not under a known heading"), (7, "not a heading or a bullet"), (8, "weight not allowed")]
     assert [(r.line_no, r.weight, r.criteria) for r in kept.collect()] == [(9, 3, "fine")]
     assert "Union" not in rejected._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_batch_of_texts_is_folded_a_few_at_a_time():
+    import tracemalloc
+    import unicodedata
+
+    import pyarrow as pa
+
+    texts = pa.array([None, ""] + ["é" * 20_000] * 1000)
+    tracemalloc.start()
+    try:
+        got = tx._nfkd.func(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got[:3].to_pylist() == [None, "", unicodedata.normalize("NFKD", "é" * 20_000)] and len(got) == 1002
+    assert peak < 16 << 20
