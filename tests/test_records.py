@@ -493,3 +493,25 @@ def test_a_batch_of_texts_is_folded_a_few_at_a_time():
         tracemalloc.stop()
     assert got[:3].to_pylist() == [None, "", unicodedata.normalize("NFKD", "é" * 20_000)] and len(got) == 1002
     assert peak < 16 << 20
+
+
+def test_lines_meet_on_numbers_moved_once(spark):
+    from gaugeworks.operators import criteria as crit
+
+    rng = random.Random(11)
+    words = [f"word{c}" for c in "abcdefgh"]
+    made = [(f"t{i % 3}", i, " ".join(rng.sample(words, rng.randint(1, 6)) + [f"S{rng.randint(1, 3)}x"] * rng.randint(0, 1)),
+             rng.choice((5, -1)), "completion", rng.choice(("user facing", "state change"))) for i in range(90)]
+    lines = spark.createDataFrame(made, "task_id string, line_no bigint, criteria string, weight int, category string, place string")
+    found = crit.containment_pairs(lines, 5)
+
+    def holds(a, b):
+        x, y = set(a[2].lower().split()), set(b[2].lower().split())
+        marks = {w for w in x if w.startswith("s")}
+        same = marks == {w for w in y if w.startswith("s")}
+        return a[0] == b[0] and a[1] != b[1] and (a[3] > 0, a[5]) == (b[3] > 0, b[5]) and marks and len(x) > len(marks) and x <= y and (
+            not same or a[1] < b[1])
+    want = {(a[0], a[1], b[1], 1) for t in ("t0", "t1", "t2") for a, b in [(a, b) for a in made if a[0] == t for b in made if holds(a, b)][:5]}
+    assert {tuple(r) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
