@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -26,7 +27,7 @@ ERRORS = 2
 LEAST_CHARS = 24
 #: With this as `least`, exact copies of any line with a word are repeats.
 ANY = 1
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 18
 FILTER_BITS = 1 << 23
 
 _SALT = np.uint64(0x9FB21C651E98DF25)
@@ -34,14 +35,15 @@ _SALT = np.uint64(0x9FB21C651E98DF25)
 
 def _lines(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]]:
     """(first row, rows, row, position, start, size, joined text) of the lines of successive rows."""
-    texts = column.to_pylist()
+    # Only the texts of one stretch are Python strings at one time; a text has no more characters than bytes.
+    held = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     lo = 0
-    while lo < len(texts):
+    while lo < len(held):
         hi, chars = lo, 0
-        while hi < len(texts) and (hi == lo or chars + len(texts[hi] or "") <= BATCH_CHARS):
-            chars += len(texts[hi] or "")
+        while hi < len(held) and (hi == lo or chars + held[hi] <= BATCH_CHARS):
+            chars += held[hi]
             hi += 1
-        batch = [x or "" for x in texts[lo:hi]]
+        batch = [x or "" for x in column.slice(lo, hi - lo).to_pylist()]
         joined = "\n".join(batch)
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         ends = np.append(np.flatnonzero(codes == 10), len(codes))

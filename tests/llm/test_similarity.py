@@ -190,3 +190,20 @@ def test_neighbours_recall_ties_and_odd_vectors(spark):
     few = spark.createDataFrame(rows[:4], "vec_id long, embedding array<float>")
     assert neighbours.search(few, F.col("id") == 0).count() == 3
     assert neighbours.search(few.limit(0), F.col("id") == 0).count() == 0
+
+
+def test_a_batch_of_texts_is_read_a_stretch_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [None, "", "two\nlines é"] + ["a line of a long text\n" * 450] * 4000
+    column = pa.array(texts)
+    tracemalloc.start()
+    try:
+        read = [(lo, rows, joined.count("\n") + 1) for lo, rows, *_, joined in lines._lines(column)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(rows for _, rows, _ in read) == len(texts) and sum(n for *_, n in read) == 4 + 4000 * 451
+    assert peak < 24 << 20
