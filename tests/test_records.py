@@ -515,3 +515,22 @@ def test_lines_meet_on_numbers_moved_once(spark):
     assert {tuple(r) for r in found.collect()} == want
     # What is moved to meet is a number, not the mark or word.
     assert "min_by(element#" in (plan := found._jdf.queryExecution().optimizedPlan().toString()) and "hash(" in plan
+
+
+def test_a_quotation_cut_from_a_short_prompt_is_one(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    name = "t15_evidence_bar"
+    texts = ["ab", *(f"word {i} of a longer text, such as {i * 7 % 90 + 10} units{'x' * (i % 4)}" for i in range(1, 60))]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    con = duckdb.connect()
+    for table in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    sql = con.sql(entry.oracle_sql()[name])
+    want = {repr(r) for r in sql.fetchall()}
+    got = {repr(tuple(r)) for r in entry.queries()[name](spark, str(tmp_path)).select(*sql.columns).collect()}
+    assert got == want and ("s-0", 54, "quote not in the prompt") in {(r[0], r[1], r[3]) for r in sql.select("task_id, finding_no, category, why").fetchall()}
