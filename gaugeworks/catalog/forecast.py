@@ -100,16 +100,25 @@ SELECT series_id, pos, ts, zone, split, regime, is_eligible_eval, spike, leaked,
   CASE model_name WHEN 'Persistence' THEN lag_price_1 ELSE roll_price_mean_24 END AS predicted_price
 FROM {labelled}, (VALUES ('Persistence'), ('RollingMean')) m(model_name)""")
 def predictions(t: Inputs):
+    return _forecasts(t.labelled, "regime")
+
+
+def _forecasts(rows, *more: str):
     pairs = F.array(F.struct(F.lit("Persistence").alias("model_name"),
                              F.col("lag_price_1").alias("predicted_price")),
                     F.struct(F.lit("RollingMean").alias("model_name"),
                              F.col("roll_price_mean_24").alias("predicted_price")))
-    return t.labelled.select(
-        "series_id", "pos", "ts", "zone", "split", "regime", "is_eligible_eval",
+    return rows.select(
+        "series_id", "pos", "ts", "zone", "split", *more, "is_eligible_eval",
         splits.phase_of(F.col("split")).alias("split_phase"),
         F.col("price_usd_mwh").alias("actual_price"), F.inline(pairs))
 
 
+def without_regime(t: Inputs):
+    """The predictions for what asks no regime: in one pass over the events, no threshold is looked for."""
+    return _forecasts(t.in_split)
+
+
 def _metrics_sql(keys: str, source: str = "{predictions}", where: str = "TRUE",
                  group: str | None = None, digits: int = 6) -> str:
     return f"""
@@ -274,27 +283,27 @@ def a10(t):
 SELECT model_name, round(sum(abs(actual_price - predicted_price)) / sum(abs(actual_price)), 6) AS wmape
 FROM {predictions} GROUP BY model_name""")
 def a01(t):
-    return t.predictions.groupBy("model_name").agg(F.round(metrics.wmape(
+    return without_regime(t).groupBy("model_name").agg(F.round(metrics.wmape(
         F.col("actual_price"), F.col("predicted_price")), D).alias("wmape"))
 
 
 @query("a02_error_metrics", _metrics_sql("model_name, split"))
 def a02(t):
-    return metrics.by_segment(t.predictions, ["model_name", "split"], D)
+    return metrics.by_segment(without_regime(t), ["model_name", "split"], D)
 
 
 @query("a03_by_zone", _metrics_sql("model_name, zone", where="split = 'TEST_SHIFTED' AND is_eligible_eval"))
 def a03(t):
-    return metrics.by_segment(_shifted(t), ["model_name", "zone"], D)
+    return metrics.by_segment(_shifted(without_regime(t)), ["model_name", "zone"], D)
 
 
-def _shifted(t):
-    return t.predictions.where((F.col("split") == "TEST_SHIFTED") & F.col("is_eligible_eval"))
+def _shifted(rows):
+    return rows.where((F.col("split") == "TEST_SHIFTED") & F.col("is_eligible_eval"))
 
 
 @query("a04_by_regime", _metrics_sql("model_name, regime", where="split = 'TEST_SHIFTED' AND is_eligible_eval"))
 def a04(t):
-    return metrics.by_segment(_shifted(t), ["model_name", "regime"], D)
+    return metrics.by_segment(_shifted(t.predictions), ["model_name", "regime"], D)
 
 
 @query("a05_segment_grouping_sets", _metrics_sql(
@@ -302,7 +311,7 @@ def a04(t):
     where="split = 'TEST_SHIFTED' AND is_eligible_eval",
     group="GROUPING SETS ((model_name), (model_name, zone), (model_name, regime), (model_name, zone, regime))"))
 def a05(t):
-    return metrics.by_segment_sets(_shifted(t), ["model_name"], ["zone", "regime"], D)
+    return metrics.by_segment_sets(_shifted(t.predictions), ["model_name"], ["zone", "regime"], D)
 
 
 @query("a06_phase_population", f"""
@@ -314,7 +323,7 @@ def a06(t):
     populations = F.when(F.col("is_eligible_eval"), F.array(
         F.lit("ELIGIBLE_COMMERCIAL"), F.lit("POOLED_OPERATIONAL"))).otherwise(
         F.array(F.lit("POOLED_OPERATIONAL")))
-    rows = t.predictions.where("split_phase IS NOT NULL").withColumn(
+    rows = without_regime(t).where("split_phase IS NOT NULL").withColumn(
         "population", F.explode(populations))
     return metrics.by_segment(rows, ["model_name", "split_phase", "population"], D)
 
@@ -366,7 +375,7 @@ SELECT model_name, round(avg(spike_recall), 6) AS macro_spike_recall,
 FROM ({_spike_sql("model_name, zone", "spike", "split = 'TEST_SHIFTED' AND is_eligible_eval")}
  GROUP BY model_name, zone) GROUP BY model_name""")
 def a09(t):
-    out = spikes.macro_spikes(_shifted(t), limits(t)["FROZEN_PRE_SHIFT"][0], ["model_name"],
+    out = spikes.macro_spikes(_shifted(t.predictions), limits(t)["FROZEN_PRE_SHIFT"][0], ["model_name"],
                               digits=D)
     return out.withColumn("zonal_recalls", F.array_join(F.transform(
         "zonal_recalls", lambda r: F.round(r * 1000000).cast("bigint").cast("string")), ","))
@@ -423,7 +432,7 @@ SELECT model_name, zone, round(w0, 6) AS share_before, round(w1, 6) AS share_aft
   round(m0, 6) AS wmape_before, round(m1, 6) AS wmape_after, round((w1 - w0) * m0, 6) AS mix_effect,
   round(w1 * (m1 - m0), 6) AS within_effect FROM sh""")
 def a13(t):
-    rows = t.predictions.where(F.col("split_phase").isNotNull() & F.col("is_eligible_eval"))
+    rows = without_regime(t).where(F.col("split_phase").isNotNull() & F.col("is_eligible_eval"))
     return metrics.composition_effect(rows)
 
 
@@ -434,7 +443,7 @@ SELECT regime, model_name, count(*) AS n, round(sum(predicted_price), 6) AS pred
 FROM {predictions} WHERE split = 'TEST_SHIFTED' AND is_eligible_eval GROUP BY ALL""")
 def j01(t):
     held = t.labelled.select("series_id", "pos", "regime")
-    rows = _shifted(t).drop("regime").join(held, ["series_id", "pos"])
+    rows = _shifted(t.predictions).drop("regime").join(held, ["series_id", "pos"])
     return rows.groupBy("regime", "model_name").agg(
         F.count("*").alias("n"), F.round(F.sum("predicted_price"), 6).alias("predicted_sum"))
 
@@ -456,7 +465,7 @@ def j02(t):
 
 
 def _paired(t):
-    rows = _shifted(t)
+    rows = _shifted(_forecasts(featured(t)))
     base = rows.where("model_name = 'Persistence'").select(
         "series_id", "pos", F.col("predicted_price").alias("baseline_price"))
     cand = rows.where("model_name = 'RollingMean'").withColumnRenamed(
@@ -469,7 +478,7 @@ SELECT model_name, zone, "WMAPE", round((b - "WMAPE") / b * 100, 6) AS rel_impro
   SELECT *, max("WMAPE") FILTER (model_name = 'Persistence') OVER (PARTITION BY zone) AS b
   FROM ({_metrics_sql("model_name, zone", where="split = 'VALIDATION'")}))""")
 def j03(t):
-    table = metrics.by_segment(t.predictions.where("split = 'VALIDATION'"),
+    table = metrics.by_segment(without_regime(t).where("split = 'VALIDATION'"),
                                ["model_name", "zone"], D)
     return selection.relative_improvement(table, "Persistence", keys=["zone"]).select(
         "model_name", "zone", "WMAPE", F.round("rel_improvement_pct", D).alias("rel_improvement_pct"))
@@ -479,9 +488,9 @@ def j03(t):
 SELECT model_name, split, count(*) AS n, round(sum(predicted_price), 6) AS predicted_sum
 FROM {predictions} GROUP BY ALL""")
 def u01(t):
-    base = t.labelled.select("split", F.lit("Persistence").alias("model_name"),
+    base = featured(t).select("split", F.lit("Persistence").alias("model_name"),
                              F.col("lag_price_1").alias("predicted_price"))
-    cand = t.labelled.select("split", F.lit("RollingMean").alias("model_name"),
+    cand = featured(t).select("split", F.lit("RollingMean").alias("model_name"),
                              F.col("roll_price_mean_24").alias("predicted_price"))
     return base.unionByName(cand).groupBy("model_name", "split").agg(
         F.count("*").alias("n"), F.round(F.sum("predicted_price"), 6).alias("predicted_sum"))
@@ -498,7 +507,7 @@ WHERE b.model_name = 'Persistence' AND c.model_name = 'RollingMean' AND b.split
   AND b.is_eligible_eval""")
 def boot_rows(t: Inputs):
     from gaugeworks.operators.series import number_rows
-    rows = t.labelled.where((F.col("split") == "TEST_SHIFTED") & F.col("is_eligible_eval")).select(
+    rows = featured(t).where((F.col("split") == "TEST_SHIFTED") & F.col("is_eligible_eval")).select(
         "series_id", "ts", "event_id", F.col("price_usd_mwh").alias("actual_price"),
         F.col("lag_price_1").alias("baseline_price"), F.col("roll_price_mean_24").alias("candidate_price"))
     return cut_lineage(bootstrap.error_rows(number_rows(
@@ -554,7 +563,7 @@ FROM (SELECT *, (max("WMAPE") FILTER (model_name = 'Persistence') OVER () - "WMA
         GROUP BY model_name) USING (model_name))""")
 def f26(t):
     """Gates over the shifted rows; the interval floor is the point gain less two points."""
-    rows = _shifted(t)
+    rows = _shifted(t.predictions)
     spike = limits(t)["FROZEN_PRE_SHIFT"][0]
     recall = {c: e for c, e in zip("abcdefg", spikes.spike_metrics(F.lit(spike), D))}["d"]
     overall = rows.groupBy("model_name").agg(*metrics.error_metrics(digits=D), recall)

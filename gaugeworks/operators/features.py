@@ -50,8 +50,10 @@ def lag_and_roll(df: DataFrame, series: str = "series_id", ts: str = "ts",
     known = F.when(F.col(price).isNotNull(), F.struct("pos", F.col(price).alias("price")))
     numbered = _with_next(numbered, by, known, block, max_rows, longest)
     # The first known price from k rows back on; a lag is right there, a fill comes later.
-    frames = {f"_lag_{k}": (lambda w, k=k: F.first("_next").over(w.rowsBetween(-k, 0)))
-              for k in LAGS}
+    # A row is looked up k rows back: a frame of k rows would be read anew for every row.
+    head = Window.unboundedPreceding, Window.currentRow
+    frames = {f"_lag_{k}": (lambda w, k=k: F.when(F.col("pos") < k, F.first("_next").over(w.rowsBetween(*head)))
+                            .otherwise(F.lag("_next", k).over(w))) for k in LAGS}
     frames["_mean"] = lambda w: F.avg(price).over(w.rowsBetween(-ROLL, -1))
     frames["_std"] = lambda w: F.stddev_samp(price).over(w.rowsBetween(-ROLL, -1))
     out = over_positions(numbered, by, frames, before=max(LAGS), block=block,

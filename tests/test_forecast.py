@@ -171,3 +171,20 @@ def test_ranges_of_a_long_series_are_bounded(spark):
     assert cut.agg(F.countDistinct("_chunk")).first()[0] <= series.MAX_CHUNKS < 500
     got = series.number_rows(df, ["s"], "ts", "tie", 10)
     assert got.where("pos = ts").count() == 5000
+
+
+def test_what_asks_no_regime_looks_for_no_threshold(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from gaugeworks.operators import splits
+
+    def none(*args, **kwargs):
+        raise AssertionError("a threshold is looked for")
+    monkeypatch.setattr(splits, "thresholds", none)
+    for name in ("a01_wmape", "j02_candidate_vs_baseline", "j03_improvement_over_baseline"):
+        assert entry.queries()[name](spark, "/root/testdata/sf0.001").count()
+
+
+def test_a_lag_is_looked_up_and_not_framed(observations):
+    df = features.lag_and_roll(observations, max_rows=50, block=256).select("pos", "lag_price_168")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "currentrow$())" in plan and "-168" in plan and "specifiedwindowframe(RowFrame, -168, currentrow$())" not in plan
