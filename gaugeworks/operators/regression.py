@@ -11,6 +11,8 @@ RUN_IDS = {"Persistence": "persistence_v1", "Ridge": "ridge_reg_v1",
            "RandomForest": "random_forest_v1",
            "HistGradientBoosting": "hist_gradient_boosting_v1"}
 SEED = 42
+# Training rows of one task: each task sends its statistics of every node of a tree, so there are no more tasks than needed.
+TASK_ROWS = 2_000_000
 
 
 def persistence(df: DataFrame) -> DataFrame:
@@ -55,8 +57,9 @@ def fit(name: str, train: DataFrame, features: list[str]) -> PipelineModel | Non
         size = train.agg(F.count("*"), F.stddev_pop("price_usd_mwh")).first()
         stages = {"Ridge": lambda: ridge(*size), "RandomForest": forest,
                   "HistGradientBoosting": boosting}[name]()
-        gather = VectorAssembler(inputCols=features, outputCol="raw_features")
-        return Pipeline(stages=[gather, *stages]).fit(train)
+        gather = VectorAssembler(inputCols=features, outputCol="raw_features", handleInvalid="keep")
+        tasks = max(train.sparkSession.sparkContext.defaultParallelism, -(-size[0] // TASK_ROWS))
+        return Pipeline(stages=[gather, *stages]).fit(train.coalesce(tasks))
     finally:
         train.unpersist()
 
@@ -67,6 +70,6 @@ def predict(name: str, model: PipelineModel | None, df: DataFrame) -> DataFrame:
         out = persistence(df)
     else:
         whole = ~F.expr(" OR ".join(f"`{c}` IS NULL" for c in model.stages[0].getInputCols()))
-        out = model.transform(df.where(whole)).drop("raw_features", "features").unionByName(
-            df.where(~whole).withColumn("predicted_price", F.lit(None).cast("double")))
+        out = model.transform(df).drop("raw_features", "features").withColumn(
+            "predicted_price", F.when(whole, F.col("predicted_price")))
     return out.withColumn("model_name", F.lit(name)).withColumn("run_id", F.lit(RUN_IDS[name]))

@@ -188,3 +188,19 @@ def test_a_lag_is_looked_up_and_not_framed(observations):
     df = features.lag_and_roll(observations, max_rows=50, block=256).select("pos", "lag_price_168")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "currentrow$())" in plan and "-168" in plan and "specifiedwindowframe(RowFrame, -168, currentrow$())" not in plan
+
+
+def test_a_fit_has_no_more_tasks_than_its_rows_need(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(regression.Pipeline, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()))
+    train = spark.range(4000).repartition(64).selectExpr("double(id) AS x", "double(id % 7) AS price_usd_mwh")
+    regression.fit("RandomForest", train, ["x"])
+    assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def test_rows_are_read_once_for_their_forecast(spark):
+    df = spark.createDataFrame([(float(i), float(i % 5), 2.0 * i) for i in range(50)] + [(None, 1.0, 3.0), (4.0, None, None)],
+                               "x double, y double, price_usd_mwh double")
+    out = regression.predict("Ridge", regression.fit("Ridge", df, ["x", "y"]), df)
+    assert [r.predicted_price is None for r in out.orderBy(F.col("x").isNull() | F.col("y").isNull()).collect()] == [False] * 50 + [True] * 2
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
