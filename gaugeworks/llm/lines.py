@@ -100,9 +100,18 @@ def _key(part: np.ndarray, size: np.ndarray, i: int) -> np.ndarray:
     return mixed(part ^ (size * (ERRORS + 1) + i).astype(np.uint64) * _SALT)
 
 
+def _unmet(met: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of `names` are not in `met`, and `met` with them; both rise and hold nothing twice."""
+    at = np.searchsorted(met, names)
+    new = np.ones(len(names), bool)
+    inside = at < len(met)
+    new[inside] = met[at[inside]] != names[inside]
+    return new, np.insert(met, at[new], names[new])
+
+
 def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, line, bag, probe) of (text): each line's own segments, and its probes for lengths up to its own."""
-    met: set[int] = set()
+    met = np.zeros(0, np.uint64)
     for batch in batches:
         for *_, start, size, joined in _lines(batch.column(0)):
             sums, down = _sums(joined)
@@ -110,10 +119,8 @@ def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name = _named(sums, down, start[long], size[long])
             _, once = np.unique(name, return_index=True)
             # Copies met lately in this task are left out; others are folded by the join.
-            once = once[[int(x) not in met for x in name[once]]]
-            if len(met) > 200_000:
-                met.clear()
-            met.update(name[once].tolist())
+            new, met = _unmet(met if len(met) <= 200_000 else met[:0], name[once])
+            once = once[new]
             start_, size_, name = start[long[once]], size[long[once]], name[once]
             bag = _bags(joined, start_, size_)
             keys, names, bags, probes = [], [], [], []
@@ -303,11 +310,14 @@ def deduplicated(df: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
 
     @F.arrow_udf("string")
     def rest(text: pa.Array, positions: pa.Array) -> pa.Array:
-        out = []
-        for x, gone_ in zip(text, positions):
-            drop = set(gone_.as_py())
-            out.append("\n".join(line for k, line in enumerate(x.as_py().split("\n")) if k not in drop))
-        return pa.array(out, pa.string())
+        parts = [pa.array([], pa.string())]
+        for lo in range(0, len(text), 256):  # only so many texts are Python strings at one time
+            out = []
+            for x, gone_ in zip(text.slice(lo, 256), positions.slice(lo, 256)):
+                drop = set(gone_.as_py())
+                out.append("\n".join(line for k, line in enumerate(x.as_py().split("\n")) if k not in drop))
+            parts.append(pa.array(out, pa.string()))
+        return pa.concat_arrays(parts)
     both = placed.join(gone, row, "left")
     some = both.filter(F.col(going).isNotNull()).withColumn("text", rest("text", going)).filter(
         F.col("text").rlike(r"[^\x20\x09-\x0D]"))

@@ -1,12 +1,13 @@
 """SentencePiece models on the tokenizers library: encoding, decoding and parity.
 
 The model file is read field by field; normaliser, word marker, scores or merges and
-byte fallback are rebuilt for the other library, which encodes whole batches on
-several threads.
+byte fallback are rebuilt for the other library, which encodes whole batches, in
+workers on one thread.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from gaugeworks.llm.store import fresh, given_back
+from gaugeworks.llm.store import fresh, given_back, kept
 
 MARK = "▁"
 # Fixed values of the file format: kinds of model and of piece.
@@ -237,15 +238,14 @@ def _gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarr
     return flat[np.repeat(start - before, size) + np.arange(int(size.sum()))]
 
 
-_held: dict[str, Codec] = {}
-
-
 def loaded(path: str) -> Codec:
-    """The codec of a model file, built once a Python worker."""
-    if path not in _held:
+    """The codec of a model file, built once a Python worker and kept until it does other work."""
+    if path not in kept:
+        # A task has one core; the library's own threads would each keep memory of theirs.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path, "rb") as file:
-            _held[path] = Codec(parse(file.read()))
-    return _held[path]
+            kept[path] = Codec(parse(file.read()))
+    return kept[path]
 
 
 def _batches(texts: pa.Array) -> Iterator[list[str]]:
@@ -311,9 +311,9 @@ def both_ways(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     at = df.columns.index(text)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given_back()
+        given_back(keep=True)
         codec = loaded(path)
-        given_back()
+        given_back(keep=True)
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(size)])
@@ -324,7 +324,7 @@ def both_ways(df: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ids = _encoded(codec, part.column(at))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, _decoded(codec, ids)], [*batch.schema.names, *put])
                 lo = hi
-            given_back()
+            given_back(keep=True)
     schema = StructType([*df.schema.fields, StructField(put[0], ArrayType(IntegerType())), StructField(put[1], StringType())])
     return df.mapInArrow(coded, schema)
 

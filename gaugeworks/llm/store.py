@@ -35,8 +35,17 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def given_back() -> None:
-    """Gives memory a Python worker no longer uses back to the machine; workers outlive their tasks."""
+#: What a Python worker keeps from task to task, by name.
+kept: dict[str, object] = {}
+
+
+def given_back(keep: bool = False) -> None:
+    """Gives memory a Python worker no longer uses back to the machine; workers outlive their tasks.
+
+    What is in `kept` goes as well, unless `keep`: a worker that has come to other work does not hold it on.
+    """
+    if not keep:
+        kept.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -17,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes hashed at once; longer texts are cut between words.
 CHUNK = 1 << 20
 
+#: Powers are made so many at a time, as many as are asked for: a worker keeps them.
+POWERS = 1 << 16
+
 _BASE = 0x9E3779B97F4A7C15
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -39,7 +42,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of the odd base below `n`, and their inverses modulo 2**64."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, CHUNK + 1)
+        size = -(-n // POWERS) * POWERS
         _powers[:] = [np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, b, np.uint64))])
                       for b in (_BASE, pow(_BASE, -1, 1 << 64))]
     return _powers[0][:n], _powers[1][:n]

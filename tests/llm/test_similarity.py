@@ -207,3 +207,40 @@ def test_a_batch_of_texts_is_read_a_stretch_at_a_time():
         tracemalloc.stop()
     assert sum(rows for _, rows, _ in read) == len(texts) and sum(n for *_, n in read) == 4 + 4000 * 451
     assert peak < 24 << 20
+
+
+def test_what_a_worker_keeps_between_tasks():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    import pyarrow as pa
+
+    # A process of its own: threads and tables are made once.
+    code = """if True:
+        import os, public_tokenizers
+        from gaugeworks.llm import pieces, store, words
+        from gaugeworks.llm.queries import SENTENCEPIECE
+        words.powers((1 << 18) + 1)
+        assert sum(x.nbytes for x in words._powers) < 6 << 20
+        path = public_tokenizers.path(SENTENCEPIECE)
+        before = len(os.listdir("/proc/self/task"))
+        pieces.loaded(path).encode([f"word{k} and {k} others" for k in range(3000)])
+        assert len(os.listdir("/proc/self/task")) == before
+        store.given_back(keep=True)
+        assert path in store.kept
+        store.given_back()
+        assert not store.kept
+    """
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(lines.__file__).parents[2])
+
+    rng = np.random.default_rng(3)
+    met, seen = np.zeros(0, np.uint64), set()
+    for _ in range(50):
+        names = np.unique(rng.integers(0, 3000, 90).astype(np.uint64))
+        new, met = lines._unmet(met, names)
+        assert new.tolist() == [int(x) not in seen for x in names]
+        seen |= set(names.tolist())
+        assert met.tolist() == sorted(seen) and met.nbytes == 8 * len(seen)
+    made = list(lines._segmented(iter([pa.record_batch([pa.array(["a line of over twenty characters\nshort"] * 9)], ["text"])] * 2)))
+    assert sum(x.num_rows for x in made) == made[0].num_rows > 0
