@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType
 
 from gaugeworks.llm.components import components
-from gaugeworks.llm.store import fresh, given_back, written
+from gaugeworks.llm.store import begun, fresh, given_back, written
 from gaugeworks.llm.words import Words, mixed, row_words
 
 WORDS = 5
@@ -76,6 +76,7 @@ def _sets(column: pa.Array, common: np.ndarray | None = None):
 
     With `common`, a filter as packed bits, shingles in it come after the others.
     """
+    begun()
     for lo, hi, words in row_words(column, chunk=CHUNK):
         row, found = shingles(words)
         keys = (found, row)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from gaugeworks.llm.components import components
-from gaugeworks.llm.store import fresh, given_back, written
+from gaugeworks.llm.store import begun, fresh, given_back, written
 from gaugeworks.llm.words import mixed, powers
 
 ERRORS = 2
@@ -35,6 +35,7 @@ _SALT = np.uint64(0x9FB21C651E98DF25)
 
 def _lines(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]]:
     """(first row, rows, row, position, start, size, joined text) of the lines of successive rows."""
+    begun()
     # Only the texts of one stretch are Python strings at one time; a text has no more characters than bytes.
     held = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     lo = 0

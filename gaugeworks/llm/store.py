@@ -39,6 +39,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 kept: dict[str, object] = {}
 
 
+def begun() -> None:
+    """At the start of work that uses nothing of `kept`: it goes."""
+    if kept:
+        given_back()
+
+
 def given_back(keep: bool = False) -> None:
     """Gives memory a Python worker no longer uses back to the machine; workers outlive their tasks.
 

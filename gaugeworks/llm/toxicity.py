@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.store import fresh, given_back, written
+from gaugeworks.llm.store import begun, fresh, given_back, written
 from gaugeworks.llm.words import row_words
 
 HEADS = (4, 5, 6)
@@ -45,6 +45,7 @@ class Severity:
 
 def _found(column: pa.Array):
     """(first row, rows, row of each feature, feature hash) for successive rows."""
+    begun()
     for lo, hi, words in row_words(column, heads=HEADS, chunk=CHUNK):
         row = words.rows()
         yield lo, hi - lo, np.tile(row, 1 + len(HEADS)), np.concatenate([words.hashes, *words.heads])
@@ -179,7 +180,8 @@ def fit(labelled: DataFrame) -> Severity:
     n, n_pos = len(voters), sum(t > 0 for _, t in voters)
     if not 0 < n_pos < n:
         return Severity(np.zeros(0, np.uint64), np.zeros(0), np.array([5.0, 6.0, 7.0]))
-    table = spark.createDataFrame([(r, int(t > 0)) for r, t in voters], "row long, toxic int")
+    table = spark.createDataFrame(pa.table({"row": pa.array([r for r, _ in voters], pa.int64()),
+                                            "toxic": pa.array([int(t > 0) for _, t in voters], pa.int32())}))
     # At most MOST_LABELLED rows of two numbers.
     voting = written(held.join(F.broadcast(table), "row"), "voting")
     seen, pos = F.col("seen"), F.col("pos")

@@ -244,3 +244,14 @@ def test_what_a_worker_keeps_between_tasks():
         assert met.tolist() == sorted(seen) and met.nbytes == 8 * len(seen)
     made = list(lines._segmented(iter([pa.record_batch([pa.array(["a line of over twenty characters\nshort"] * 9)], ["text"])] * 2)))
     assert sum(x.num_rows for x in made) == made[0].num_rows > 0
+
+
+def test_other_work_starts_without_what_a_worker_kept():
+    import pyarrow as pa
+
+    from gaugeworks.llm import store, toxicity
+
+    for work in (toxicity._found, jaccard._sets, lines._lines):
+        store.kept["a tokenizer"] = object()
+        next(iter(work(pa.array(["some words of a text"] * 3))))
+        assert not store.kept
