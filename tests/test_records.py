@@ -534,3 +534,28 @@ def test_a_quotation_cut_from_a_short_prompt_is_one(spark, tmp_path):
     want = {repr(r) for r in sql.fetchall()}
     got = {repr(tuple(r)) for r in entry.queries()[name](spark, str(tmp_path)).select(*sql.columns).collect()}
     assert got == want and ("s-0", 54, "quote not in the prompt") in {(r[0], r[1], r[3]) for r in sql.select("task_id, finding_no, category, why").fetchall()}
+
+
+def _against_sql(spark, folder, name, texts):
+    """The rows of a query over these texts, and those of its SQL."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    con = duckdb.connect()
+    for table in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
+    sql = con.sql(entry.oracle_sql()[name])
+    return ({tuple(r) for r in entry.queries()[name](spark, str(folder)).select(*sql.columns).collect()}, set(sql.fetchall()))
+
+
+def test_fifteen_characters_of_a_reference_are_as_written(spark, tmp_path):
+    # "n osmente ññ." has 13, and 15 with its accents apart; "n letters alike " ends in an n, not in half a ñ.
+    texts = [f"word {i} of a longer text" for i in range(60)]
+    texts[7], texts[8] = "Que jación osmente ññ.", "Que jación osmente ññññ."
+    texts[12], texts[13], texts[14] = "Before: letters alike ñ and so on", "Before: letters alike n", None
+    got, want = _against_sql(spark, tmp_path, "j30_resolve_references", texts)
+    assert got == want and want
