@@ -43,8 +43,12 @@ def clarification_agreement(labels: DataFrame, counts: DataFrame) -> DataFrame:
 
 def length_check(texts: DataFrame) -> DataFrame:
     """Words and paragraphs of a justification against the hard limit and its level's guide."""
-    sized = texts.select("*", tx.word_count(tx.prose(F.col("text"))).alias("words"),
-                         tx.paragraph_count(F.col("text")).alias("paragraphs"))
+    return length_finding(texts.select("*", tx.word_count(tx.prose(F.col("text"))).alias("words"),
+                                       tx.paragraph_count(F.col("text")).alias("paragraphs")))
+
+
+def length_finding(sized: DataFrame) -> DataFrame:
+    """The same of counted texts (level, words, paragraphs)."""
     long = (F.col("words") > fixed.MAX_JUSTIFICATION_WORDS) | (
         F.col("paragraphs") > fixed.MAX_JUSTIFICATION_PARAGRAPHS)
     over = F.lit(False)

@@ -559,3 +559,22 @@ def test_fifteen_characters_of_a_reference_are_as_written(spark, tmp_path):
     texts[12], texts[13], texts[14] = "Before: letters alike ñ and so on", "Before: letters alike n", None
     got, want = _against_sql(spark, tmp_path, "j30_resolve_references", texts)
     assert got == want and want
+
+
+_ODD = ["", " \t\n ", None, "one two\n\t\nthree\n\n\n \nfour", "a <!-- not\n\nleft out --> b", "a\x0bb\x0b\x0bc\x85\x85d  e", "a\r\rb\r\n\r\nc\fd",
+        " x y ", "x\n\n ", "　", "y z “q” – r", "y z 'q' - r", "one two three four five six seven", "ONE two  three four\nfive six eight"]
+
+
+def _odd_texts(n=260):
+    rng = random.Random(4)
+    made = ["".join(rng.choice(["a", "B", "ñ", "7", ".", " ", "\n", "\t", "\r", "\f", "\x0b", " ", " ", "<!--", "-->", "\n\n", "’", "–"])
+                    for _ in range(rng.choice((0, 1, 2, 4, 12, 60)))) for _ in range(n - len(_ODD))]
+    texts = _ODD + made
+    for i in range(20, n, 3):  # what x10 asks of a document stands 20 further on
+        texts[i] = (texts[i - 20] or "")[rng.randint(0, 3):]
+    return texts
+
+
+def test_lengths_of_odd_texts_are_as_in_sql(spark, tmp_path):
+    got, want = _against_sql(spark, tmp_path, "f23_length_rule", _odd_texts())
+    assert got == want and (0, 1, 0, None) in want and (2, None, None, None) in want
