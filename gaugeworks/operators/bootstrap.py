@@ -27,7 +27,9 @@ def block_replicates(rows: DataFrame, n: int, block_length: int = 24, n_boot: in
     The sum of a block is a forward frame computed once for every start, so a
     replicate is n / L lookups by start rather than n rows. The last block of a
     series is cut to its n rows; only its rows are looked up one by one. `n` is the
-    row count of the longest series or more.
+    row count of the longest series or more. What a sequence grows to no plan knows in
+    advance, so draws are shuffled before they are joined: else, as so many replicates,
+    they pass for small and are sent whole to the driver.
     """
     size = F.least(F.lit(block_length).cast("bigint"), F.col("_n"))
     sizes = (rows.groupBy("series_id").agg(F.count("*").alias("_n"))
@@ -43,10 +45,10 @@ def block_replicates(rows: DataFrame, n: int, block_length: int = 24, n_boot: in
     draws = spread.withColumn("pos", F.conv(F.substring(F.md5(basis), 1, 12), 16, 10).cast("bigint")
                               % (F.col("_n") - F.col("_size") + 1))
     last = F.col("block") == F.col("_blocks") - 1
-    whole = draws.where(~last).join(summed, ["series_id", "pos"]).select(
+    whole = draws.where(~last).repartition("series_id", "pos").join(summed, ["series_id", "pos"]).select(
         "replicate", *[F.col(f"{c}_full").alias(c) for c in SUMS])
     ends = draws.where(last).withColumn("pos", F.explode(F.sequence("pos", F.col("pos") + F.col("_tail") - 1)))
-    tail = ends.join(rows, ["series_id", "pos"]).select("replicate", *SUMS)
+    tail = ends.repartition("series_id", "pos").join(rows, ["series_id", "pos"]).select("replicate", *SUMS)
     return whole.unionByName(tail).groupBy("replicate").agg(*[F.sum(c).alias(c) for c in SUMS])
 
 

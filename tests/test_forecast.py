@@ -204,3 +204,17 @@ def test_rows_are_read_once_for_their_forecast(spark):
     out = regression.predict("Ridge", regression.fit("Ridge", df, ["x", "y"]), df)
     assert [r.predicted_price is None for r in out.orderBy(F.col("x").isNull() | F.col("y").isNull()).collect()] == [False] * 50 + [True] * 2
     assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_draws_are_not_taken_for_as_small_as_their_replicates(spark):
+    n, kept = 12_000, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.range(n).select(F.lit("m").alias("series_id"), F.col("id").alias("pos"), *(
+        (F.col("id") % k + 1).cast("double").alias(c) for k, c in ((7, "err_base"), (5, "err_cand"), (3, "volume")))).localCheckpoint()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        found = bootstrap.block_replicates(rows, n)
+        assert len(found.collect()) == 400
+        # 200,000 draws, of which a plan made in advance knows 400 replicates.
+        assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
