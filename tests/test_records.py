@@ -583,3 +583,16 @@ def test_lengths_of_odd_texts_are_as_in_sql(spark, tmp_path):
 def test_odd_claims_are_quoted_as_in_sql(spark, tmp_path):
     got, want = _against_sql(spark, tmp_path, "x10_quoted_in", _odd_texts())
     assert got == want and len({quoted for _, quoted in want}) == 3
+
+
+def test_a_text_is_not_moved_to_hold_a_name_against_it(spark):
+    from gaugeworks.operators import occurrence
+
+    period, odd = "Annt " * 300, "Annt " * 150 + "Anxt " + "Annt " * 149
+    held = [("k", 1, period), ("k", 2, odd), ("k", 3, "é" + odd), ("l", 1, period)]
+    names = [period, odd, odd[5:], period[3:900], odd[700:800], odd[700:755] + "Annt " * 3 + "A", "A", "Anxt ", period + "A"]
+    found = occurrence.found_in(spark.createDataFrame([("k", n) for n in names], "at string, path string"),
+                                spark.createDataFrame(held, "at string, number int, text string"), "at", text_id="number")
+    assert sorted((r.path, r.number) for r in found.collect()) == sorted((n, i) for n in names for k, i, t in held if k == "k" and n in t)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(text" not in plan and "_met(text" in plan
