@@ -596,3 +596,14 @@ def test_a_text_is_not_moved_to_hold_a_name_against_it(spark):
     assert sorted((r.path, r.number) for r in found.collect()) == sorted((n, i) for n in names for k, i, t in held if k == "k" and n in t)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Contains(text" not in plan and "_met(text" in plan
+
+
+def test_signatures_are_moved_as_strings_and_meet_others_only(spark):
+    body = ["S1x alpha beta", "S1x alpha beta gamma", "alpha beta S1x", "S1x", "alpha beta", "", "S2x, S1x alpha beta delta"]
+    made = [("t", i, b, 5, "completion", "user facing") for i, b in enumerate(body)] + [(None, 9, body[0], 5, "completion", "user facing")]
+    lines = spark.createDataFrame(made, "task_id string, line_no bigint, criteria string, weight int, category string, place string")
+    found = criteria.containment_pairs(lines)
+    assert {tuple(r) for r in found.collect()} == {
+        ("t", 0, 2, 1), ("t", 0, 1, 1), ("t", 0, 6, 1), ("t", 2, 6, 1)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_except(marks#" not in plan and "NOT (sid#" in plan
